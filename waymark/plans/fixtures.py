@@ -121,3 +121,53 @@ LOG_SQL = """ev AS (
 
 def with_(*parts: str) -> str:
     return "WITH " + ",\n".join(parts) + "\n"
+
+
+def mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines as a modelling table: numbers, texts, a 0/1 flag, nulls, a period and a label."""
+    key, part, supp, line = F.col("l_orderkey"), F.col("l_partkey"), F.col("l_suppkey"), F.col("l_linenumber")
+    return table(spark, sf_dir, "lineitem").select(
+        F.concat_ws("-", key, line, part, supp).alias("id"),
+        F.col("l_quantity").alias("qty"),
+        F.col("l_extendedprice").alias("price"),
+        F.when(part % 7 > 0, F.col("l_tax")).alias("tax"),
+        F.when(part % 40 > 0, F.col("l_discount")).alias("disc"),
+        line.alias("line"),
+        (supp % 2).cast("int").alias("even"),
+        F.when(supp % 11 > 0, F.col("l_returnflag")).alias("flag"),
+        F.col("l_linestatus").alias("status"),
+        F.concat(F.lit("s"), (supp % 97 * (supp % 3)).cast("string")).alias("store"),
+        F.year("l_shipdate").alias("safra"),
+        (F.col("l_quantity") + (key * 13 + line * 7 + part) % 50 > 60).cast("int").alias("y"),
+    )
+
+
+MIXED_SQL = """m AS (
+  SELECT concat_ws('-', CAST(l_orderkey AS VARCHAR), CAST(l_linenumber AS VARCHAR), CAST(l_partkey AS VARCHAR), CAST(l_suppkey AS VARCHAR)) AS id,
+    l_quantity AS qty, l_extendedprice AS price, CASE WHEN l_partkey % 7 > 0 THEN l_tax END AS tax,
+    CASE WHEN l_partkey % 40 > 0 THEN l_discount END AS disc, l_linenumber AS line, CAST(l_suppkey % 2 AS INTEGER) AS even,
+    CASE WHEN l_suppkey % 11 > 0 THEN l_returnflag END AS flag, l_linestatus AS status,
+    's' || CAST(l_suppkey % 97 * (l_suppkey % 3) AS VARCHAR) AS store, CAST(year(l_shipdate) AS INTEGER) AS safra,
+    CAST(l_quantity + (l_orderkey * 13 + l_linenumber * 7 + l_partkey) % 50 > 60 AS INTEGER) AS y
+  FROM lineitem)"""
+
+
+def catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An offer catalogue that grows with the part table, with channels as an array."""
+    k = F.col("p_partkey")
+    every = F.array(F.lit("web"), F.lit("email"), F.lit("mobile"), F.lit("social"))
+    kept = F.filter(every, lambda c, i: (k + i) % 3 > 0)
+    return table(spark, sf_dir, "part").select(
+        F.concat(F.lit("p"), k.cast("string")).alias("id"),
+        F.when(k % 3 == 0, "bogo").when(k % 3 == 1, "discount").otherwise("informational").alias("offer_type"),
+        (F.col("p_size") % 11).cast("int").alias("discount_value"), (F.col("p_size") % 21).cast("int").alias("min_value"),
+        (3 + k % 8).cast("double").alias("duration"), kept.alias("channels"),
+    )
+
+
+CATALOGUE_SQL = """cat AS (
+  SELECT 'p' || CAST(p_partkey AS VARCHAR) AS id, CASE p_partkey % 3 WHEN 0 THEN 'bogo' WHEN 1 THEN 'discount' ELSE 'informational' END AS offer_type,
+    CAST(p_size % 11 AS INTEGER) AS discount_value, CAST(p_size % 21 AS INTEGER) AS min_value, CAST(3 + p_partkey % 8 AS DOUBLE) AS duration,
+    CAST(p_partkey % 3 > 0 AS INTEGER) AS web, CAST((p_partkey + 1) % 3 > 0 AS INTEGER) AS email,
+    CAST((p_partkey + 2) % 3 > 0 AS INTEGER) AS mobile, CAST((p_partkey + 3) % 3 > 0 AS INTEGER) AS social
+  FROM part)"""
