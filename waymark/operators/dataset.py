@@ -137,3 +137,94 @@ def join_books(books: dict[str, DataFrame]) -> DataFrame:
         out = out.join(book.select(KEY, *renamed), KEY, "left")
         taken = set(out.columns)
     return out
+
+
+# ---- dataset profiles and splits ----------------------------------------------------------
+
+def dataset_profile(df: DataFrame, id_column: str, target: str, per: str = "rows") -> DataFrame:
+    """Rows, columns, distinct ids, class counts and class rates in percent.
+
+    ``per`` names the denominator of the rates: the labelled rows, or the
+    distinct ids as the older variant of the profile has it.
+    """
+    if per not in ("rows", "ids"):
+        raise ValueError("per must be 'rows' or 'ids'")
+    row = df.agg(
+        F.count(F.lit(1)).alias("linhas"), F.count_distinct(id_column).alias("ids_unicos"),
+        F.count_if(F.col(target) == 0).alias("nao_convertidos"), F.count_if(F.col(target) == 1).alias("convertidos"),
+    )
+    whole = F.col("nao_convertidos") + F.col("convertidos") if per == "rows" else F.col("ids_unicos")
+    return row.select(
+        "linhas", F.lit(len(df.columns)).alias("colunas"), "ids_unicos", "nao_convertidos", "convertidos",
+        F.bround(F.try_divide("convertidos", whole) * 100, 2).alias("taxa_percentual"),
+        F.bround(F.try_divide("nao_convertidos", whole) * 100, 2).alias("taxa_nao_convertidos"),
+    )
+
+
+def period_volume(df: DataFrame, period: str) -> DataFrame:
+    return df.groupBy(period).agg(F.count(F.lit(1)).alias("volume")).orderBy(period)
+
+
+def split_by_period(df: DataFrame, cut: int, period: str = "safra") -> tuple[DataFrame, DataFrame]:
+    """Training rows before the cut period and out-of-time rows from it on."""
+    when = F.col(period).cast("int")
+    return df.filter(when < cut), df.filter(when >= cut)
+
+
+def split_volume(df: DataFrame, cut: int, period: str = "safra", names: tuple[str, str] = ("Treino", "Teste OOT")) -> DataFrame:
+    """Rows per side of the split and period, in one aggregate."""
+    side = F.when(F.col(period).cast("int") < cut, F.lit(names[0])).otherwise(F.lit(names[1]))
+    return df.filter(F.col(period).isNotNull()).groupBy(side.alias("conjunto"), period).agg(F.count(F.lit(1)).alias("registros"))
+
+
+HASH_STEP, HASH_LENGTH = 4, 32
+
+
+def stratified_split(df: DataFrame, id_column: str, target: str, test_share: float = 0.3, seed: int = 42) -> tuple[DataFrame, DataFrame]:
+    """Split at random with the same class shares, decided by a hash of the id.
+
+    Each class sends its smallest ceil(share x n) hashes to the test side. The
+    limiting hash of a class is found by counting hash prefixes, a few more
+    digits at a time; at most 65,536 counts per class exist in each step and
+    one per class reaches the driver. The split itself is a filter: no row moves.
+    """
+    mark = F.md5(F.concat_ws("#", F.col(id_column).cast("string"), F.lit(str(seed))))
+    slim = df.filter(F.col(target).isNotNull()).select(F.col(target).alias("c"), mark.alias("h"))
+    sizes = {r["c"]: r["count"] for r in slim.groupBy("c").count().collect()}
+    wanted = {c: int(-(-n * test_share // 1)) for c, n in sizes.items()}
+    limits: dict = {}
+    open_classes = {c: ("", k) for c, k in wanted.items() if k > 0}
+    length = 0
+    while open_classes and length < HASH_LENGTH:
+        length += HASH_STEP
+        inside = reduce(lambda a, b: a | b, [
+            (F.col("c") == F.lit(c)) & F.col("h").startswith(prefix) for c, (prefix, _) in open_classes.items()
+        ])
+        counts = slim.filter(inside).groupBy("c", F.substring("h", 1, length).alias("p")).agg(F.count(F.lit(1)).alias("n"))
+        w = Window.partitionBy("c").orderBy("p").rowsBetween(Window.unboundedPreceding, 0)
+        left = reduce(lambda a, b: F.when(F.col("c") == F.lit(b[0]), F.lit(b[1][1])).otherwise(a), open_classes.items(), F.lit(0))
+        at = counts.withColumn("to", F.sum("n").over(w)).filter((F.col("to") >= left) & (F.col("to") - F.col("n") < left))
+        for r in at.collect():
+            remaining = open_classes[r["c"]][1] - (r["to"] - r["n"])
+            if remaining == r["n"] or length == HASH_LENGTH:
+                limits[r["c"]] = r["p"]
+                del open_classes[r["c"]]
+            else:
+                open_classes[r["c"]] = (r["p"], remaining)
+    if not limits:
+        return df, df.limit(0)
+    chosen = reduce(lambda a, b: a | b, [
+        (F.col(target) == F.lit(c)) & (F.substring(mark, 1, len(p)) <= F.lit(p)) for c, p in limits.items()
+    ])
+    is_test = F.coalesce(chosen, F.lit(False))
+    return df.filter(~is_test), df.filter(is_test)
+
+
+def stratified_folds(df: DataFrame, id_column: str, folds: int = 5, seed: int = 42, name: str = "fold") -> DataFrame:
+    """Add a fold number from a hash of the id; class shares agree up to chance and no row moves."""
+    return df.withColumn(name, F.pmod(F.xxhash64(F.col(id_column).cast("string"), F.lit(seed)), F.lit(folds)).cast("int"))
+
+
+def column_types(df: DataFrame) -> DataFrame:
+    """Number of columns of each type."""
+    return df.sparkSession.createDataFrame(sorted(Counter(t for _, t in df.dtypes).items()), "tipo string, colunas long")

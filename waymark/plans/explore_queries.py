@@ -24,8 +24,9 @@ def unpivot_sql(columns: list[str], name: str = "u", source: str = "m", as_type:
 
 # ---- preparation --------------------------------------------------------------------------
 
-@query("m1_detect_types", SQL + """SELECT * FROM (VALUES ('line', 'cat'), ('even', 'num'), ('qty', 'num'), ('price', 'num'), ('tax', 'num'),
-  ('disc', 'num'), ('flag', 'cat'), ('status', 'cat'), ('store', 'cat'), ('safra', 'cat')) t(variavel, tipo) WHERE (SELECT count(*) FROM m) > 0""")
+@query("m1_detect_types", SQL + " UNION ALL ".join(
+    [f"SELECT '{c}' AS variavel, CASE WHEN count(DISTINCT {c}) <= 30 AND NOT bool_and({c} IN (0, 1)) THEN 'cat' ELSE 'num' END AS tipo FROM m" for c in ["line", "even"]]
+    + [f"SELECT DISTINCT '{c}', CASE WHEN typeof({c}) = 'DOUBLE' THEN 'num' ELSE 'cat' END FROM m" for c in ["qty", "price", "tax", "disc", "flag", "status", "store", "safra"]]))
 def m1(spark, sf):
     num, cat = M.detect_types(fx.mixed(spark, sf), "y", ["id"], force_cat=["safra"], int_low_card_as_cat=True)
     return spark.createDataFrame([(c, "num") for c in num] + [(c, "cat") for c in cat], "variavel string, tipo string")
