@@ -27,32 +27,38 @@ from waymark.spec import (
 REFERENCE, POINT_IN_TIME = "reference", "point_in_time"
 UNINFORMED_AGE = 118
 HISTORY_ORDER = [TIME, EVENT, ITEM]
+# Moving counts with the kind of event they count (purchase, received, viewed, conversion) and their days.
+MOVING = {
+    "qtd_transacoes_7d": ("x", 7), "qtd_transacoes_14d": ("x", 14), "qtd_ofertas_recebidas_14d": ("r", 14),
+    "qtd_ofertas_visualizadas_14d": ("v", 14), "qtd_conversoes_validas_14d": ("k", 14),
+}
 
 
-def timeline(log: DataFrame, conversions: DataFrame, spec: EventSpec = DEFAULT, frames: Frames = Frames()) -> DataFrame:
+def timeline(log: DataFrame, conversions: DataFrame | None, spec: EventSpec = DEFAULT, frames: Frames = Frames()) -> DataFrame:
     """Every event with its flags; all events at a conversion's instant carry its flag.
 
     The conversions join the log's own timeline as marker rows and are spread
     by a window, so that the only exchange is the one on the entity that the
     history frames need anyway.
     """
-    marked = log.withColumn("__mark", F.lit(0)).unionByName(
-        conversions.select(ENTITY, TIME, F.lit(1).alias("__mark")), allowMissingColumns=True
-    )
-    instant = Window.partitionBy(ENTITY, TIME).orderBy(EVENT, ITEM).rowsBetween(
-        Window.unboundedPreceding, Window.unboundedFollowing
-    )
+    if conversions is None:
+        flagged = frames.gather(log, ENTITY).withColumn("is_conv_valid", F.lit(0))
+    else:
+        marked = log.withColumn("__mark", F.lit(0)).unionByName(
+            conversions.select(ENTITY, TIME, F.lit(1).alias("__mark")), allowMissingColumns=True
+        )
+        instant = Window.partitionBy(ENTITY, TIME).orderBy(EVENT, ITEM).rowsBetween(
+            Window.unboundedPreceding, Window.unboundedFollowing
+        )
+        flagged = frames.gather(marked, ENTITY).withColumn("is_conv_valid", F.max("__mark").over(instant))
+        flagged = flagged.filter("__mark = 0").drop("__mark")
     kind = F.col(EVENT)
-    return (
-        frames.gather(marked, ENTITY).withColumn("is_conv_valid", F.max("__mark").over(instant))
-        .filter("__mark = 0").drop("__mark")
-        .withColumns({
-            "is_offer_received": flag(kind == spec.received),
-            "is_offer_viewed": flag(kind == spec.viewed),
-            "is_offer_completed": flag(kind == spec.completed),
-            "is_transaction": flag(kind == spec.purchase),
-        })
-    )
+    return flagged.withColumns({
+        "is_offer_received": flag(kind == spec.received),
+        "is_offer_viewed": flag(kind == spec.viewed),
+        "is_offer_completed": flag(kind == spec.completed),
+        "is_transaction": flag(kind == spec.purchase),
+    })
 
 
 def _when(name: str) -> Column:
@@ -62,7 +68,7 @@ def _when(name: str) -> Column:
 def anchor_history(
     log: DataFrame,
     items: DataFrame,
-    conversions: DataFrame,
+    conversions: DataFrame | None,
     spec: EventSpec = DEFAULT,
     frames: Frames = Frames(),
     mode: str = REFERENCE,
@@ -94,13 +100,8 @@ def anchor_history(
     line = line.withColumn("t_sec", (F.col(TIME) * F.lit(86400)).cast("long"))
     anchor = (F.col(EVENT) == spec.received) & F.col(ITEM).isNotNull()
     moved = F.col("is_conv_valid") * F.col("is_transaction") if exact else F.col("is_conv_valid")
-    line = frames.trailing(line, ENTITY, "t_sec", {
-        "qtd_transacoes_7d": (F.col("is_transaction"), 7),
-        "qtd_transacoes_14d": (F.col("is_transaction"), 14),
-        "qtd_ofertas_recebidas_14d": (F.col("is_offer_received"), 14),
-        "qtd_ofertas_visualizadas_14d": (F.col("is_offer_viewed"), 14),
-        "qtd_conversoes_validas_14d": (moved, 14),
-    }, anchor)
+    values = {"x": F.col("is_transaction"), "r": F.col("is_offer_received"), "v": F.col("is_offer_viewed"), "k": moved}
+    line = frames.trailing(line, ENTITY, "t_sec", {n: (values[v], days) for n, (v, days) in MOVING.items()}, anchor)
     return line.withColumns({KEY: pair_key(), ANCHOR_TIME: F.col(TIME)})
 
 
@@ -117,22 +118,35 @@ def latest_pairs(df: DataFrame) -> DataFrame:
     return most_recent(df.filter(F.col(ITEM).isNotNull()), [ENTITY, ITEM], [F.desc(ANCHOR_TIME), *rest])
 
 
-def book_profile(history: DataFrame, entities: DataFrame, mode: str = REFERENCE) -> DataFrame:
-    """Who the entity is, and the share of earlier items it completed.
+Columns = dict[str, Column]
 
-    The entity table joins after the reduction to one row per pair.
-    """
-    back = 0 if mode == POINT_IN_TIME else 1
-    sent = F.col("n_received") - back
-    last = latest_pairs(history.select(*BOOK_KEYS, rate(F.col("n_completed"), sent).alias("historico_conversao")))
-    who = entities.select(
+
+def profile_columns(mode: str = REFERENCE) -> Columns:
+    sent = F.col("n_received") - (0 if mode == POINT_IN_TIME else 1)
+    return {"historico_conversao": rate(F.col("n_completed"), sent)}
+
+
+def profile_of(entities: DataFrame) -> DataFrame:
+    return entities.select(
         F.col("profile_id").alias(ENTITY),
         null_if(F.col("age"), UNINFORMED_AGE).alias("idade"),
         F.col("gender").alias("genero"),
         F.col("credit_card_limit").alias("limite_credito"),
         year_of(F.col("registered_on")).alias("safra_registro"),
     )
-    return last.join(who, ENTITY, "left").select(
+
+
+def last_of(history: DataFrame, columns: Columns) -> DataFrame:
+    """The named columns at each pair's latest anchor."""
+    return latest_pairs(history.select(*BOOK_KEYS, *[c.alias(n) for n, c in columns.items()]))
+
+
+def book_profile(history: DataFrame, entities: DataFrame, mode: str = REFERENCE) -> DataFrame:
+    """Who the entity is, and the share of earlier items it completed.
+
+    The entity table joins after the reduction to one row per pair.
+    """
+    return last_of(history, profile_columns(mode)).join(profile_of(entities), ENTITY, "left").select(
         *BOOK_KEYS, "idade", "genero", "limite_credito", "safra_registro", "historico_conversao"
     )
 
@@ -149,19 +163,27 @@ def purchase_rhythm(log: DataFrame, spec: EventSpec = DEFAULT) -> DataFrame:
     )
 
 
+RHYTHM = ["media_tempo_entre_transacoes", "transacoes_distintas_dias"]
+
+
+def purchase_columns(mode: str = REFERENCE) -> Columns:
+    columns = {
+        "qtd_transacoes_anteriores": F.col("n_purchases"),
+        "dias_desde_ultima_transacao": F.col(TIME) - F.col("last_purchase"),
+    }
+    if mode == POINT_IN_TIME:
+        # first_purchase holds the negated time of the first purchase.
+        columns[RHYTHM[0]] = F.try_divide(F.col("last_purchase") + F.col("first_purchase"), F.col("n_purchases") - 1)
+        columns[RHYTHM[1]] = F.col("n_purchase_days")
+    return columns
+
+
 def book_purchases(history: DataFrame, log: DataFrame, spec: EventSpec = DEFAULT, mode: str = REFERENCE) -> DataFrame:
     """How often and how recently the entity bought."""
-    base = history.select(
-        *BOOK_KEYS,
-        F.col("n_purchases").alias("qtd_transacoes_anteriores"),
-        (F.col(TIME) - F.col("last_purchase")).alias("dias_desde_ultima_transacao"),
-        F.try_divide(F.col("last_purchase") + F.col("first_purchase"), F.col("n_purchases") - 1).alias("media_tempo_entre_transacoes"),
-        F.col("n_purchase_days").alias("transacoes_distintas_dias"),
-    )
+    last = last_of(history, purchase_columns(mode))
     if mode == POINT_IN_TIME:
-        return latest_pairs(base)
-    last = latest_pairs(base.drop("media_tempo_entre_transacoes", "transacoes_distintas_dias"))
-    return last.join(purchase_rhythm(log, spec), ENTITY, "left").select(*base.columns)
+        return last
+    return last.join(purchase_rhythm(log, spec), ENTITY, "left").select(*last.columns, *RHYTHM)
 
 
 def instances(
@@ -241,8 +263,11 @@ def _own_span_firsts(log: DataFrame, items: DataFrame, conversions: DataFrame, s
 INSTANCE_ORDER = ["start_t", ITEM]
 
 
+RESPONSE = ["tempo_medio_visualizacao", "tempo_medio_conversao"]
+
+
 def response_times(spans: DataFrame, frames: Frames = Frames(), mode: str = REFERENCE) -> DataFrame:
-    """Mean time to view and to convert over the repeats before each received item.
+    """Add the mean time to view and to convert over the repeats before each received item.
 
     ``reference``: each repeat has the running mean of the repeats before it,
     and an anchor takes the largest of those at strictly earlier times.
@@ -250,40 +275,37 @@ def response_times(spans: DataFrame, frames: Frames = Frames(), mode: str = REFE
     """
     seen = F.col("first_t_view") - F.col("start_t")
     earned = F.col("first_t_conv_valid") - F.col("first_t_view")
-    df = spans.select(KEY, ENTITY, ITEM, "start_t", seen.alias("dv"), earned.alias("dc"))
-    df = frames.earlier(frames.gather(df, ENTITY), [ENTITY], INSTANCE_ORDER, {
-        "sv": total(F.coalesce("dv", F.lit(0.0))), "nv": total(F.col("dv").isNotNull().cast("int")),
-        "sc": total(F.coalesce("dc", F.lit(0.0))), "nc": total(F.col("dc").isNotNull().cast("int")),
+    parts = ["sv", "nv", "sc", "nc"]
+    df = frames.earlier(frames.gather(spans, ENTITY), [ENTITY], INSTANCE_ORDER, {
+        "sv": total(F.coalesce(seen, F.lit(0.0))), "nv": total(seen.isNotNull().cast("int")),
+        "sc": total(F.coalesce(earned, F.lit(0.0))), "nc": total(earned.isNotNull().cast("int")),
     }, time="start_t")
-    mean_view, mean_conv = rate(F.col("sv"), F.col("nv"), None), rate(F.col("sc"), F.col("nc"), None)
+    means = dict(zip(RESPONSE, [rate(F.col("sv"), F.col("nv"), None), rate(F.col("sc"), F.col("nc"), None)]))
     if mode == POINT_IN_TIME:
-        df = frames.tick_start(df, [ENTITY], INSTANCE_ORDER, {n: n for n in ["sv", "nv", "sc", "nc"]}, time="start_t")
-        return df.withColumns({"tempo_medio_visualizacao": mean_view, "tempo_medio_conversao": mean_conv})
-    df = df.withColumns({"mv": mean_view, "mc": mean_conv})
-    df = frames.earlier(df, [ENTITY], INSTANCE_ORDER, {
-        "tempo_medio_visualizacao": latest(F.col("mv")), "tempo_medio_conversao": latest(F.col("mc")),
-    }, time="start_t")
-    names = ["tempo_medio_visualizacao", "tempo_medio_conversao"]
-    return frames.tick_start(df, [ENTITY], INSTANCE_ORDER, {n: n for n in names}, time="start_t")
+        df = frames.tick_start(df, [ENTITY], INSTANCE_ORDER, {n: n for n in parts}, time="start_t").withColumns(means)
+    else:
+        df = df.withColumns({f"__{n}": m for n, m in means.items()})
+        df = frames.earlier(df, [ENTITY], INSTANCE_ORDER, {n: latest(F.col(f"__{n}")) for n in RESPONSE}, time="start_t")
+        df = frames.tick_start(df, [ENTITY], INSTANCE_ORDER, {n: n for n in RESPONSE}, time="start_t")
+    return df.drop(*parts, *[f"__{n}" for n in RESPONSE])
+
+
+def interaction_columns() -> Columns:
+    won = F.coalesce("n_converted", F.lit(0))
+    return {
+        "qtd_ofertas_anteriores": F.col("n_received"), "qtd_ofertas_visualizadas": F.col("n_viewed"),
+        "qtd_ofertas_completas_validas": won,
+        "taxa_visualizacao": rate(F.col("n_viewed"), F.col("n_received")), "taxa_conversao": rate(won, F.col("n_received")),
+    }
 
 
 def book_interaction(history: DataFrame, spans: DataFrame, frames: Frames = Frames(), mode: str = REFERENCE) -> DataFrame:
     """How the entity reacted to earlier items."""
-    last = latest_pairs(history.select(
-        *BOOK_KEYS,
-        F.col("n_received").alias("qtd_ofertas_anteriores"),
-        F.col("n_viewed").alias("qtd_ofertas_visualizadas"),
-        F.coalesce("n_converted", F.lit(0)).alias("qtd_ofertas_completas_validas"),
-        rate(F.col("n_viewed"), F.col("n_received")).alias("taxa_visualizacao"),
-        rate(F.coalesce("n_converted", F.lit(0)), F.col("n_received")).alias("taxa_conversao"),
-    ))
-    times = response_times(spans, frames, mode).select(
-        KEY, ENTITY, ITEM, F.col("start_t").alias(ANCHOR_TIME), "tempo_medio_visualizacao", "tempo_medio_conversao"
-    )
-    return last.join(latest_pairs(times).drop(KEY, ANCHOR_TIME), [ENTITY, ITEM], "left").select(
-        *BOOK_KEYS, "qtd_ofertas_anteriores", "qtd_ofertas_visualizadas", "tempo_medio_visualizacao",
-        "tempo_medio_conversao", "qtd_ofertas_completas_validas", "taxa_visualizacao", "taxa_conversao",
+    last = last_of(history, interaction_columns())
+    times = last_of(
+        response_times(spans, frames, mode).withColumn(ANCHOR_TIME, F.col("start_t")), {n: F.col(n) for n in RESPONSE}
     )
+    return last.join(times.drop(KEY, ANCHOR_TIME), [ENTITY, ITEM], "left").select(*last.columns, *RESPONSE)
 
 
 def book_offer(log: DataFrame, items: DataFrame, spec: EventSpec = DEFAULT) -> DataFrame:
@@ -292,33 +314,37 @@ def book_offer(log: DataFrame, items: DataFrame, spec: EventSpec = DEFAULT) -> D
     return with_items(last, items).select(*BOOK_KEYS, *ITEM_COLUMNS)
 
 
+def recency_columns() -> Columns:
+    since = {
+        "dias_desde_ultima_transacao": "last_purchase", "dias_desde_ultima_oferta_recebida": "last_received",
+        "dias_desde_ultima_oferta_visualizada": "last_viewed", "dias_desde_ultima_conversao_valida": "last_conversion",
+    }
+    return {**{n: F.col(TIME) - F.col(c) for n, c in since.items()}, **{n: F.col(n) for n in MOVING}}
+
+
 def book_recency(history: DataFrame) -> DataFrame:
     """Time since the last event of each kind and counts over the last 7 and 14 days."""
-    return latest_pairs(history.select(
-        *BOOK_KEYS,
-        (F.col(TIME) - F.col("last_purchase")).alias("dias_desde_ultima_transacao"),
-        (F.col(TIME) - F.col("last_received")).alias("dias_desde_ultima_oferta_recebida"),
-        (F.col(TIME) - F.col("last_viewed")).alias("dias_desde_ultima_oferta_visualizada"),
-        (F.col(TIME) - F.col("last_conversion")).alias("dias_desde_ultima_conversao_valida"),
-        "qtd_transacoes_7d", "qtd_transacoes_14d", "qtd_ofertas_recebidas_14d",
-        "qtd_ofertas_visualizadas_14d", "qtd_conversoes_validas_14d",
-    ))
+    return last_of(history, recency_columns())
+
+
+def communication_columns(mode: str = REFERENCE) -> Columns:
+    before = {c: F.col(f"n_{c}") - (F.lit(0) if mode == POINT_IN_TIME else F.col(c)) for c in CHANNELS}
+    everything = _sum(before.values())
+    return {
+        "canais_recebidos_total": _sum(F.col(c) for c in CHANNELS),
+        **{f"recebeu_{c}": F.col(c) for c in CHANNELS},
+        "canais_preferidos": _sum((b > 0).cast("int") for b in before.values()),
+        **{f"{c}_ratio_historico": rate(b, everything) for c, b in before.items()},
+    }
+
+
+def _sum(columns) -> Column:
+    return reduce(lambda a, b: a + b, columns)
 
 
 def book_communication(history: DataFrame, mode: str = REFERENCE) -> DataFrame:
     """Channels of this item and of the items before it."""
-    own = F.lit(0) if mode == POINT_IN_TIME else None
-    base = history.withColumns({
-        f"h_{c}": F.col(f"n_{c}") - (F.col(c) if own is None else own) for c in CHANNELS
-    })
-    everything = reduce(lambda a, b: a + b, [F.col(f"h_{c}") for c in CHANNELS])
-    return latest_pairs(base.select(
-        *BOOK_KEYS,
-        reduce(lambda a, b: a + b, [F.col(c) for c in CHANNELS]).alias("canais_recebidos_total"),
-        *[F.col(c).alias(f"recebeu_{c}") for c in CHANNELS],
-        reduce(lambda a, b: a + b, [(F.col(f"h_{c}") > 0).cast("int") for c in CHANNELS]).alias("canais_preferidos"),
-        *[rate(F.col(f"h_{c}"), everything).alias(f"{c}_ratio_historico") for c in CHANNELS],
-    ))
+    return last_of(history, communication_columns(mode))
 
 
 # Prefix of the prior counts and the column that defines "the same kind of item".
@@ -354,37 +380,65 @@ def previous_conversion(conversions: DataFrame) -> DataFrame:
     )
 
 
-def book_pair(spans: DataFrame, conversions: DataFrame, frames: Frames = Frames(), mode: str = REFERENCE) -> DataFrame:
-    """How the entity reacted to the same item and to items like it."""
-    df = composite_counts(spans, frames, mode)
-    channel_rate = {c: rate(F.col(f"conv_{c}"), F.col(f"rcv_{c}")) for c in CHANNELS}
-    active = reduce(lambda a, b: a + b, [F.col(c) for c in CHANNELS])
-    summed = reduce(lambda a, b: a + b, [
-        F.coalesce(F.when(F.col(c) == 1, channel_rate[c]), F.lit(0.0)) for c in CHANNELS
-    ])
-    last = latest_pairs(df.select(
-        KEY, ENTITY, ITEM, F.col("start_t").alias(ANCHOR_TIME),
-        rate(F.col("view_tipo"), F.col("rcv_tipo")).alias("taxa_visualizacao_historica_tipo"),
-        rate(F.col("conv_tipo"), F.col("rcv_tipo")).alias("taxa_conversao_historica_tipo"),
-        rate(F.col("view_oferta"), F.col("rcv_oferta")).alias("taxa_visualizacao_historica_oferta"),
-        rate(F.col("conv_oferta"), F.col("rcv_oferta")).alias("taxa_conversao_historica_oferta"),
-        *[channel_rate[c].alias(f"taxa_conversao_historica_canal_{c}") for c in CHANNELS],
-        rate(summed, active).alias("afinidade_canais_conv"),
-        rate(F.col("conv_dur"), F.col("rcv_dur")).alias("taxa_conversao_historica_bucket_duracao"),
-        rate(F.col("conv_disc"), F.col("rcv_disc")).alias("taxa_conversao_historica_bucket_desconto"),
-        rate(F.col("conv_min"), F.col("rcv_min")).alias("taxa_conversao_historica_bucket_minimo"),
-        F.col("rcv_oferta").alias("n_instancias_anteriores_mesma_oferta"),
-        F.col("conv_oferta").alias("n_conversoes_validas_anteriores_mesma"),
-        (F.col("start_t") - F.col("last_start")).alias("dias_desde_ultima_oferta_mesma"),
-    ))
+def pair_columns() -> Columns:
+    def of(prefix: str, what: str) -> Column:
+        return rate(F.col(f"{what}_{prefix}"), F.col(f"rcv_{prefix}"))
+
+    channel = {c: of(c, "conv") for c in CHANNELS}
+    active = _sum(F.coalesce(F.when(F.col(c) == 1, channel[c]), F.lit(0.0)) for c in CHANNELS)
+    return {
+        "taxa_visualizacao_historica_tipo": of("tipo", "view"), "taxa_conversao_historica_tipo": of("tipo", "conv"),
+        "taxa_visualizacao_historica_oferta": of("oferta", "view"), "taxa_conversao_historica_oferta": of("oferta", "conv"),
+        **{f"taxa_conversao_historica_canal_{c}": r for c, r in channel.items()},
+        "afinidade_canais_conv": rate(active, _sum(F.col(c) for c in CHANNELS)),
+        "taxa_conversao_historica_bucket_duracao": of("dur", "conv"),
+        "taxa_conversao_historica_bucket_desconto": of("disc", "conv"),
+        "taxa_conversao_historica_bucket_minimo": of("min", "conv"),
+        "n_instancias_anteriores_mesma_oferta": F.col("rcv_oferta"),
+        "n_conversoes_validas_anteriores_mesma": F.col("conv_oferta"),
+        "dias_desde_ultima_oferta_mesma": F.col("start_t") - F.col("last_start"),
+    }
+
+
+def since_conversion(last: DataFrame, conversions: DataFrame, mode: str = REFERENCE) -> DataFrame:
+    """Add the days from the pair's previous conversion to its anchor."""
     if mode == POINT_IN_TIME:
-        earlier = (
-            last.select(ENTITY, ITEM, F.col(ANCHOR_TIME).alias("a")).join(conversions.select(ENTITY, ITEM, TIME), [ENTITY, ITEM])
-            .filter(F.col(TIME) < F.col("a")).groupBy(ENTITY, ITEM).agg(F.max(TIME).alias("last_t_conv_same_offer"))
-        )
+        found = last.select(ENTITY, ITEM, F.col(ANCHOR_TIME).alias("a")).join(conversions.select(ENTITY, ITEM, TIME), [ENTITY, ITEM])
+        found = found.filter(F.col(TIME) < F.col("a")).groupBy(ENTITY, ITEM).agg(F.max(TIME).alias("last_t_conv_same_offer"))
     else:
-        earlier = previous_conversion(conversions)
-    joined = last.join(earlier, [ENTITY, ITEM], "left")
-    return joined.select(
-        *last.columns, (F.col(ANCHOR_TIME) - F.col("last_t_conv_same_offer")).alias("dias_desde_ultima_conversao_valida_mesma")
-    )
+        found = previous_conversion(conversions)
+    days = F.col(ANCHOR_TIME) - F.col("last_t_conv_same_offer")
+    return last.join(found, [ENTITY, ITEM], "left").select(*last.columns, days.alias("dias_desde_ultima_conversao_valida_mesma"))
+
+
+def book_pair(spans: DataFrame, conversions: DataFrame, frames: Frames = Frames(), mode: str = REFERENCE) -> DataFrame:
+    """How the entity reacted to the same item and to items like it."""
+    df = composite_counts(spans, frames, mode).withColumn(ANCHOR_TIME, F.col("start_t"))
+    return since_conversion(last_of(df, pair_columns()), conversions, mode)
+
+
+def wide_books(
+    history: DataFrame,
+    spans: DataFrame,
+    conversions: DataFrame,
+    log: DataFrame,
+    items: DataFrame,
+    entities: DataFrame,
+    spec: EventSpec = DEFAULT,
+    frames: Frames = Frames(),
+    mode: str = REFERENCE,
+) -> DataFrame:
+    """The features of all books: one pass over the history, one over the received items, then joins of one row per pair."""
+    bought = purchase_columns(mode)
+    recent = {f"recencia__{n}" if n in bought else n: c for n, c in recency_columns().items()}
+    last = last_of(history, {
+        **profile_columns(mode), **bought, **interaction_columns(), **recent, **communication_columns(mode),
+    })
+    counted = composite_counts(response_times(spans, frames, mode), frames, mode).withColumn(ANCHOR_TIME, F.col("start_t"))
+    own = last_of(counted, {**{n: F.col(n) for n in RESPONSE}, **pair_columns()})
+    both = last.join(own.drop(KEY, ANCHOR_TIME), [ENTITY, ITEM], "left")
+    both = with_items(since_conversion(both, conversions, mode), items)
+    both = both.join(profile_of(entities), ENTITY, "left")
+    if mode == REFERENCE:
+        both = both.join(purchase_rhythm(log, spec), ENTITY, "left")
+    return both.select(*BOOK_KEYS, *[c for c in both.columns if c not in BOOK_KEYS])

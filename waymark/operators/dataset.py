@@ -12,12 +12,12 @@ from pyspark.sql import functions as F
 from waymark.operators.attribution import attributed_conversions, audience_with_target, label_pairs
 from waymark.operators.books import (
     POINT_IN_TIME, REFERENCE, anchor_history, book_communication, book_interaction, book_offer, book_pair, book_profile,
-    book_purchases, book_recency, instances,
+    book_purchases, book_recency, instances, wide_books,
 )
-from waymark.operators.events import audience
+from waymark.operators.events import audience, catalogue
 from waymark.operators.frames import HOT_ROWS, Frames, heavy_entities, split_histories
-from waymark.session import pinned, written
-from waymark.spec import ANCHOR_TIME, BOOK_KEYS, DEFAULT, ENTITY, ITEM, KEY, TARGET, EventSpec
+from waymark.session import written
+from waymark.spec import BOOK_KEYS, DEFAULT, ENTITY, KEY, TARGET, EventSpec
 
 
 class Campaign:
@@ -42,7 +42,7 @@ class Campaign:
             raise ValueError(f"unknown mode {mode}")
         self.raw, self.entities, self.spec, self.mode = raw, entities, spec, mode
         self.hot_rows, self.slice_days, self.stage = hot_rows, slice_days, stage
-        self.items, _ = pinned(items)
+        self.items = catalogue(items)
 
     @cached_property
     def hot(self) -> list:
@@ -76,6 +76,10 @@ class Campaign:
             for (log, frames), earned in zip(self.parts, self._earned)
         ]
 
+    @cached_property
+    def _plain_histories(self) -> list[DataFrame]:
+        return [anchor_history(log, self.items, None, self.spec, frames, self.mode) for log, frames in self.parts]
+
     def _each(self, build: Callable[[int, DataFrame, Frames], DataFrame]) -> DataFrame:
         made = [build(i, log, frames) for i, (log, frames) in enumerate(self.parts)]
         return reduce(DataFrame.unionByName, made)
@@ -92,11 +96,15 @@ class Campaign:
     def history(self) -> DataFrame:
         return reduce(DataFrame.unionByName, self._histories)
 
+    def plain_history(self) -> DataFrame:
+        """The history without what conversions tell, for books that do not ask."""
+        return reduce(DataFrame.unionByName, self._plain_histories)
+
     def profile(self) -> DataFrame:
-        return book_profile(self.history(), self.entities, self.mode)
+        return book_profile(self.plain_history(), self.entities, self.mode)
 
     def purchases(self) -> DataFrame:
-        return book_purchases(self.history(), self.log, self.spec, self.mode)
+        return book_purchases(self.plain_history(), self.log, self.spec, self.mode)
 
     def interaction(self) -> DataFrame:
         return self._each(lambda i, _, frames: book_interaction(self._histories[i], self._spans[i], frames, self.mode))
@@ -108,18 +116,23 @@ class Campaign:
         return book_recency(self.history())
 
     def communication(self) -> DataFrame:
-        return book_communication(self.history(), self.mode)
+        return book_communication(self.plain_history(), self.mode)
 
     def pair(self) -> DataFrame:
         return self._each(lambda i, _, frames: book_pair(self._spans[i], self._earned[i], frames, self.mode))
 
     def book_full(self) -> DataFrame:
-        """All books side by side on the pair; a repeated feature name gets its book's name in front."""
-        books = {
-            "perfil": self.profile(), "compra": self.purchases(), "interacao": self.interaction(), "oferta": self.offer(),
-            "recencia": self.recency(), "comunicacao": self.communication(), "cliente_oferta": self.pair(),
-        }
-        return join_books(books)
+        """All seven books on one row per pair.
+
+        The books share two passes: one over the history, one over the
+        received items. Joining seven separate books would repeat them. A
+        feature name that two books use gets the second book's name in front.
+        """
+        def build(i: int, log: DataFrame, frames: Frames) -> DataFrame:
+            return wide_books(
+                self._histories[i], self._spans[i], self._earned[i], log, self.items, self.entities, self.spec, frames, self.mode
+            )
+        return self._each(build)
 
     def modelling_base(self) -> DataFrame:
         """The labelled audience with every feature."""
@@ -177,40 +190,41 @@ def split_volume(df: DataFrame, cut: int, period: str = "safra", names: tuple[st
     return df.filter(F.col(period).isNotNull()).groupBy(side.alias("conjunto"), period).agg(F.count(F.lit(1)).alias("registros"))
 
 
-HASH_STEP, HASH_LENGTH = 4, 32
+HASH_STEP, HASH_LENGTH = 5, 30
 
 
 def stratified_split(df: DataFrame, id_column: str, target: str, test_share: float = 0.3, seed: int = 42) -> tuple[DataFrame, DataFrame]:
     """Split at random with the same class shares, decided by a hash of the id.
 
     Each class sends its smallest ceil(share x n) hashes to the test side. The
-    limiting hash of a class is found by counting hash prefixes, a few more
-    digits at a time; at most 65,536 counts per class exist in each step and
+    limiting hash of a class is found by counting hash prefixes, five more
+    digits at a time; at most 1,048,576 counts per class exist in each step and
     one per class reaches the driver. The split itself is a filter: no row moves.
     """
     mark = F.md5(F.concat_ws("#", F.col(id_column).cast("string"), F.lit(str(seed))))
     slim = df.filter(F.col(target).isNotNull()).select(F.col(target).alias("c"), mark.alias("h"))
-    sizes = {r["c"]: r["count"] for r in slim.groupBy("c").count().collect()}
-    wanted = {c: int(-(-n * test_share // 1)) for c, n in sizes.items()}
+    order = Window.partitionBy("c").orderBy("p").rowsBetween(Window.unboundedPreceding, 0)
     limits: dict = {}
-    open_classes = {c: ("", k) for c, k in wanted.items() if k > 0}
-    length = 0
-    while open_classes and length < HASH_LENGTH:
-        length += HASH_STEP
-        inside = reduce(lambda a, b: a | b, [
-            (F.col("c") == F.lit(c)) & F.col("h").startswith(prefix) for c, (prefix, _) in open_classes.items()
-        ])
-        counts = slim.filter(inside).groupBy("c", F.substring("h", 1, length).alias("p")).agg(F.count(F.lit(1)).alias("n"))
-        w = Window.partitionBy("c").orderBy("p").rowsBetween(Window.unboundedPreceding, 0)
-        left = reduce(lambda a, b: F.when(F.col("c") == F.lit(b[0]), F.lit(b[1][1])).otherwise(a), open_classes.items(), F.lit(0))
-        at = counts.withColumn("to", F.sum("n").over(w)).filter((F.col("to") >= left) & (F.col("to") - F.col("n") < left))
+    inside: dict = {}
+    for length in range(HASH_STEP, HASH_LENGTH + 1, HASH_STEP):
+        rows = slim if length == HASH_STEP else slim.filter(reduce(lambda a, b: a | b, [
+            (F.col("c") == F.lit(c)) & F.col("h").startswith(prefix) for c, (prefix, _) in inside.items()
+        ]))
+        counts = rows.groupBy("c", F.substring("h", 1, length).alias("p")).agg(F.count(F.lit(1)).alias("n"))
+        if length == HASH_STEP:
+            wanted = F.ceil(F.sum("n").over(Window.partitionBy("c")) * F.lit(test_share))
+        else:
+            wanted = reduce(lambda a, b: F.when(F.col("c") == F.lit(b[0]), F.lit(b[1][1])).otherwise(a), inside.items(), F.lit(0))
+        at = counts.withColumns({"to": F.sum("n").over(order), "k": wanted}).filter("to >= k AND to - n < k")
+        inside = {}
         for r in at.collect():
-            remaining = open_classes[r["c"]][1] - (r["to"] - r["n"])
-            if remaining == r["n"] or length == HASH_LENGTH:
+            rest = r["k"] - (r["to"] - r["n"])
+            if rest == r["n"] or length == HASH_LENGTH:
                 limits[r["c"]] = r["p"]
-                del open_classes[r["c"]]
             else:
-                open_classes[r["c"]] = (r["p"], remaining)
+                inside[r["c"]] = (r["p"], rest)
+        if not inside:
+            break
     if not limits:
         return df, df.limit(0)
     chosen = reduce(lambda a, b: a | b, [

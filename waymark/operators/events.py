@@ -10,11 +10,15 @@ from waymark.session import pinned
 from waymark.spec import DEFAULT, ENTITY, ENTITY_COLUMNS, EVENT, ITEM, ITEM_COLUMNS, KEY, TIME, EventSpec
 
 
+def catalogue(items: DataFrame) -> DataFrame:
+    """The item table, fixed and marked for broadcast if a check finds it small enough."""
+    return pinned(items)[0]
+
+
 def with_items(df: DataFrame, items: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """Left join the item catalogue, broadcast only after a check of its size."""
+    """Left join the item catalogue; ``catalogue`` prepares it for a broadcast."""
     columns = ITEM_COLUMNS if columns is None else columns
-    small, _ = pinned(items.select(ITEM, *columns))
-    return df.join(small, ITEM, "left")
+    return df.join(items.select(ITEM, *columns), ITEM, "left")
 
 
 def with_entities(df: DataFrame, entities: DataFrame, hot: list | None = None, columns: list[str] | None = None) -> DataFrame:

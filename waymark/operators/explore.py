@@ -9,7 +9,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from waymark.operators.ordered import bin_of, column_quantiles, distinct_edges, equal_edges, running
+from waymark.operators.ordered import bin_of, column_counts, distinct_edges, ranked_quantiles, running
 from waymark.operators.stability import binned_counts, edge_table, reference_edges
 from waymark.operators.tables import columns_of, level_counts, modal_share, null_share, value_counts
 from waymark.session import pinned, written
@@ -212,19 +212,17 @@ def woe_bins(df: DataFrame, columns: list[str], target: str, n_bins: int = 10, m
 
 
 def _quantile_edges(df: DataFrame, columns: list[str], n_bins: int) -> dict[str, list[float]]:
-    """Quantile edges for min(n_bins, distinct values) bins per column, equal edges merged."""
+    """Quantile edges for min(n_bins, distinct values) bins per column, equal edges merged; one pass for all columns."""
     if not columns:
         return {}
-    from waymark.operators.ordered import column_counts, ranked_quantiles
-
-    ranked = running(column_counts(df, columns), ["variavel"], "value", ["n"])
-    distinct = {r["variavel"]: r["d"] for r in ranked.groupBy("variavel").agg(F.count(F.lit(1)).alias("d")).collect()}
-    wanted = {c: min(n_bins, distinct[c]) for c in columns if c in distinct}
-    probs = sorted({i / k for k in wanted.values() for i in range(k + 1)})
-    found: dict[str, dict[float, float]] = {}
-    for r in ranked_quantiles(ranked, ["variavel"], "value", probs).collect():
-        found.setdefault(r["variavel"], {})[r["prob"]] = r["quantile"]
-    edges = {c: distinct_edges([found[c][i / k] for i in range(k + 1)]) for c, k in wanted.items()}
+    counts = column_counts(df, columns).withColumn("d", F.lit(1))
+    bins = F.least(F.lit(n_bins).cast("long"), F.col("d_sum"))
+    options = F.transform(F.sequence(F.lit(0).cast("long"), bins), lambda i: i / bins)
+    table = ranked_quantiles(running(counts, ["variavel"], "value", ["n", "d"]), ["variavel"], "value", options)
+    found: dict[str, list[float]] = {}
+    for r in table.collect():
+        found.setdefault(r["variavel"], []).append(r["quantile"])
+    edges = {c: distinct_edges(v) for c, v in found.items()}
     return {c: e for c, e in edges.items() if len(e) > 1}
 
 

@@ -44,17 +44,20 @@ def running(counts: DataFrame, keys: list[str], value: str, measures: list[str])
     )
 
 
+def prob_list(probs: list[float]) -> Column:
+    return F.array(*[F.lit(float(p)) for p in probs])
+
+
 def quantiles(counts: DataFrame, keys: list[str], value: str, probs: list[float], n: str = "n") -> DataFrame:
     """Exact quantiles with linear interpolation: one row per (keys, prob).
 
     ``counts`` has one row per (keys, value) with its number of rows ``n``.
     """
-    return ranked_quantiles(running(counts, keys, value, [n]), keys, value, probs, n)
+    return ranked_quantiles(running(counts, keys, value, [n]), keys, value, prob_list(probs), n)
 
 
-def ranked_quantiles(ranked: DataFrame, keys: list[str], value: str, probs: list[float], n: str = "n") -> DataFrame:
-    """``quantiles`` for counts that carry their running totals already."""
-    options = F.array(*[F.lit(float(p)) for p in probs])
+def ranked_quantiles(ranked: DataFrame, keys: list[str], value: str, options: Column, n: str = "n") -> DataFrame:
+    """``quantiles`` for counts that carry their running totals; ``options`` is an array of probabilities."""
     first, last, size = F.col(f"{n}_to") - F.col(n), F.col(f"{n}_to") - 1, F.col(f"{n}_sum")
 
     def position(p: Column) -> Column:
@@ -129,7 +132,7 @@ def banded(counts: DataFrame, keys: list[str], value: str, n_bins: int, name: st
     """Give each distinct value its quantile band within the keys; equal edges merge into fewer bands."""
     ranked = running(counts, keys, value, ["n"])
     edges = (
-        ranked_quantiles(ranked, keys, value, [i / n_bins for i in range(n_bins + 1)])
+        ranked_quantiles(ranked, keys, value, prob_list([i / n_bins for i in range(n_bins + 1)]))
         .groupBy(*keys).agg(F.sort_array(F.collect_set("quantile")).alias("__edges"))
     )
     few, _ = pinned(edges)

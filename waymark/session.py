@@ -57,7 +57,7 @@ def pinned(df: DataFrame, max_rows: int = 10_000) -> tuple[DataFrame, bool]:
     come back as a local table marked for broadcast; beyond it the table is
     returned as it was and joins shuffle.
     """
-    rows = df.limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
+    rows = df.limit(max_rows + 1).toArrow()
+    if rows.num_rows > max_rows:
         return df, False
     return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema)), True
