@@ -20,7 +20,7 @@ from waymark.session import written
 from waymark.spec import ENTITY, TIME
 
 SLICE = "__slice"
-HOT_ROWS = 1_000_000
+HOT_ROWS = 100_000
 HOT_LIST = 10_000
 EARLIER = (Window.unboundedPreceding, -1)
 

@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from waymark.session import pinned
+
 INTEGERS = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 
 
@@ -38,9 +40,11 @@ def align(df: DataFrame, schema: T.StructType) -> DataFrame:
 def merge_rare(df: DataFrame, column: str, min_freq: int, other: str = "OTHER") -> DataFrame:
     """Replace levels with fewer than ``min_freq`` rows; nulls stay null.
 
-    Only the frequent levels are joined back; there are at most rows / min_freq of them.
+    Only the frequent levels are joined back, by broadcast while they are few,
+    so that a level with many rows does not gather in one task.
     """
-    frequent = df.filter(F.col(column).isNotNull()).groupBy(F.col(column).alias("__level")).count().filter(F.col("count") >= min_freq)
+    levels = df.filter(F.col(column).isNotNull()).groupBy(F.col(column).alias("__level")).count()
+    frequent, _ = pinned(levels.filter(F.col("count") >= min_freq))
     joined = df.join(frequent, F.col(column) == F.col("__level"), "left")
     level = F.when(F.col(column).isNull(), F.lit(None)).when(F.col("__level").isNull(), F.lit(other)).otherwise(F.col(column))
     return joined.withColumn(column, level).drop("__level", "count")

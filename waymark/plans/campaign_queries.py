@@ -400,6 +400,11 @@ def b10(spark, sf):
     return rounded(campaign(spark, sf, stage=True).book_full())
 
 
+@query("b10_book_full_hot_entities", fx.with_(*ALL_BOOKS, FULL_SQL) + rounded_sql("book_full", ALL_DOUBLES))
+def b10_hot(spark, sf):
+    return rounded(campaign(spark, sf, stage=True, hot_rows=60).book_full())
+
+
 BASE_SQL = """base AS (
   SELECT p.ID, p.target_sucesso, b.* EXCLUDE (ID) FROM publico_com_target p LEFT JOIN book_full b ON p.ID = b.ID)"""
 MODELLING = (*ALL_BOOKS, FULL_SQL, LABEL_SQL, BASE_SQL)
