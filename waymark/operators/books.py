@@ -348,12 +348,14 @@ def book_communication(history: DataFrame, mode: str = REFERENCE) -> DataFrame:
 
 
 # Prefix of the prior counts and the column that defines "the same kind of item".
-SAME_KIND = {"tipo": "offer_type", "oferta": ITEM, "dur": "bucket_duracao", "disc": "bucket_desconto", "min": "bucket_minimo"}
+SAME_KIND = {"tipo": "tipo_ou_vazio", "oferta": ITEM, "dur": "bucket_duracao", "disc": "bucket_desconto", "min": "bucket_minimo"}
 
 
 def composite_counts(spans: DataFrame, frames: Frames = Frames(), mode: str = REFERENCE) -> DataFrame:
     """Received, viewed and converted repeats before each one, by entity and kind of item."""
     converted = F.col("conv_flag")
+    # An item the catalogue lacks has no type; such items form one kind.
+    spans = spans.withColumn("tipo_ou_vazio", F.coalesce("offer_type", F.lit("")))
     groups = []
     for prefix, column in SAME_KIND.items():
         names = {f"rcv_{prefix}": rows(), f"view_{prefix}": total(F.col("view_flag")), f"conv_{prefix}": total(converted)}

@@ -11,7 +11,6 @@ same rows; ``split_histories`` says which part of the log goes which way.
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -195,23 +194,19 @@ def carried(
 ) -> DataFrame:
     """Running measures by (keys, slice) plus the totals of all earlier slices of the same keys.
 
-    The totals are one row per key and slice, however many rows a slice has.
+    Keys must not be null. The totals are one row per key and slice, however
+    many rows a slice has; the window and the join of a key set share one exchange.
     """
     out = df
     for keys, measures in groups:
         own = Window.partitionBy(*keys, slice_col).orderBy(*order).rowsBetween(*frame)
-        out = out.withColumns({n: m.aggregate().over(own) for n, m in measures.items()})
-    for keys, measures in groups:
         before = Window.partitionBy(*keys).orderBy(slice_col).rowsBetween(*EARLIER)
         totals = df.groupBy(*keys, slice_col).agg(*[m.aggregate().alias(n) for n, m in measures.items()])
-        carry = totals.select(
-            *[F.col(k).alias(f"__c_{k}") for k in [*keys, slice_col]],
-            *[m.merge(n).over(before).alias(f"__c_{n}") for n, m in measures.items()],
-        )
-        same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__c_{k}")) for k in [*keys, slice_col]])
-        out = out.join(carry, same, "left").withColumns(
+        carry = totals.select(*keys, slice_col, *[m.merge(n).over(before).alias(f"__c_{n}") for n, m in measures.items()])
+        local = out.withColumns({n: m.aggregate().over(own) for n, m in measures.items()})
+        out = local.join(carry, [*keys, slice_col], "left").withColumns(
             {n: m.combine(F.col(n), F.col(f"__c_{n}")) for n, m in measures.items()}
-        ).drop(*carry.columns)
+        ).drop(*[f"__c_{n}" for n in measures])
     return out
 
 

@@ -26,21 +26,24 @@ def keyed(df: DataFrame, keys: list[str]) -> tuple[DataFrame, list[str]]:
 
 
 def running(counts: DataFrame, keys: list[str], value: str, measures: list[str]) -> DataFrame:
-    """Add ``<m>_to`` (this and all smaller values) and ``<m>_sum`` (all values of the keys) for each measure."""
-    df = counts.withColumn(SLICE, magnitude_slice(F.col(value)))
+    """Add ``<m>_to`` (this and all smaller values) and ``<m>_sum`` (all values of the keys) for each measure.
+
+    Rows whose keys are null are left out, as in any grouping of the statistics.
+    """
+    # Never null, so that the join adds no filter to one side and both sides read one exchange.
+    df = counts.withColumn(SLICE, F.coalesce(magnitude_slice(F.col(value)), F.lit(0).cast("long")))
     own = Window.partitionBy(*keys, SLICE).orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
     before = Window.partitionBy(*keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
     everything = Window.partitionBy(*keys)
-    slices = df.groupBy(*keys, SLICE).agg(*[F.sum(m).alias(m) for m in measures])
-    carry = slices.select(
-        *[F.col(k).alias(f"__c_{k}") for k in [*keys, SLICE]],
+    # One row per slice, a number that the range of a double bounds.
+    carry = df.groupBy(*keys, SLICE).agg(*[F.sum(m).alias(m) for m in measures]).select(
+        *keys, SLICE,
         *[F.coalesce(F.sum(m).over(before), F.lit(0)).alias(f"__b_{m}") for m in measures],
         *[F.sum(m).over(everything).alias(f"{m}_sum") for m in measures],
     )
-    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__c_{k}")) for k in [*keys, SLICE]])
-    out = df.withColumns({f"{m}_to": F.sum(m).over(own) for m in measures}).join(carry, same)
+    out = df.withColumns({f"{m}_to": F.sum(m).over(own) for m in measures}).join(carry, [*keys, SLICE])
     return out.withColumns({f"{m}_to": F.col(f"{m}_to") + F.col(f"__b_{m}") for m in measures}).drop(
-        SLICE, *[f"__c_{k}" for k in [*keys, SLICE]], *[f"__b_{m}" for m in measures]
+        SLICE, *[f"__b_{m}" for m in measures]
     )
 
 

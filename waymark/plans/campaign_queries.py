@@ -309,7 +309,7 @@ def _rate(num: str, den: str) -> str:
 PAIR_BOOK_SQL = f"""contagens AS (
   SELECT *, {', '.join(
       f'count(*) {_same(col)} AS r_{p}, sum(view_flag) {_same(col)} AS v_{p}, sum(conv_flag) {_same(col)} AS c_{p}'
-      for p, col in B.SAME_KIND.items())},
+      for p, col in {**B.SAME_KIND, 'tipo': 'offer_type'}.items())},
     {', '.join(f'sum({c}) {INST_BEFORE} AS r_{c}, sum({c} * conv_flag) {INST_BEFORE} AS c_{c}' for c in CHANNELS)},
     max(start_t) {_same('offer_id')} AS last_start
   FROM inst
