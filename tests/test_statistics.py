@@ -15,7 +15,7 @@ from waymark.operators import prep as M
 from waymark.operators import recommend as R
 from waymark.operators import stability as L
 from waymark.operators import tables as B
-from waymark.operators.ordered import bin_of, column_counts, column_quantiles, equal_bin_of, equal_edges, quantiles
+from waymark.operators.ordered import bin_of, column_quantiles, column_values, equal_bin_of, equal_edges, prob_list, quantiles
 from waymark.sources import files as S
 
 
@@ -95,7 +95,7 @@ def test_exact_quantiles_match_numpy(spark):
     probs = [0, 0.1, 0.25, 0.5, 0.77, 1]
     got = column_quantiles(df, ["x"], probs)["x"]
     assert got == pytest.approx(list(np.quantile(values, probs)))
-    grouped = quantiles(column_counts(df, ["x"], [F.lit("g").alias("g")]), ["variavel", "g"], "value", [0.5]).first()
+    grouped = quantiles(column_values(df, ["x"], [F.lit("g").alias("g")]), ["variavel", "g"], "value", prob_list([0.5])).first()
     assert grouped["quantile"] == pytest.approx(float(np.median(values)))
 
 

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import math
+from functools import reduce
 from itertools import combinations
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from waymark.operators.ordered import bin_of, column_counts, distinct_edges, ranked_quantiles, running
+from waymark.operators.ordered import bin_of, column_values, distinct_edges, prob_list, quantiles, running, slice_counts
 from waymark.operators.stability import binned_counts, edge_table, reference_edges
 from waymark.operators.tables import columns_of, level_counts, modal_share, null_share, value_counts
 from waymark.session import pinned, written
@@ -215,10 +216,20 @@ def _quantile_edges(df: DataFrame, columns: list[str], n_bins: int) -> dict[str,
     """Quantile edges for min(n_bins, distinct values) bins per column, equal edges merged; one pass for all columns."""
     if not columns:
         return {}
-    counts = column_counts(df, columns).withColumn("d", F.lit(1))
-    bins = F.least(F.lit(n_bins).cast("long"), F.col("d_sum"))
-    options = F.transform(F.sequence(F.lit(0).cast("long"), bins), lambda i: i / bins)
-    table = ranked_quantiles(running(counts, ["variavel"], "value", ["n", "d"]), ["variavel"], "value", options)
+    rows = column_values(df, columns)
+    slices, _ = pinned(slice_counts(rows, ["variavel"], "value"), 200_000)
+    # As many slices as bins prove as many distinct values; only columns with fewer slices are counted exactly.
+    distinct = {r["variavel"]: r["d"] for r in slices.groupBy("variavel").agg(F.count(F.lit(1)).alias("d")).collect()}
+    few = [c for c, d in distinct.items() if d < n_bins]
+    if few:
+        exact = rows.filter(F.col("variavel").isin(few)).groupBy("variavel").agg(F.count_distinct("value").alias("d"))
+        distinct.update({r["variavel"]: r["d"] for r in exact.collect()})
+    bins = {c: min(n_bins, d) for c, d in distinct.items()}
+    options = reduce(
+        lambda otherwise, c: F.when(F.col("variavel") == c[0], prob_list([i / c[1] for i in range(c[1] + 1)])).otherwise(otherwise),
+        bins.items(), F.array().cast("array<double>"),
+    )
+    table = quantiles(rows, ["variavel"], "value", options, slices=slices)
     found: dict[str, list[float]] = {}
     for r in table.collect():
         found.setdefault(r["variavel"], []).append(r["quantile"])

@@ -51,49 +51,61 @@ def prob_list(probs: list[float]) -> Column:
     return F.array(*[F.lit(float(p)) for p in probs])
 
 
-def quantiles(counts: DataFrame, keys: list[str], value: str, probs: list[float], n: str = "n") -> DataFrame:
-    """Exact quantiles with linear interpolation: one row per (keys, prob).
-
-    ``counts`` has one row per (keys, value) with its number of rows ``n``.
-    """
-    return ranked_quantiles(running(counts, keys, value, [n]), keys, value, prob_list(probs), n)
+def slice_counts(rows: DataFrame, keys: list[str], value: str, weight: Column | None = None) -> DataFrame:
+    """Rows per (keys, slice of the value): a small table, counted inside each task first."""
+    size = F.count(F.lit(1)) if weight is None else F.sum(weight)
+    return with_slice(rows, value).groupBy(*keys, SLICE).agg(size.alias("m"))
 
 
-def ranked_quantiles(ranked: DataFrame, keys: list[str], value: str, options: Column, n: str = "n") -> DataFrame:
-    """``quantiles`` for counts that carry their running totals; ``options`` is an array of probabilities."""
-    first, last, size = F.col(f"{n}_to") - F.col(n), F.col(f"{n}_to") - 1, F.col(f"{n}_sum")
+def with_slice(rows: DataFrame, value: str) -> DataFrame:
+    return rows.withColumn(SLICE, F.coalesce(magnitude_slice(F.col(value)), F.lit(0).cast("long")))
 
-    def position(p: Column) -> Column:
-        return (size - 1) * p
-
-    # Only the few values that hold one of the wanted ranks go on.
-    held = F.filter(options, lambda p: (F.ceil(position(p)) >= first) & (F.floor(position(p)) <= last))
-    hits = ranked.withColumn("__p", F.explode(held))
-    lower, upper = F.floor(position(F.col("__p"))), F.ceil(position(F.col("__p")))
-    return (
-        hits.groupBy(*keys, F.col("__p").alias("prob"))
-        .agg(
-            F.max(F.when((lower >= first) & (lower <= last), F.col(value))).alias("lo"),
-            F.max(F.when((upper >= first) & (upper <= last), F.col(value))).alias("hi"),
-            F.max(position(F.col("__p")) - lower).alias("part"),
-        )
-        .select(*keys, "prob", (F.col("lo") + (F.col("hi") - F.col("lo")) * F.col("part")).alias("quantile"))
-    )
 
+def quantiles(
+    rows: DataFrame, keys: list[str], value: str, options: Column, weight: Column | None = None, slices: DataFrame | None = None,
+) -> DataFrame:
+    """Exact quantiles with linear interpolation: one row per (keys, prob).
 
-def column_counts(df: DataFrame, columns: list[str], extra: list[Column] | None = None, variable: str = "variavel") -> DataFrame:
-    """One row per (variable, value) of the numeric columns with its row count; null and NaN are left out."""
+    ``options`` is an array of probabilities. Two passes, neither of which
+    shuffles the column: the first counts rows per slice of the value and so
+    finds the few slices that hold the wanted ranks; the second counts the
+    distinct values of those slices only.
+    """
+    before = Window.partitionBy(*keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
+    counted = slice_counts(rows, keys, value, weight) if slices is None else slices
+    placed = counted.withColumns({
+        "first": F.coalesce(F.sum("m").over(before), F.lit(0)), "size": F.sum("m").over(Window.partitionBy(*keys)),
+    }).withColumn("prob", F.explode(options))
+    position = (F.col("size") - 1) * F.col("prob")
+    wanted = placed.select(*keys, SLICE, "first", "prob", position.alias("at"), F.floor(position).alias("lower"), F.ceil(position).alias("upper"), "m")
+    hits, few = pinned(wanted.filter((F.col("upper") >= F.col("first")) & (F.col("lower") < F.col("first") + F.col("m"))).drop("m"))
+    spots = hits.select(*keys, SLICE).distinct()
+    inside = with_slice(rows, value).join(F.broadcast(spots) if few else spots, [*keys, SLICE], "left_semi")
+    size = F.count(F.lit(1)) if weight is None else F.sum(weight)
+    values = inside.groupBy(*keys, SLICE, value).agg(size.alias("n"))
+    to_here = Window.partitionBy(*keys, SLICE).orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
+    found = values.withColumn("to", F.sum("n").over(to_here)).join(hits, [*keys, SLICE])
+    first, last = F.col("first") + F.col("to") - F.col("n"), F.col("first") + F.col("to") - 1
+
+    def held(rank: str) -> Column:
+        return F.max(F.when((F.col(rank) >= first) & (F.col(rank) <= last), F.col(value)))
+
+    ends = found.groupBy(*keys, "prob").agg(held("lower").alias("lo"), held("upper").alias("hi"), F.max(F.col("at") - F.col("lower")).alias("part"))
+    return ends.select(*keys, "prob", (F.col("lo") + (F.col("hi") - F.col("lo")) * F.col("part")).alias("quantile"))
+
+
+def column_values(df: DataFrame, columns: list[str], extra: list[Column] | None = None) -> DataFrame:
+    """The numeric columns stacked as (variavel, value); null and NaN are left out."""
     long = df.select(*[F.col(c).cast("double").alias(c) for c in columns], *(extra or []))
     ids = [c for c in long.columns if c not in columns]
-    long = long.unpivot(ids, columns, variable, "value").filter(F.col("value").isNotNull() & ~F.isnan("value"))
-    return long.groupBy(variable, *ids, "value").agg(F.count(F.lit(1)).alias("n"))
+    return long.unpivot(ids, columns, "variavel", "value").filter(F.col("value").isNotNull() & ~F.isnan("value"))
 
 
 def column_quantiles(df: DataFrame, columns: list[str], probs: list[float], accuracy: int | None = None) -> dict[str, list[float]]:
     """Quantiles of many columns in one pass, returned to the driver (columns x probs values).
 
-    Exact by default. ``accuracy`` asks for Spark's sketch instead, which needs
-    no shuffle of the values.
+    Exact by default. ``accuracy`` asks for Spark's sketch instead, one pass
+    instead of two.
     """
     out: dict[str, list] = {c: [None] * len(probs) for c in columns}
     if not columns:
@@ -101,7 +113,7 @@ def column_quantiles(df: DataFrame, columns: list[str], probs: list[float], accu
     if accuracy is not None:
         row = df.agg(*[F.percentile_approx(F.col(c).cast("double"), probs, accuracy).alias(c) for c in columns]).first()
         return {c: list(row[c]) if row[c] is not None else out[c] for c in columns}
-    table = quantiles(column_counts(df, columns), ["variavel"], "value", probs)
+    table = quantiles(column_values(df, columns), ["variavel"], "value", prob_list(probs))
     place = {float(p): i for i, p in enumerate(probs)}
     for r in table.collect():
         out[r["variavel"]][place[r["prob"]]] = r["quantile"]
@@ -133,14 +145,13 @@ def distinct_edges(values: list[float | None]) -> list[float]:
 
 def banded(counts: DataFrame, keys: list[str], value: str, n_bins: int, name: str = "quantil") -> DataFrame:
     """Give each distinct value its quantile band within the keys; equal edges merge into fewer bands."""
-    ranked = running(counts, keys, value, ["n"])
-    edges = (
-        ranked_quantiles(ranked, keys, value, prob_list([i / n_bins for i in range(n_bins + 1)]))
-        .groupBy(*keys).agg(F.sort_array(F.collect_set("quantile")).alias("__edges"))
+    options = prob_list([i / n_bins for i in range(n_bins + 1)])
+    edges = quantiles(counts, keys, value, options, F.col("n")).groupBy(*keys).agg(
+        F.sort_array(F.collect_set("quantile")).alias("__edges")
     )
     few, _ = pinned(edges)
     return (
-        ranked.join(few, keys)
+        counts.join(few, keys)
         .withColumn(name, F.greatest(F.size(F.filter("__edges", lambda e: e < F.col(value))), F.lit(1)))
         .drop("__edges")
     )

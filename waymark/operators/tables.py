@@ -75,15 +75,14 @@ def value_counts(df: DataFrame, column: str) -> DataFrame:
 
 def describe(df: DataFrame, columns: list[str]) -> DataFrame:
     """Count, mean, deviation, extremes and exact quartiles: one row per column."""
-    from waymark.operators.ordered import column_counts, quantiles
+    from waymark.operators.ordered import column_values, prob_list, quantiles
 
-    long = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).unpivot([], columns, "variavel", "value")
-    long = long.filter(F.col("value").isNotNull() & ~F.isnan("value"))
+    long = column_values(df, columns)
     basics = long.groupBy("variavel").agg(
         F.count("value").alias("count"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"),
         F.min("value").alias("min"), F.max("value").alias("max"),
     )
-    quart = quantiles(column_counts(df, columns), ["variavel"], "value", [0.25, 0.5, 0.75]).groupBy("variavel").agg(*[
+    quart = quantiles(long, ["variavel"], "value", prob_list([0.25, 0.5, 0.75])).groupBy("variavel").agg(*[
         F.max(F.when(F.col("prob") == p, F.col("quantile"))).alias(n) for p, n in [(0.25, "p25"), (0.5, "p50"), (0.75, "p75")]
     ])
     return basics.join(quart, "variavel").select("variavel", "count", "mean", "std", "min", "p25", "p50", "p75", "max")
@@ -109,12 +108,12 @@ def by_target(df: DataFrame, columns: list[str], target: str) -> DataFrame:
 
     Medians come from exact distributed ranks, everything else from one aggregate.
     """
-    from waymark.operators.ordered import column_counts, quantiles
+    from waymark.operators.ordered import column_values, prob_list, quantiles
 
     stats = {"mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
     basics = df.groupBy(target).agg(*[f(c).alias(f"{c}_{n}") for c in columns for n, f in stats.items()])
-    counts = column_counts(df, columns, [F.col(target)])
-    medians = quantiles(counts, ["variavel", target], "value", [0.5]).groupBy(target).agg(*[
+    rows = column_values(df, columns, [F.col(target)])
+    medians = quantiles(rows, ["variavel", target], "value", prob_list([0.5])).groupBy(target).agg(*[
         F.max(F.when(F.col("variavel") == c, F.col("quantile"))).alias(f"{c}_median") for c in columns
     ])
     return basics.join(medians, target)

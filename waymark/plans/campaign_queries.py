@@ -350,18 +350,22 @@ BOOK_QUERIES = {
 }
 
 
+# Books that read the attributed conversions twice write them once.
+STAGED = ("interaction", "pair")
+
+
 def _register_book(name: str, method: str, ctes: tuple, source: str, doubles: list[str] | None) -> None:
     sql = fx.with_(*ctes) + rounded_sql(source, doubles)
 
     @query(name, sql)
     def ordinary(spark, sf):
-        return rounded(getattr(campaign(spark, sf), method)())
+        return rounded(getattr(campaign(spark, sf, stage=method in STAGED), method)())
 
     if method != "offer":
         # The same rows with histories above 60 rows cut into day slices.
         @query(f"{name}_hot_entities", sql)
         def sliced(spark, sf):
-            return rounded(getattr(campaign(spark, sf, hot_rows=60), method)())
+            return rounded(getattr(campaign(spark, sf, hot_rows=60, stage=method in STAGED), method)())
 
 
 for _name, _spec in BOOK_QUERIES.items():
