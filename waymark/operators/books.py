@@ -200,7 +200,7 @@ def instances(
     pair for every repeat; ``point_in_time`` those of the repeat's own span.
     """
     if mode == POINT_IN_TIME:
-        base = _own_span_firsts(log, items, conversions, spec)
+        base = _own_span_firsts(log, items, conversions, spec, frames)
     else:
         base = _pair_firsts(log, conversions, spec, frames)
     return with_items(base, items).withColumns({
@@ -237,27 +237,26 @@ def _pair_firsts(log: DataFrame, conversions: DataFrame, spec: EventSpec, frames
     )
 
 
-def _own_span_firsts(log: DataFrame, items: DataFrame, conversions: DataFrame, spec: EventSpec) -> DataFrame:
+def _own_span_firsts(log: DataFrame, items: DataFrame, conversions: DataFrame, spec: EventSpec, frames: Frames) -> DataFrame:
     """First view and conversion in each repeat's own span.
 
-    Views and conversions belong to the latest repeat at or before them. The
-    conversions carry their start already; views find it on the pair's timeline.
+    Views belong to the latest repeat at or before them, found as a running
+    maximum on the pair's timeline. Conversions carry their start already.
     """
-    marks = received(log, spec).select(ENTITY, ITEM, F.col(TIME).alias("start_t"), F.col(TIME).alias("at"), F.lit(0).alias("k"))
-    seen = log.filter(F.col(EVENT) == spec.viewed).select(ENTITY, ITEM, F.col(TIME).alias("at"), F.lit(1).alias("k"))
-    w = Window.partitionBy(ENTITY, ITEM).orderBy("at", "k").rowsBetween(Window.unboundedPreceding, 0)
-    placed = marks.unionByName(seen, allowMissingColumns=True).withColumn("start_t", F.max("start_t").over(w))
-    events = placed.select(ENTITY, ITEM, "start_t", F.when(F.col("k") == 1, F.col("at")).alias("v"), F.lit(None).cast("double").alias("c"))
-    earned = conversions.select(ENTITY, ITEM, "start_t", F.lit(None).cast("double").alias("v"), F.col(TIME).alias("c"))
-    firsts = (
-        with_items(events.unionByName(earned).filter(F.col("start_t").isNotNull()), items, ["duration"])
-        .groupBy(ENTITY, ITEM, "start_t")
-        .agg(
-            F.min(F.when(F.col("v") <= F.col("start_t") + F.col("duration"), F.col("v"))).alias("first_t_view"),
-            F.min("c").alias("first_t_conv_valid"),
-        )
+    time, nothing = F.col(TIME), F.lit(None).cast("double")
+    marks = received(log, spec).select(ENTITY, ITEM, time.alias("at"), F.lit(0).alias("k"))
+    seen = log.filter(F.col(EVENT) == spec.viewed).select(ENTITY, ITEM, time.alias("at"), F.lit(1).alias("k"))
+    placed = frames.earlier(
+        frames.gather(marks.unionByName(seen), ENTITY), [ENTITY, ITEM], ["at", "k"],
+        {"start_t": latest(F.when(F.col("k") == 0, F.col("at")))}, time="at", frame=(Window.unboundedPreceding, 0),
+    )
+    events = placed.select(ENTITY, ITEM, "start_t", F.when(F.col("k") == 1, F.col("at")).alias("v"), nothing.alias("c"))
+    earned = conversions.select(ENTITY, ITEM, "start_t", nothing.alias("v"), time.alias("c"))
+    spans = with_items(events.unionByName(earned).filter(F.col("start_t").isNotNull()), items, ["duration"])
+    inside = F.col("v") <= F.col("start_t") + F.col("duration")
+    return spans.groupBy(ENTITY, ITEM, "start_t").agg(
+        F.min(F.when(inside, F.col("v"))).alias("first_t_view"), F.min("c").alias("first_t_conv_valid")
     )
-    return firsts
 
 
 INSTANCE_ORDER = ["start_t", ITEM]

@@ -75,9 +75,8 @@ def chi2_table(df: DataFrame, columns: list[str], target: str, min_freq: int = 1
     )
     name = F.when(F.col("r") < min_freq, F.lit("OTHER")).otherwise(F.col("nivel"))
     merged = cells.groupBy("variavel", name.alias("nivel")).agg(F.sum("r").alias("r"), F.sum("o1").alias("o1"))
-    totals, _ = pinned(merged.groupBy("variavel").agg(
-        F.sum("r").alias("n"), F.sum("o1").alias("c1"), (F.count(F.lit(1)) - 1).alias("dof")
-    ))
+    merged, _ = pinned(merged)
+    totals = merged.groupBy("variavel").agg(F.sum("r").alias("n"), F.sum("o1").alias("c1"), (F.count(F.lit(1)) - 1).alias("dof"))
     wide = merged.join(totals, "variavel").filter((F.col("dof") >= 1) & (F.col("c1") > 0) & (F.col("c1") < F.col("n")))
 
     def part(seen: Column, expected: Column) -> Column:
@@ -203,7 +202,8 @@ def woe_bins(df: DataFrame, columns: list[str], target: str, n_bins: int = 10, m
     counts = parts.unpivot(["__y"], kept, "variavel", "bin").filter(F.col("bin").isNotNull()).groupBy("variavel", "bin").agg(
         F.count_if(F.col("__y") == 0).alias("neg"), F.count_if(F.col("__y") == 1).alias("pos")
     )
-    totals, _ = pinned(counts.groupBy("variavel").agg(F.sum("neg").alias("N"), F.sum("pos").alias("P")))
+    counts, _ = pinned(counts)
+    totals = counts.groupBy("variavel").agg(F.sum("neg").alias("N"), F.sum("pos").alias("P"))
     dist_neg, dist_pos = (F.col("neg") + eps) / (F.col("N") + eps), (F.col("pos") + eps) / (F.col("P") + eps)
     woe = F.ln(dist_pos / dist_neg)
     return counts.join(totals, "variavel").select(

@@ -26,13 +26,18 @@ def build_session(app: str = "waymark", master: str | None = None, partitions: i
     return builder.getOrCreate()
 
 
+_TEMPORARY: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach: spark.checkpoint.dir, or a temporary one where it is unset."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = tempfile.mkdtemp(prefix="waymark-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    return base
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if named:
+        return named
+    application = spark.sparkContext.applicationId
+    if application not in _TEMPORARY:
+        _TEMPORARY[application] = tempfile.mkdtemp(prefix="waymark-")
+    return _TEMPORARY[application]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
