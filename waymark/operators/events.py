@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from waymark.functions.columns import pair_key, year_of
+from waymark.operators.frames import entity_table
 from waymark.session import pinned
 from waymark.spec import DEFAULT, ENTITY, ENTITY_COLUMNS, EVENT, ITEM, ITEM_COLUMNS, KEY, TIME, EventSpec
 
@@ -31,9 +32,11 @@ def with_entities(df: DataFrame, entities: DataFrame, hot: list | None = None, c
     side = entities.select(F.col("profile_id").alias(ENTITY), *columns)
     if not hot:
         return df.join(side, ENTITY, "left")
-    is_hot = F.coalesce(F.col(ENTITY).isin(hot), F.lit(False))
-    few = F.broadcast(side.filter(is_hot))
-    return df.filter(~is_hot).join(side, ENTITY, "left").unionByName(df.filter(is_hot).join(few, ENTITY, "left"))
+    keys = entity_table(df, hot)
+    few = F.broadcast(side.join(keys, ENTITY, "left_semi"))
+    return df.join(keys, ENTITY, "left_anti").join(side, ENTITY, "left").unionByName(
+        df.join(keys, ENTITY, "left_semi").join(few, ENTITY, "left")
+    )
 
 
 def enrich(log: DataFrame, items: DataFrame, entities: DataFrame, hot: list | None = None) -> DataFrame:

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -74,8 +75,13 @@ def split_histories(log: DataFrame, hot: list, entity: str = ENTITY, slice_days:
     """The log as one part, or as an ordinary and a sliced part where there are hot entities."""
     if not hot:
         return [(log, Frames())]
-    is_hot = F.coalesce(F.col(entity).isin(hot), F.lit(False))
-    return [(log.filter(~is_hot), Frames()), (log.filter(is_hot), Frames(slice_days))]
+    keys = entity_table(log, hot, entity)
+    return [(log.join(keys, entity, "left_anti"), Frames()), (log.join(keys, entity, "left_semi"), Frames(slice_days))]
+
+
+def entity_table(df: DataFrame, entities: list, name: str = ENTITY) -> DataFrame:
+    """A bounded list of entities as a table to broadcast."""
+    return F.broadcast(df.sparkSession.createDataFrame(pa.table({name: pa.array(entities, pa.string())})))
 
 
 @dataclass(frozen=True)

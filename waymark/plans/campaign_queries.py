@@ -69,6 +69,14 @@ def c1(spark, sf):
     return E.enrich(c.log, c.items, c.entities, c.hot)
 
 
+@query("c1_enrich_hot_entities", fx.with_(*BASE) + """
+SELECT e.cliente_id, e.offer_id, e.event, e.t, o.offer_type, p.age, concat_ws('_', e.cliente_id, e.offer_id) AS ID
+FROM ev e LEFT JOIN fx_offers o ON e.offer_id = o.offer_id LEFT JOIN fx_profile p ON e.cliente_id = p.profile_id""")
+def c1_hot(spark, sf):
+    c = campaign(spark, sf, hot_rows=60)
+    return E.enrich(c.log, c.items, c.entities, c.hot).select(ENTITY, ITEM, "event", TIME, "offer_type", "age", "ID")
+
+
 @query("c2_audience", fx.with_(*LABELLED) + "SELECT ID, cliente_id, offer_id FROM publico")
 def c2(spark, sf):
     return E.audience(fx.transactions(spark, sf))
