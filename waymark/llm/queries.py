@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waymark.llm import substring
+from waymark.llm import line_rules, substring
 from waymark.llm.text import table
 from waymark.plans.registry import Query
 
@@ -38,3 +38,9 @@ def query(name: str, sql: str | None = None):
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = substring.remove_repeats(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+@query("op8_line_quality")
+def op8_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return line_rules.judge(docs, line_rules.fit_field(docs, table(spark, sf_dir, "labels"))).drop("line_states")

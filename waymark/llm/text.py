@@ -19,8 +19,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 #: Bytes of text that one numpy pass takes; longer texts are taken alone.
 CHUNK_BYTES = 1 << 20
 
-_SPACE = np.zeros(256, dtype=bool)
-_SPACE[[9, 10, 11, 12, 13, 32]] = True
+SPACE = np.zeros(256, dtype=bool)
+SPACE[[9, 10, 11, 12, 13, 32]] = True
 _BYTE = np.random.default_rng(20251).integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
@@ -58,7 +58,7 @@ def _powers(n: int) -> np.ndarray:
 
 def chunks(column: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int]]:
     """Row ranges of a string column that hold about ``limit`` bytes each."""
-    sizes = np.diff(_offsets(column))
+    sizes = np.diff(text_offsets(column))
     start, held = 0, 0
     for row, size in enumerate(sizes.tolist()):
         if held and held + size > limit:
@@ -77,33 +77,43 @@ def strings(column: pa.Array | pa.ChunkedArray) -> pa.Array:
     return column.fill_null("") if column.null_count else column
 
 
-def _offsets(column: pa.Array) -> np.ndarray:
+def text_offsets(column: pa.Array) -> np.ndarray:
     return np.frombuffer(column.buffers()[1], dtype=np.int64)[column.offset: column.offset + len(column) + 1] if len(column) else np.zeros(1, np.int64)
 
 
-def hashed_words(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit hashes of all words of a string array, and each text's first word in them (one entry more than texts)."""
-    offsets = _offsets(column)
+def bytes_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of a string array and each text's first byte in them (one entry more than texts)."""
+    offsets = text_offsets(column)
     data = column.buffers()[2]
-    if data is None or offsets[-1] == offsets[0]:
-        return np.zeros(0, np.uint64), np.zeros(len(column) + 1, np.int64)
-    raw = np.frombuffer(data, dtype=np.uint8)[offsets[0]: offsets[-1]]
-    offsets = offsets - offsets[0]
-    word = ~_SPACE[raw]
+    raw = np.frombuffer(data, dtype=np.uint8)[offsets[0]: offsets[-1]] if data is not None else np.zeros(0, np.uint8)
+    return raw, offsets - offsets[0]
+
+
+def word_starts(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which bytes belong to words, and the first byte of each word. Words end where texts end."""
+    word = ~SPACE[raw]
     begins = word.copy()
     begins[1:] &= ~word[:-1]
     firsts = offsets[:-1][np.diff(offsets) > 0]
     begins[firsts] = word[firsts]
-    starts = np.flatnonzero(begins)
-    bounds = np.searchsorted(starts, offsets)
-    if not len(starts):
-        return np.zeros(0, np.uint64), bounds
-    letters = raw[word]
-    at = (np.cumsum(word) - 1)[starts]
+    return word, np.flatnonzero(begins)
+
+
+def hashed_words(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of all words of a string array, and each text's first word in them (one entry more than texts)."""
+    raw, offsets = bytes_of(column)
+    word, starts = word_starts(raw, offsets)
+    return run_hashes(raw, word, starts) if len(starts) else np.zeros(0, np.uint64), np.searchsorted(starts, offsets)
+
+
+def run_hashes(raw: np.ndarray, inside: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Hashes of the runs of bytes that begin at ``starts`` and hold the bytes marked ``inside``; no run is empty."""
+    letters = raw[inside]
+    at = (np.cumsum(inside) - 1)[starts]
     sizes = np.diff(np.append(at, len(letters)))
     place = np.arange(len(letters)) - np.repeat(at, sizes)
     with np.errstate(over="ignore"):
-        return mixed(np.add.reduceat(_BYTE[letters] * _powers(int(sizes.max()))[place], at)), bounds
+        return mixed(np.add.reduceat(_BYTE[letters] * _powers(int(sizes.max()))[place], at))
 
 
 def grams(words: np.ndarray, size: int, seed: int = 0) -> np.ndarray:
