@@ -107,7 +107,7 @@ def repeated_cells(docs: DataFrame, window: int = 50, sketch_bits: int = 25) ->
     return bitmap
 
 
-def _candidate_runs(bitmap, window: int, bits: int):
+def _candidate_runs(bitmap, window: int, bits: int, single: bool):
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         row, start, first, count, anchors, hashes = _runs(batch, window)
         seen = np.ones(len(row), dtype=bool)
@@ -124,9 +124,8 @@ def _candidate_runs(bitmap, window: int, bits: int):
             whole = mixed(np.add.reduceat(mixed(flat, 5) * mixed(place.astype(np.uint64), 6), ends - count) + count.astype(np.uint64))
         yield pa.RecordBatch.from_pydict({
             "doc_id": batch.column("doc_id").take(pa.array(row[keep])), "text_key": batch.column("text_key").take(pa.array(row[keep])), "start": pa.array(start[keep].astype(np.int32)),
-            "anchor": pa.array(anchors[keep].view(np.int64)), "whole": pa.array(whole.view(np.int64)),
-            "windows": pa.ListArray.from_arrays(pa.array(np.append(0, ends).astype(np.int32)), pa.array(flat.view(np.int64))),
-        })
+            "n": pa.array(count.astype(np.int32)), "anchor": pa.array(anchors[keep].view(np.int64)), "whole": pa.array(whole.view(np.int64)),
+        } | ({"windows": pa.ListArray.from_arrays(pa.array(np.append(0, ends).astype(np.int32)), pa.array(flat.view(np.int64)))} if single else {}))
     return run
 
 
@@ -168,22 +167,21 @@ def remove_repeats(docs: DataFrame, window: int = 50, sketch_bits: int = 25) ->
     spark = docs.sparkSession
     keyed = docs.select("doc_id", "text", F.xxhash64("text").alias("text_key"))
     bitmap = spark.sparkContext.broadcast(repeated_cells(docs, window, sketch_bits))
-    runs = written(mapped(
-        keyed.filter(F.col("doc_id").isNotNull()), _candidate_runs(bitmap, window, sketch_bits),
-        "doc_id long, text_key long, start int, anchor long, whole long, windows array<long>",
-    ), "runs")
+    named = keyed.filter(F.col("doc_id").isNotNull())
+    schema = "doc_id long, text_key long, start int, n int, anchor long, whole long"
+    runs = written(mapped(named, _candidate_runs(bitmap, window, sketch_bits, False), schema), "runs")
 
     firsts = runs.groupBy("anchor", "whole").agg(F.min("doc_id").alias("first_doc"))
+    later = runs.join(firsts, ["anchor", "whole"]).filter("doc_id > first_doc").select("doc_id", "text_key", "start", "n")
+    # Of equal runs only the first document's needs a look at single windows, and only under anchors of several runs.
     several = firsts.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1").select("anchor")
-    placed = runs.join(firsts, ["anchor", "whole"])
-    later = placed.filter("doc_id > first_doc").select("doc_id", "text_key", "start", F.size("windows").alias("n"))
-    # Of equal runs only the first document's needs a look at single windows.
-    single = (
-        placed.filter("doc_id = first_doc").join(several, "anchor", "left_semi")
-        .select("doc_id", "text_key", "start", "anchor", F.posexplode("windows").alias("at", "hash"))
-    )
-    lows = single.groupBy("anchor", "hash").agg(F.min("doc_id").alias("low"))
-    parts = single.join(lows, ["anchor", "hash"]).filter("doc_id > low").select("doc_id", "text_key", (F.col("start") + F.col("at")).alias("start"), F.lit(1).alias("n"))
+    heads = firsts.join(several, "anchor", "left_semi").withColumnRenamed("first_doc", "doc_id")
+    # Texts are hashed a second time: window hashes of all runs would fill the disks.
+    opened = written(mapped(named, _candidate_runs(bitmap, window, sketch_bits, True), schema + ", windows array<long>").join(heads, ["anchor", "whole", "doc_id"]), "windows")
+    single = opened.select("doc_id", "text_key", "start", "anchor", F.posexplode("windows").alias("at", "hash"))
+    lows = single.groupBy("anchor", "hash").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).filter("low < high").drop("high")
+    placed = single.select("anchor", "hash", "doc_id", "text_key", (F.col("start") + F.col("at")).alias("start"))
+    parts = placed.join(lows, ["anchor", "hash"]).filter("doc_id > low").select("doc_id", "text_key", "start", F.lit(1).alias("n"))
 
     gone = later.unionByName(parts).groupBy("doc_id", "text_key").agg(F.collect_list(F.struct("start", "n")).alias("runs"))
     joined = keyed.join(gone, ["doc_id", "text_key"], "left").select("doc_id", "text", "runs")
