@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waymark.llm import line_rules, substring
+from waymark.llm import line_rules, packing, substring
 from waymark.llm.text import table
 from waymark.plans.registry import Query
 
@@ -44,3 +45,8 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return line_rules.judge(docs, line_rules.fit_field(docs, table(spark, sf_dir, "labels"))).drop("line_states")
+
+
+@query("op7_packing")
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
