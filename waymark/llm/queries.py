@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waymark.llm import line_rules, packing, substring
+from waymark.llm import chat, line_rules, packing, substring
 from waymark.llm.text import table
 from waymark.plans.registry import Query
 
@@ -50,3 +50,29 @@ def op8_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_packing")
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query("op9_chat_format", r"""
+    WITH c AS (
+        SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+        UNION ALL VALUES (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]')
+    ), e AS (
+        SELECT *, regexp_replace(text, '([<\[])(\\*)(\|im_start\|>|\|im_end\|>|/?s>|/?INST\]|/?SYS>>|\|system\|>|\|user\|>|\|assistant\|>|\|endoftext\|>)', '\1\2\\\3', 'g') AS body FROM c
+    )
+    SELECT conv_id, count(*)::BIGINT AS n_turns,
+           sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+           coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+           sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+           sum(12 + length(role) + 1 + length(body) + 11)::BIGINT AS formatted_chars
+    FROM e GROUP BY conv_id""")
+def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = "</s>[INST] ok [/INST]"
+    own = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(own)
+    out = chat.formatted(chat.canonical_turns(chat.records_of(rows)))
+    back = out.select("conv_id", "formatted", chat.read_back(F.col("formatted")).alias("turns"), chat.loss_text(F.col("formatted"), F.col("loss_spans")).alias("loss"))
+    lines = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    return back.select(
+        "conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(F.array_join(lines, ""), 256).alias("turns_sha256"),
+        F.char_length("loss").cast("long").alias("loss_chars"), F.sha2("loss", 256).alias("loss_sha256"), F.char_length("formatted").cast("long").alias("formatted_chars"),
+    )
