@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waymark.llm import chat, line_rules, packing, substring
+from waymark.llm import chat, line_rules, mixing, packing, substring
 from waymark.llm.text import table
 from waymark.plans.registry import Query
 
@@ -76,3 +76,43 @@ def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
         "conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(F.array_join(lines, ""), 256).alias("turns_sha256"),
         F.char_length("loss").cast("long").alias("loss_chars"), F.sha2("loss", 256).alias("loss_sha256"), F.char_length("formatted").cast("long").alias("formatted_chars"),
     )
+
+
+#: Target weights of the mixture; names that are missing weigh 1.
+MIXTURE = {"domain": {"domain0": 4, "domain1": 3, "domain2": 2, "domain3": 1}, "lang": {"en": 6, "de": 2, "fr": 2, "es": 1}}
+
+
+def _mixture_sql(percent: int, max_epochs: int, seed: int) -> str:
+    weight = lambda level: "CASE " + " ".join(f"WHEN {level} = '{k}' THEN {v}" for k, v in MIXTURE.get(level, {"": 1}).items()) + " ELSE 1 END"
+    ctes, path, parent = [], [], "(SELECT sum(tokens) * %d // 100 AS budget FROM leaf)" % percent
+    for level in mixing.LEVELS:
+        keys, on = ", ".join([*path, level]), f"USING ({', '.join(path)})" if path else "ON true"
+        part = f"PARTITION BY {', '.join(path)}" if path else ""
+        order = f"({part} ORDER BY supply / weight, {level}"
+        ctes.append(f"""
+    {level}_n AS (SELECT {keys}, sum(tokens) * {max_epochs} AS supply, {weight(level)} AS weight FROM leaf GROUP BY {keys}),
+    {level}_s AS (
+        SELECT *, row_number() OVER {order}) AS place, budget - coalesce(sum(supply) OVER {order} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS rest,
+               sum(weight) OVER {order} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS among
+        FROM {level}_n JOIN {parent} {on}),
+    {level}_t AS (SELECT *, min(CASE WHEN supply * among > rest * weight THEN place END) OVER ({part}) AS stop FROM {level}_s),
+    {level}_b AS (
+        SELECT {keys}, (CASE WHEN stop IS NULL OR place < stop THEN supply ELSE
+               max(CASE WHEN place = stop THEN rest END) OVER ({part}) * weight // max(CASE WHEN place = stop THEN among END) OVER ({part}) END)::HUGEINT AS budget
+        FROM {level}_t)""")
+        path.append(level)
+        parent = f"{level}_b"
+    return f"""
+    WITH d AS (
+        SELECT doc_id, coalesce(lang, '') AS lang, coalesce(source, '') AS source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS n_tokens,
+               'domain' || coalesce((instr('0123456789abcdef', substr(md5(source), 1, 1)) - 1) // 4, 0) AS domain FROM documents
+    ), leaf AS (SELECT domain, lang, source, sum(n_tokens) AS tokens FROM d GROUP BY ALL),{','.join(ctes)},
+    plan AS (SELECT *, budget // tokens AS epochs, budget - budget // tokens * tokens AS rest FROM leaf JOIN {parent} USING (domain, lang, source) WHERE tokens > 0),
+    h AS (SELECT *, sum(n_tokens) OVER (PARTITION BY domain, lang, source ORDER BY md5('{seed}:' || epochs || ':' || doc_id)) AS reached FROM d JOIN plan USING (domain, lang, source)),
+    e AS (SELECT *, unnest(range(0, (epochs + CASE WHEN rest > 0 AND reached <= rest THEN 1 ELSE 0 END)::BIGINT)) AS epoch FROM h)
+    SELECT doc_id, epoch::BIGINT AS epoch, domain, lang, source, n_tokens::BIGINT AS n_tokens FROM e"""
+
+
+@query("op10_source_mixture", _mixture_sql(50, 2, 7))
+def op10_source_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"), MIXTURE, percent=50, max_epochs=2, seed=7).select("document.doc_id", "epoch", *mixing.LEVELS, "n_tokens")

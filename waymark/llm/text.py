@@ -164,6 +164,6 @@ def mapped(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch
     return df.mapInArrow(batches_of(fn, column), schema)
 
 
-def renamed_safely(df: DataFrame, *columns: str) -> DataFrame:
-    """Only the named columns; whatever else a table holds can't clash with an operator's own names."""
-    return df.select(*(F.col(c) for c in columns))
+def bounded_broadcast(df: DataFrame, max_rows: int = 10_000) -> DataFrame:
+    """``df`` marked for broadcast if it holds few rows, else as it is; meant for tables that were written and are cheap to count."""
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
