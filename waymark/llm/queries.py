@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waymark.llm import chat, line_rules, mixing, packing, substring
+from waymark.llm import chat, line_rules, mixing, packing, substring, topk
 from waymark.llm.text import table
 from waymark.plans.registry import Query
 
@@ -116,3 +116,18 @@ def _mixture_sql(percent: int, max_epochs: int, seed: int) -> str:
 @query("op10_source_mixture", _mixture_sql(50, 2, 7))
 def op10_source_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"), MIXTURE, percent=50, max_epochs=2, seed=7).select("document.doc_id", "epoch", *mixing.LEVELS, "n_tokens")
+
+
+@query("op6_top_k", """
+    WITH v AS (
+        SELECT row_number() OVER () AS rid, vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS n FROM embeddings
+        WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+    ), s AS (
+        SELECT a.vec_id AS query_id, b.vec_id, list_inner_product(a.n, b.n)::BIGINT AS score,
+               row_number() OVER (PARTITION BY a.rid ORDER BY list_inner_product(a.n, b.n) DESC, b.vec_id) AS rank
+        FROM v a JOIN v b ON a.vec_id % 20 = 0 AND a.rid <> b.rid
+    )
+    SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM s WHERE rank <= 20""")
+def op6_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", topk.whole_numbers(F.col("embedding"), 64).alias("numbers"))
+    return topk.top_k(vectors, F.col("vec_id") % 20 == 0, k=20)
