@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waymark.llm import chat, line_rules, mixing, packing, substring, topk
+from waymark.llm import chat, line_rules, mixing, near_dedup, packing, substring, topk
 from waymark.llm.text import table
 from waymark.plans.registry import Query
 
@@ -131,3 +131,8 @@ def op10_source_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", topk.whole_numbers(F.col("embedding"), 64).alias("numbers"))
     return topk.top_k(vectors, F.col("vec_id") % 20 == 0, k=20)
+
+
+@query("op1_near_dedup")
+def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
