@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waymark.llm import chat, line_rules, mixing, near_dedup, packing, substring, topk
+from waymark.llm import chat, line_rules, mixing, near_dedup, packing, substring, topk, toxicity
 from waymark.llm.text import table
 from waymark.plans.registry import Query
 
@@ -136,3 +136,11 @@ def op6_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op1_near_dedup")
 def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query("op4_toxicity")
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    index = toxicity.fit(docs, labels.filter(~toxicity.held_out(F.col("doc_id"))))
+    return toxicity.score(docs, index).select(
+        "doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"), "evidence_ids", "evidence_cosines")
