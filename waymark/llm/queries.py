@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waymark.llm import chat, line_rules, mixing, near_dedup, packing, substring, topk, toxicity
+from waymark.llm import chat, line_rules, mixing, near_dedup, ordinal, packing, substring, topk, toxicity
 from waymark.llm.text import table
 from waymark.plans.registry import Query
 
@@ -144,3 +144,14 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = toxicity.fit(docs, labels.filter(~toxicity.held_out(F.col("doc_id"))))
     return toxicity.score(docs, index).select(
         "doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"), "evidence_ids", "evidence_cosines")
+
+
+def ratings(labels: DataFrame) -> DataFrame:
+    """Grades from the two labels: 0 for poor texts, 1 for good ones that are toxic, 2 for good ones that aren't."""
+    return labels.select("doc_id", F.when(F.col("quality") == 0, 0).when((F.col("quality") == 1) & (F.col("toxic") == 1), 1).when((F.col("quality") == 1) & (F.col("toxic") == 0), 2).alias("grade"))
+
+
+@query("op3_quality_grades")
+def op3_quality_grades(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return ordinal.grade(docs, ordinal.fit(docs, ratings(table(spark, sf_dir, "labels"))))
