@@ -6,9 +6,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waymark.llm import chat, line_rules, mixing, near_dedup, ordinal, packing, substring, topk, toxicity
+from waymark.llm import chat, line_rules, mixing, near_dedup, ordinal, packing, secret_scan, substring, topk, toxicity
 from waymark.llm.text import table
 from waymark.plans.registry import Query
+from waymark.session import written
 
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
@@ -155,3 +156,11 @@ def ratings(labels: DataFrame) -> DataFrame:
 def op3_quality_grades(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return ordinal.grade(docs, ordinal.fit(docs, ratings(table(spark, sf_dir, "labels"))))
+
+
+@query("op5_secret_scan")
+def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = written(secret_scan.candidates(docs), "candidates")
+    model = secret_scan.fit(secret_scan.labelled_by_name(found), secret_scan.learn_dictionary(docs))
+    return secret_scan.scan(found, model).select("doc_id", "place", "start", F.char_length("value").cast("long").alias("length"), F.sha2("value", 256).alias("value_sha256"), "probability", "is_secret")
