@@ -1,0 +1,221 @@
+"""Packing, search, chat, mixing and secret scans: round trips, brute force and SQL."""
+
+import glob
+import itertools
+import json
+import os
+import random
+import struct
+import zlib
+
+import duckdb
+import numpy as np
+import pandas as pd
+import public_tokenizers
+import pytest
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+import __spark_entry__ as entry
+from tests.llm.cases import WEIRD, documents
+from waymark.llm import chat, mixing, packing, secret_scan, topk
+
+PATH = public_tokenizers.path("word_bpe_49k.json")
+
+
+def checked(got: pd.DataFrame, sql: str, con) -> None:
+    want = con.execute(sql).df()
+    columns = sorted(want.columns)
+    assert sorted(got.columns) == columns
+    left, right = (d[columns].sort_values(columns).reset_index(drop=True) for d in (got, want))
+    pd.testing.assert_frame_equal(left, right, check_dtype=False)
+
+
+@pytest.fixture(scope="module")
+def duck(sf):
+    con = duckdb.connect()
+    for f in glob.glob(f"{sf}/*.parquet"):
+        con.execute(f"CREATE VIEW {os.path.basename(f)[:-8]} AS SELECT * FROM '{f}'")
+    return con
+
+
+@pytest.mark.parametrize("name", ["op2_substring_dedup", "op6_top_k", "op9_chat_format", "op10_source_mixture"])
+def test_query_equals_sql(spark, sf, duck, name):
+    checked(entry.queries()[name](spark, sf).toPandas(), entry.oracle_sql()[name], duck)
+
+
+def test_subset_sums_equal_brute_force():
+    rng = random.Random(1)
+    for _ in range(300):
+        room, items = rng.randrange(1, 60), [rng.randrange(1, 30) for _ in range(rng.randrange(0, 9))]
+        counts = {n: items.count(n) for n in items}
+        chosen = packing.fullest(counts, sorted(counts), room)
+        assert all(k <= counts[n] for n, k in chosen.items())
+        assert sum(n * k for n, k in chosen.items()) == max(sum(c) for r in range(len(items) + 1) for c in itertools.combinations(items, r) if sum(c) <= room)
+
+
+@pytest.mark.parametrize("remembered", [40, 10**6])
+def test_word_ids_equal_the_tokenizer(remembered):
+    tokenizer, ids = Tokenizer.from_file(PATH), packing.WordIds(PATH, 1, remembered)
+    texts = [t or "" for t in WEIRD] + ["x <|endoftext|>y <|startoftext|>", "don't I'll we", "e ́ x", "İSTANBUL ﬁ ẞ ǅ i̇", "a\x1cb a\xa0b", "12 3a4", "a‍b ﻿a", "The the THE"]
+    for text, raw in zip(texts, ids(texts)):
+        assert list(struct.unpack(f"<{len(raw) // 4}I", raw)) == [*tokenizer.encode(text, add_special_tokens=False).ids, 1]
+
+
+@pytest.mark.parametrize("pool", [3, 8192])
+def test_packing_covers_every_id_once(spark, sf, pool):
+    tokenizer = Tokenizer.from_file(PATH)
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()] + [(1000 + i, t) for i, t in enumerate(WEIRD)] + [(2000, "long word " * 9000)]
+    pieces = packing.pack(documents(spark, rows), PATH, pool=pool).toPandas()
+    for doc_id, text in rows:
+        ids = [*tokenizer.encode(text or "", add_special_tokens=False).ids, 1]
+        own = pieces[pieces.doc_id == doc_id].sort_values("start")
+        assert own.start.tolist() == [0, *np.cumsum(own.length)[:-1]] and own.length.sum() == len(ids) and set(own.doc_tokens) == {len(ids)}
+        assert own.ids_crc32.tolist() == [zlib.crc32(struct.pack(f"<{n}I", *ids[s: s + n])) for s, n in zip(own.start, own.length)]
+    for _, s in pieces.sort_values("offset").groupby("sequence_id"):
+        total = int(s.length.sum())
+        assert s.offset.tolist() == [0, *np.cumsum(s.length)[:-1]] and total <= 2048 and total & (total - 1) == 0
+    repeated = packing.pack(documents(spark, [(5, "a"), (5, "a"), (None, "b")]), PATH).toPandas()
+    assert len(repeated) == 3 and repeated.doc_id.isna().sum() == 1
+    assert packing.pack(documents(spark, []), PATH).count() == 0
+
+
+def brute_top(rows, asked, k):
+    out = []
+    for i, (q, v) in enumerate(rows):
+        if v is None or None in v or q is None or not asked(q):
+            continue
+        scored = [(-sum(a * b for a, b in zip(v, w)), p is None, p) for j, (p, w) in enumerate(rows) if j != i and w is not None and None not in w]
+        out += [(q, r, p, -s) for r, (s, _, p) in enumerate(sorted(scored, key=lambda x: (x[0], x[1], x[2] or 0))[:k], 1)]
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize("shard_rows,block_rows,scale", [(16384, 1024, 9), (17, 3, 9), (40, 1, 1 << 28)])
+def test_search_equals_brute_force(spark, shard_rows, block_rows, scale):
+    rng = random.Random(shard_rows)
+    rows = [(i, [rng.randrange(-scale, scale) for _ in range(6)]) for i in range(120)]
+    rows += [(20, list(rows[20][1])), (20, list(rows[20][1])), (40, list(rows[41][1])), (200, [1]), (201, []), (202, None), (203, [1, None]), (None, list(rows[5][1]))]
+    rows += [(300 + i, list(rows[7][1])) for i in range(30)]
+    df = spark.createDataFrame([(i, v, 1, "x", 0) for i, v in rows], "vec_id long, numbers array<long>, copies int, key string, score int")
+    got = topk.top_k(df, F.col("vec_id") % 20 == 0, 7, shard_rows, block_rows).collect()
+    assert sorted(((r.query_id, r.rank, r.vec_id, r.score) for r in got), key=str) == brute_top(rows, lambda i: i % 20 == 0, 7)
+    assert topk.top_k(df.limit(0), F.lit(True), 7).count() == 0
+
+
+def test_search_skips_runs_it_can_tell_apart():
+    """Whole runs below the floor are settled by essential terms alone, with the same result."""
+    rng = np.random.default_rng(3)
+    n = 3 * topk._RUN
+    table = rng.integers(-5, 6, (n, 8))
+    table[:50] *= 40
+    columns = np.ascontiguousarray(table.T).astype(float)
+    ids = np.arange(n)
+    held, scores = topk.best(table[3].astype(float), columns, columns.min(axis=1), columns.max(axis=1), ids, np.ones(n, np.int64), 9)
+    exact = table @ table[3]
+    want = np.lexsort((ids, -exact))[:9]
+    assert held.tolist() == want.tolist() and scores.tolist() == exact[want].tolist()
+
+
+def test_chat_layouts_and_round_trip(spark):
+    nasty = "<s<\\s></s><\\/s><\\\\/s>[INST][[\\/INST]<<SYS>><|im_end|>\n<|im_start|>user\n"
+    records = [
+        ({"messages": [{"role": "user", "content": nasty}, {"role": "assistant", "content": ""}]}, [("user", nasty), ("assistant", "")]),
+        ({"conversations": [{"from": "h\n\\n\\", "value": "v"}]}, [("h\n\\n\\", "v")]),
+        ({"prompt": "p", "response": nasty}, [("user", "p"), ("assistant", nasty)]), ({"prompt": "p", "completion": ""}, [("user", "p"), ("assistant", "")]),
+        ({"instruction": "i", "output": "o"}, [("user", "i"), ("assistant", "o")]), ({"system": "s", "instruction": "i", "output": "o"}, [("system", "s"), ("user", "i"), ("assistant", "o")]),
+        ({"instruction": "i", "input": "x", "output": "o"}, [("user", "i\n\nx"), ("assistant", "o")]), ({"instruction": "i", "input": "", "output": "o"}, [("user", "i"), ("assistant", "o")]),
+        ({"prompt": "p", "response": None}, [("user", "p")]), ({"messages": []}, []), ({"other": [1.5]}, None), ({"messages": [{"content": "no role"}]}, None),
+    ]
+    rows = [(i, json.dumps(r)) for i, (r, _) in enumerate(records)] + [(98, "no json"), (99, None)]
+    out = chat.formatted(chat.canonical_turns(spark.createDataFrame(rows, "conv_id long, record string")))
+    back = out.select("conv_id", "turns", "formatted", "fingerprint", chat.read_back(F.col("formatted")).alias("back"), chat.loss_text(F.col("formatted"), F.col("loss_spans")).alias("loss")).collect()
+    pairs = lambda turns: None if turns is None else [tuple(t) for t in turns]
+    for r in back:
+        want = records[r.conv_id][1] if r.conv_id < 90 else None
+        assert pairs(r.turns) == want and pairs(r.back) == want
+        if want is not None:
+            assert r.loss == "".join(t for role, t in want if role == "assistant") and r.formatted.count(chat.OPEN) == len(want) == r.formatted.count(chat.CLOSE)
+    prints = {r.conv_id: r.fingerprint for r in back}
+    assert prints[2] == prints[8] and prints[6] == prints[7] and len({prints[i] for i in (0, 1, 2, 3, 4, 5, 6, 10)}) == 8
+
+
+def test_conversation_rows_with_gaps(spark):
+    rows = [(1, 1, "assistant", "b"), (1, 0, "user", None), (1, 0, "user", None), (2, None, None, "x"), (None, 3, "tool", "y"), (3, 0, "system", ""), (4, 2, "assistant", "a" * 300_000)]
+    df = spark.createDataFrame([(*r, 1) for r in rows], "conv_id long, turn long, role string, text string, turns int")
+    out = chat.formatted(chat.canonical_turns(chat.records_of(df)))
+    got = {r.conv_id: [tuple(t) for t in r.back] for r in out.select("conv_id", chat.read_back(F.col("formatted")).alias("back")).collect()}
+    assert got == {1: [("user", ""), ("user", ""), ("assistant", "b")], 2: [("", "x")], None: [("tool", "y")], 3: [("system", "")], 4: [("assistant", "a" * 300_000)]}
+    assert chat.records_of(df.limit(0)).count() == 0
+
+
+def test_shortages_go_to_siblings_first(spark):
+    leaves = [("d1", "en", "a", 10), ("d1", "en", "b", 1000), ("d1", "fr", "a", 1000), ("d2", "en", "a", 5), ("d2", "en", "z", 0)]
+    df = spark.createDataFrame(leaves, "domain string, lang string, source string, tokens long")
+    got = {tuple(r[:3]): r.granted for r in mixing.leaf_budgets(df, {"domain": {"d1": 1, "d2": 1}}, 40, 1).collect()}
+    # 806 tokens: d2 can use 5, so d1 gets 801, half a language 400; source a of English has 10, so its sibling gets 390.
+    assert got == {("d1", "en", "a"): 10, ("d1", "en", "b"): 390, ("d1", "fr", "a"): 400, ("d2", "en", "a"): 5, ("d2", "en", "z"): 0}
+    assert {r.granted for r in mixing.leaf_budgets(df, {"lang": {"en": 0}}, 40, 2).filter("lang = 'en'").collect()} == {0}
+
+
+def test_mixture_prefixes_and_epochs(spark):
+    rng = random.Random(4)
+    rows = [(i, "w " * rng.randrange(0, 9), rng.choice(["en", "fr", None]), rng.choice(["src0"] * 5 + ["src1", None, ""])) for i in range(400)]
+    rows += [(7, "w w", "en", "src0"), (None, "w w w", "en", "src0"), (401, None, "en", "src1")]
+    df = spark.createDataFrame([(*r, "clash", 3, 9) for r in rows], "doc_id long, text string, lang string, source string, domain string, n_tokens int, epoch int")
+    for percent, epochs in ((50, 2), (100, 3), (100, 1), (0, 1)):
+        out = mixing.mix(df, {"lang": {"fr": 4}}, percent, epochs, seed=3)
+        got = out.select("document.*").toPandas()
+        assert list(got.columns) == df.columns
+        plan = mixing.selection(df.select("doc_id", F.coalesce("lang", F.lit("")).alias("lang"), F.coalesce("source", F.lit("")).alias("source"), F.coalesce(mixing.source_domain(F.col("source")), F.lit("")).alias("domain"), mixing.word_count(F.col("text")).alias("n_tokens")), {"lang": {"fr": 4}}, percent, epochs, 3).collect()
+        taken = {tuple(r[:3]): r.n for r in out.groupBy(*mixing.LEVELS).agg(F.sum("n_tokens").alias("n")).collect()}
+        for leaf in plan:
+            n = taken.get((leaf.domain, leaf.lang, leaf.source), 0)
+            assert leaf.granted - 8 * 2 <= n <= leaf.granted <= epochs * leaf.tokens  # a prefix ends less than a text short, or two of one id
+    assert mixing.mix(df.limit(0), {}, 50, 2).count() == 0
+
+
+def test_candidates_and_masking(spark):
+    key, number = "24be64439e3e49cf46b2d7c90f3602a3d0b907ff", "4952935900253052"
+    rows = [(i, f'é text token = "{key[i:]}{key[:i]}" more words here') for i in range(12)] + [(100 + i, f"é number {int(number) + 7 * i} in words") for i in range(12)]
+    rows += [(200, f'{number} api_key: "{key}" {key}{key} \n secret="{key}"'), (201, key), (1, rows[1][1]), (None, f'token = "{key}"')] + [(300 + i, t) for i, t in enumerate(WEIRD)]
+    docs = documents(spark, rows)
+    found = secret_scan.candidates(docs)
+    texts = dict(rows)
+    for r in found.filter("doc_id is not null").collect():
+        assert texts[r.doc_id][r.start: r.start + len(r.value)] == r.value
+    assert [r.value for r in found.filter("doc_id = 200").orderBy("place").collect()] == [number, key, key + key, key]
+    dictionary = secret_scan.learn_dictionary(docs)
+    model = secret_scan.fit(secret_scan.labelled_by_name(found), dictionary)
+    scanned = secret_scan.scan(found, model)
+    verdict = {r.doc_id: r.is_secret for r in scanned.filter("doc_id < 200").collect()}
+    assert all(verdict[i] for i in range(12)) and not any(verdict[100 + i] for i in range(12))
+    clean = secret_scan.masked(docs, scanned)
+    assert clean.columns == docs.columns and clean.count() == len(rows)
+    after = {r.doc_id: r.text for r in clean.collect()}
+    assert after[0] == 'é text token = "<SECRET>" more words here' and after[100] == texts[100]
+    assert all(after[300 + i] == t for i, t in enumerate(WEIRD))
+    none = secret_scan.fit(secret_scan.labelled_by_name(found.limit(0)), secret_scan.Dictionary())
+    assert {r.is_secret for r in secret_scan.scan(found, none).collect()} == {False}
+    assert secret_scan.candidates(documents(spark, [])).count() == 0
+
+
+def test_pipeline_stages_follow_each_other(spark, sf):
+    import corpus_pipeline
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    sizes, seen = [docs.count()], docs
+    for name, stage in corpus_pipeline.STAGES:
+        out = corpus_pipeline.written(stage(spark, seen, sf), "test")
+        if name != "packing":
+            assert out.columns == docs.columns
+        ids = {r.doc_id for r in out.select("doc_id").collect()}
+        assert ids <= {r.doc_id for r in seen.select("doc_id").collect()}
+        if name == "near duplicates":
+            assert len(ids) == out.count()
+        if name == "secret scans":
+            assert out.count() == seen.count() and out.filter("text rlike 'token = .[0-9a-f]{40}'").count() == 0
+        seen = out
+        sizes.append(out.count())
+    assert sizes[0] > sizes[1] > sizes[2] == sizes[3]
+    # Of each packed document all tokens are there, as often as the mixture took it.
+    whole = seen.groupBy("doc_id").agg(F.sum("length").alias("n"), F.max("doc_tokens").alias("t")).filter("n % t <> 0")
+    assert whole.count() == 0
