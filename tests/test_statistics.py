@@ -122,17 +122,17 @@ def test_chi_square_tail():
 
 def test_missing_plan_covers_the_modelling_table(spark):
     plan = M.missing_plan()
-    assert len(plan) == 49 and len({v for v, _ in plan}) == 49
+    assert len(plan) == 49 and len({r.variavel for r in plan}) == 49 and all(r.tipo and r.motivo for r in plan)
 
 
 def test_missing_values_of_all_kinds(spark):
     df = spark.createDataFrame([(1.0, None, None), (float("nan"), 2, "x"), (3.0, 4, "y"), (5.0, None, None)], "a double, b int, c string")
-    plan = [("a", "mediana"), ("b", "mediana_int"), ("c", M.MISSING), ("absent", "0")]
+    plan = [M.Rule("a", "", "mediana"), M.Rule("b", "", "mediana_int"), M.Rule("c", "", M.MISSING), M.Rule("absent", "", "0")]
     prep = M.fit_missing(df, plan)
     assert prep["medianas"] == {"a": 3.0} and prep["medianas_int"] == {"b": 3}
     assert [tuple(r) for r in M.apply_missing(df, prep).collect()] == [(1.0, 3, "MISSING"), (3.0, 2, "x"), (3.0, 4, "y"), (5.0, 3, "MISSING")]
     empty = spark.createDataFrame([(None,)], "b int")
-    assert M.fit_missing(empty, [("b", "mediana_int")])["medianas_int"] == {"b": 0}
+    assert M.fit_missing(empty, [M.Rule("b", "", "mediana_int")])["medianas_int"] == {"b": 0}
 
 
 def test_types_that_do_not_fit_become_null(spark):

@@ -68,16 +68,3 @@ def value_bucket(value: Column) -> Column:
 def known_level(value: Column, levels: list) -> Column:
     """The value where it is a known level, else null."""
     return F.when(value.isin(levels), value)
-
-
-def magnitude_slice(value: Column, per_octave: int = 256) -> Column:
-    """Slice number that never decreases as the value grows.
-
-    Splits any numeric column into many ordered slices with no pass over the
-    data: each doubling of the magnitude holds ``per_octave`` slices, mirrored
-    for negative values. Used to spread order-dependent totals over tasks.
-    """
-    x = value.cast("double")
-    # 1100 octaves cover every double, so positive slices stay above zero.
-    size = F.floor((F.log2(F.abs(x)) + F.lit(1100.0)) * per_octave)
-    return F.when(x == 0, F.lit(0).cast("long")).when(x > 0, size).otherwise(-size)

@@ -17,7 +17,7 @@ from waymark.operators.books import (
 from waymark.operators.events import audience, catalogue
 from waymark.operators.frames import HOT_ROWS, Frames, heavy_entities, split_histories
 from waymark.session import written
-from waymark.spec import BOOK_KEYS, DEFAULT, ENTITY, KEY, TARGET, EventSpec
+from waymark.spec import BOOK_KEYS, DEFAULT, ENTITY, ITEM, KEY, TARGET, EventSpec
 
 
 class Campaign:
@@ -136,18 +136,26 @@ class Campaign:
 
     def modelling_base(self) -> DataFrame:
         """The labelled audience with every feature."""
-        label = self.labelled_audience().select(KEY, TARGET)
-        return label.join(self.book_full(), KEY, "left")
+        # Joined on the pair itself: two pairs can share a text key.
+        label = self.labelled_audience().select(KEY, F.col(ENTITY).alias("__entity"), F.col(ITEM).alias("__item"), TARGET)
+        books = self.book_full().drop(KEY)
+        both = label.join(books, label["__entity"].eqNullSafe(books[ENTITY]) & label["__item"].eqNullSafe(books[ITEM]), "left")
+        return both.drop("__entity", "__item")
 
 
 def join_books(books: dict[str, DataFrame]) -> DataFrame:
-    """Left join books on their common key onto the first one."""
+    """Left join books onto the first one, on entity and item where they have these, else on their common key."""
     (_, out), *rest = books.items()
     taken = set(out.columns)
     for name, book in rest:
         features = [c for c in book.columns if c not in BOOK_KEYS]
         renamed = [F.col(c).alias(f"{name}__{c}" if c in taken else c) for c in features]
-        out = out.join(book.select(KEY, *renamed), KEY, "left")
+        if not {ENTITY, ITEM} <= set(book.columns) & set(out.columns):  # tables of a single key
+            out = out.join(book.select(KEY, *renamed), KEY, "left")
+            taken = set(out.columns)
+            continue
+        other = book.select(F.col(ENTITY).alias("__entity"), F.col(ITEM).alias("__item"), *renamed)
+        out = out.join(other, out[ENTITY].eqNullSafe(other["__entity"]) & out[ITEM].eqNullSafe(other["__item"]), "left").drop("__entity", "__item")
         taken = set(out.columns)
     return out
 

@@ -10,7 +10,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from waymark.operators.ordered import bin_of, column_values, distinct_edges, prob_list, quantiles, running, slice_counts
+from waymark.operators.ordered import bin_of, column_values, distinct_edges, prob_list, quantiles, running, slice_counts, value_limits
 from waymark.operators.stability import binned_counts, edge_table, reference_edges
 from waymark.operators.tables import columns_of, level_counts, modal_share, null_share, value_counts
 from waymark.session import pinned, written
@@ -124,7 +124,7 @@ def rank_correlation(df: DataFrame, a: str, b: str) -> DataFrame:
     Ranks belong to distinct values, so rows are reduced to distinct pairs
     first; their ranks come from running counts of each column's values.
     """
-    both = df.select(F.col(a).cast("double").alias("a"), F.col(b).cast("double").alias("b")).filter("a IS NOT NULL AND b IS NOT NULL")
+    both = df.select(F.col(a).cast("double").alias("a"), F.col(b).cast("double").alias("b")).filter("a IS NOT NULL AND b IS NOT NULL AND NOT isnan(a) AND NOT isnan(b)")
     joint = both.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"))
 
     def ranks(column: str) -> DataFrame:
@@ -155,13 +155,14 @@ def correlation_matrix(df: DataFrame, columns: list[str] | None = None, method:
     return df.sparkSession.createDataFrame(rows, "variavel string, " + ", ".join(f"`{c}` double" for c in columns))
 
 
-def vif(df: DataFrame, columns: list[str], max_vars: int = 40) -> DataFrame:
+def vif(df: DataFrame, columns: list[str], max_vars: int = 5000) -> DataFrame:
     """Variance inflation factors with an intercept; missing and infinite values count as 0.
 
-    Spark computes the correlations; the driver inverts a matrix of at most
-    ``max_vars`` columns.
+    Spark computes the correlations; the driver inverts the matrix. More than
+    ``max_vars`` columns are an error, as they would not fit there.
     """
-    columns = columns[:max_vars]
+    if len(columns) > max_vars:
+        raise ValueError(f"{len(columns)} columns are more than the {max_vars} whose matrix the driver inverts")
     infinite = [float("inf"), float("-inf")]
     clean = df.select(*[
         F.coalesce(F.when(~F.isnan(F.col(c).cast("double")) & ~F.col(c).cast("double").isin(infinite), F.col(c).cast("double")), F.lit(0.0)).alias(c)
@@ -217,7 +218,8 @@ def _quantile_edges(df: DataFrame, columns: list[str], n_bins: int) -> dict[str,
     if not columns:
         return {}
     rows = column_values(df, columns)
-    slices, _ = pinned(slice_counts(rows, ["variavel"], "value"), 200_000)
+    limits = value_limits(rows, "value")
+    slices, _ = pinned(slice_counts(rows, ["variavel"], "value", limits), 200_000)
     # As many slices as bins prove as many distinct values; only columns with fewer slices are counted exactly.
     distinct = {r["variavel"]: r["d"] for r in slices.groupBy("variavel").agg(F.count(F.lit(1)).alias("d")).collect()}
     few = [c for c, d in distinct.items() if d < n_bins]
@@ -229,7 +231,7 @@ def _quantile_edges(df: DataFrame, columns: list[str], n_bins: int) -> dict[str,
         lambda otherwise, c: F.when(F.col("variavel") == c[0], prob_list([i / c[1] for i in range(c[1] + 1)])).otherwise(otherwise),
         bins.items(), F.array().cast("array<double>"),
     )
-    table = quantiles(rows, ["variavel"], "value", options, slices=slices)
+    table = quantiles(rows, ["variavel"], "value", options, slices=slices, limits=limits)
     found: dict[str, list[float]] = {}
     for r in table.collect():
         found.setdefault(r["variavel"], []).append(r["quantile"])
@@ -273,7 +275,7 @@ def distance_correlation(df: DataFrame, x: str, y: str) -> DataFrame:
     left-hand rows with smaller y, which are running totals in y. That is
     n log n rows of exact work, spread over (level, block) and y slices.
     """
-    points = df.select(F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y")).filter("x IS NOT NULL AND y IS NOT NULL")
+    points = df.select(F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y")).filter("x IS NOT NULL AND y IS NOT NULL AND NOT isnan(x) AND NOT isnan(y)")
     distinct = points.groupBy("x", "y").agg(F.count(F.lit(1)).alias("w"))
     centre = points.agg(F.avg("x").alias("mx"), F.avg("y").alias("my"), F.count(F.lit(1)).alias("n"), F.count_distinct("x", "y").alias("d")).first()
     n, d = centre["n"], centre["d"]

@@ -3,7 +3,10 @@
 Rows are first reduced to one per (keys, value) with map-side partial counts,
 so a value shared by a third of the rows is one row per task. The distinct
 values are then cut into ordered slices, each totalled by its own task, and the
-totals of the earlier slices are carried in. No task sees a whole column.
+totals of the earlier slices are carried in. Slices end at quantiles of the
+values themselves, estimated in one pass; they only say where a row goes, so an
+estimate changes no result, and a column in a narrow range is spread as well as
+any other.
 """
 
 from __future__ import annotations
@@ -13,7 +16,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from waymark.functions.columns import magnitude_slice
 from waymark.session import pinned
 
 SLICE = "__slice"
@@ -25,17 +27,41 @@ def keyed(df: DataFrame, keys: list[str]) -> tuple[DataFrame, list[str]]:
     return (df, keys) if keys else (df.withColumn(ALL, F.lit(1)), [ALL])
 
 
+#: Slices of a column: COARSE groups of FINE each.
+COARSE, FINE = 32, 32
+
+
+def value_limits(rows: DataFrame, value: str) -> list[float]:
+    """The upper ends of slices that hold about equally many rows; fixed on the driver, so all passes place a row alike."""
+    shares = [i / (COARSE * FINE) for i in range(1, COARSE * FINE)]
+    found = rows.agg(F.percentile_approx(F.col(value).cast("double"), shares, 20_000).alias("v")).first()["v"]
+    return sorted(set(found or []))
+
+
+def slice_of(value: Column, limits: list[float]) -> Column:
+    """Number of limits below a value: never decreases as the value grows. Null counts as lowest."""
+    if not limits:
+        return F.lit(0).cast("long")
+    x = value.cast("double")
+    parts = [limits[i: i + FINE] for i in range(0, len(limits), FINE)]
+    # First the group, by its last limit, then the place in the group.
+    ends, groups = prob_list([p[-1] for p in parts]), F.array(*[prob_list(p) for p in parts])
+    group = F.least(F.size(F.filter(ends, lambda e: e < x)), F.lit(len(parts) - 1))
+    place = F.size(F.filter(F.get(groups, group), lambda e: e < x))
+    return F.coalesce((group * FINE + place).cast("long"), F.lit(0).cast("long"))
+
+
 def running(counts: DataFrame, keys: list[str], value: str, measures: list[str]) -> DataFrame:
     """Add ``<m>_to`` (this and all smaller values) and ``<m>_sum`` (all values of the keys) for each measure.
 
     Rows whose keys are null are left out, as in any grouping of the statistics.
     """
     # Never null, so that the join adds no filter to one side and both sides read one exchange.
-    df = counts.withColumn(SLICE, F.coalesce(magnitude_slice(F.col(value)), F.lit(0).cast("long")))
+    df = with_slice(counts, value, value_limits(counts, value))
     own = Window.partitionBy(*keys, SLICE).orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
     before = Window.partitionBy(*keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
     everything = Window.partitionBy(*keys)
-    # One row per slice, a number that the range of a double bounds.
+    # One row per slice and keys.
     carry = df.groupBy(*keys, SLICE).agg(*[F.sum(m).alias(m) for m in measures]).select(
         *keys, SLICE,
         *[F.coalesce(F.sum(m).over(before), F.lit(0)).alias(f"__b_{m}") for m in measures],
@@ -51,28 +77,31 @@ def prob_list(probs: list[float]) -> Column:
     return F.array(*[F.lit(float(p)) for p in probs])
 
 
-def slice_counts(rows: DataFrame, keys: list[str], value: str, weight: Column | None = None) -> DataFrame:
+def slice_counts(rows: DataFrame, keys: list[str], value: str, limits: list[float], weight: Column | None = None) -> DataFrame:
     """Rows per (keys, slice of the value): a small table, counted inside each task first."""
     size = F.count(F.lit(1)) if weight is None else F.sum(weight)
-    return with_slice(rows, value).groupBy(*keys, SLICE).agg(size.alias("m"))
+    return with_slice(rows, value, limits).groupBy(*keys, SLICE).agg(size.alias("m"))
 
 
-def with_slice(rows: DataFrame, value: str) -> DataFrame:
-    return rows.withColumn(SLICE, F.coalesce(magnitude_slice(F.col(value)), F.lit(0).cast("long")))
+def with_slice(rows: DataFrame, value: str, limits: list[float]) -> DataFrame:
+    return rows.withColumn(SLICE, slice_of(F.col(value), limits))
 
 
 def quantiles(
     rows: DataFrame, keys: list[str], value: str, options: Column, weight: Column | None = None, slices: DataFrame | None = None,
+    limits: list[float] | None = None,
 ) -> DataFrame:
     """Exact quantiles with linear interpolation: one row per (keys, prob).
 
-    ``options`` is an array of probabilities. Two passes, neither of which
-    shuffles the column: the first counts rows per slice of the value and so
-    finds the few slices that hold the wanted ranks; the second counts the
-    distinct values of those slices only.
+    ``options`` is an array of probabilities. Three passes, none of which
+    shuffles the column: the first estimates where slices end, the second counts
+    rows per slice of the value and so finds the few slices that hold the wanted
+    ranks; the third counts the distinct values of those slices only. ``slices``
+    and ``limits`` of earlier passes are used where given.
     """
+    limits = value_limits(rows, value) if limits is None else limits
     before = Window.partitionBy(*keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
-    counted = slice_counts(rows, keys, value, weight) if slices is None else slices
+    counted = slice_counts(rows, keys, value, limits, weight) if slices is None else slices
     placed = counted.withColumns({
         "first": F.coalesce(F.sum("m").over(before), F.lit(0)), "size": F.sum("m").over(Window.partitionBy(*keys)),
     }).withColumn("prob", F.explode(options))
@@ -80,7 +109,7 @@ def quantiles(
     wanted = placed.select(*keys, SLICE, "first", "prob", position.alias("at"), F.floor(position).alias("lower"), F.ceil(position).alias("upper"), "m")
     hits, few = pinned(wanted.filter((F.col("upper") >= F.col("first")) & (F.col("lower") < F.col("first") + F.col("m"))).drop("m"))
     spots = hits.select(*keys, SLICE).distinct()
-    inside = with_slice(rows, value).join(F.broadcast(spots) if few else spots, [*keys, SLICE], "left_semi")
+    inside = with_slice(rows, value, limits).join(F.broadcast(spots) if few else spots, [*keys, SLICE], "left_semi")
     size = F.count(F.lit(1)) if weight is None else F.sum(weight)
     values = inside.groupBy(*keys, SLICE, value).agg(size.alias("n"))
     to_here = Window.partitionBy(*keys, SLICE).orderBy(value).rowsBetween(Window.unboundedPreceding, 0)

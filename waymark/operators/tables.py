@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from waymark.functions.columns import nan_to_null
 from waymark.session import pinned
 
 INTEGERS = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
@@ -110,8 +111,9 @@ def by_target(df: DataFrame, columns: list[str], target: str) -> DataFrame:
     """
     from waymark.operators.ordered import column_values, prob_list, quantiles
 
+    floats = {c for c, kind in df.dtypes if kind in ("double", "float")}
     stats = {"mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
-    basics = df.groupBy(target).agg(*[f(c).alias(f"{c}_{n}") for c in columns for n, f in stats.items()])
+    basics = df.groupBy(target).agg(*[f(nan_to_null(F.col(c).cast("double")) if c in floats else F.col(c)).alias(f"{c}_{n}") for c in columns for n, f in stats.items()])
     rows = column_values(df, columns, [F.col(target)])
     medians = quantiles(rows, ["variavel", target], "value", prob_list([0.5])).groupBy(target).agg(*[
         F.max(F.when(F.col("variavel") == c, F.col("quantile"))).alias(f"{c}_median") for c in columns
@@ -140,7 +142,8 @@ def crossed_rate(df: DataFrame, row: str, column: str, target: str, min_freq: in
 def period_rates(df: DataFrame, period: str, target: str, names: tuple[str, str, str, str]) -> DataFrame:
     """Labelled rows, positives, negatives and rate per period."""
     n, pos, neg, rate = names
-    counts = df.groupBy(F.col(period).cast("string").alias(period)).agg(F.count(target).alias(n), F.sum(target).alias(pos))
+    seen = nan_to_null(F.col(target)) if dict(df.dtypes)[target] in ("double", "float") else F.col(target)
+    counts = df.groupBy(F.col(period).cast("string").alias(period)).agg(F.count(seen).alias(n), F.sum(seen).alias(pos))
     return counts.withColumn(neg, F.col(n) - F.col(pos)).withColumn(rate, F.try_divide(pos, n))
 
 

@@ -9,8 +9,8 @@ from waymark.operators import explore as E
 from waymark.operators import prep as M
 from waymark.operators import tables as B
 from waymark.plans import fixtures as fx
-from waymark.plans.campaign_queries import rounded
-from waymark.plans.registry import query
+from waymark.plans.campaign_queries import campaign, rounded
+from waymark.plans.registry import ORACLES, query
 
 SQL = fx.with_(fx.MIXED_SQL)
 NUMERIC = ["qty", "price", "tax", "disc", "line"]
@@ -40,16 +40,34 @@ def m2(spark, sf):
     return M.apply_types(df, types).select("id", "store", "qty", "line", "safra", "store_number")
 
 
-MIXED_PLAN = [("qty", "mediana"), ("tax", "mediana"), ("disc", "-1"), ("line", "mediana_int"), ("flag", M.MISSING), ("price", "0"), ("id", "none")]
+MIXED_PLAN = [
+    M.Rule("qty", "numérica_contínua", "mediana"), M.Rule("tax", "numérica_contínua", "mediana"), M.Rule("disc", "proporção", "-1"), M.Rule("line", "inteira", "mediana_int"),
+    M.Rule("flag", "categórica", M.MISSING), M.Rule("price", "numérica_contínua", "0"), M.Rule("id", "id", "none", "chave"),
+]
 
 
 @query("m3_missing_plan", SQL + ", " + unpivot_sql(["qty", "price", "tax", "disc", "line", "flag", "id"], as_type="VARCHAR") + """
-SELECT variavel, t AS tratamento_missing, round(avg(CAST(x IS NULL AS INTEGER)), 6) AS share FROM u JOIN (VALUES ('qty', 'mediana'), ('tax', 'mediana'),
-  ('disc', '-1'), ('line', 'mediana_int'), ('flag', 'MISSING'), ('price', '0'), ('id', 'none')) p(variavel, t) USING (variavel) GROUP BY ALL""")
+SELECT variavel, tipo, t AS tratamento_missing, motivo, round(avg(CAST(x IS NULL AS INTEGER)), 6) AS share FROM u
+JOIN (VALUES ('qty', 'numérica_contínua', 'mediana', ''), ('tax', 'numérica_contínua', 'mediana', ''), ('disc', 'proporção', '-1', ''), ('line', 'inteira', 'mediana_int', ''),
+  ('flag', 'categórica', 'MISSING', ''), ('price', 'numérica_contínua', '0', ''), ('id', 'id', 'none', 'chave')) p(variavel, tipo, t, motivo) USING (variavel) GROUP BY ALL""")
 def m3(spark, sf):
     return rounded(M.plan_table(fx.mixed(spark, sf), MIXED_PLAN))
 
 
+@query("m3_missing_plan_profile", "WITH b AS (" + ORACLES["b1_book_perfil"] + """)
+SELECT 'cliente_id' AS variavel, 'id' AS tipo, 'none' AS tratamento_missing, 'chave' AS motivo, round(avg(CAST(cliente_id IS NULL AS INTEGER)), 6) AS share FROM b UNION ALL
+SELECT 'offer_id', 'id', 'none', 'chave', round(avg(CAST(offer_id IS NULL AS INTEGER)), 6) FROM b UNION ALL
+SELECT 'ID', 'id', 'none', 'chave', round(avg(CAST("ID" IS NULL AS INTEGER)), 6) FROM b UNION ALL
+SELECT 'time_since_test_start', 'tempo', 'none', 'marcador temporal', round(avg(CAST(time_since_test_start IS NULL AS INTEGER)), 6) FROM b UNION ALL
+SELECT 'idade', 'numérica_contínua', 'mediana', 'ausência informativa (criar flag_miss)', round(avg(CAST(idade IS NULL AS INTEGER)), 6) FROM b UNION ALL
+SELECT 'genero', 'categórica', 'MISSING', 'não informado tem significado', round(avg(CAST(genero IS NULL AS INTEGER)), 6) FROM b UNION ALL
+SELECT 'limite_credito', 'numérica_contínua', 'mediana', 'distribuição assimétrica', round(avg(CAST(limite_credito IS NULL AS INTEGER)), 6) FROM b UNION ALL
+SELECT 'safra_registro', 'categórica', 'MISSING', 'categoria faltante explícita', round(avg(CAST(safra_registro IS NULL AS INTEGER)), 6) FROM b UNION ALL
+SELECT 'historico_conversao', 'proporção', '0', 'sem histórico ⇒ 0', round(avg(CAST(historico_conversao IS NULL AS INTEGER)), 6) FROM b""")
+def m3_profile(spark, sf):
+    return rounded(M.plan_table(campaign(spark, sf).profile(), M.missing_plan()))
+
+
 @query("m4_fit_missing", SQL + """SELECT 'tax' AS variavel, round(median(tax), 6) AS mediana FROM m UNION ALL SELECT 'qty', round(median(qty), 6) FROM m
 UNION ALL SELECT 'line', round_even(median(line), 0) FROM m""")
 def m4(spark, sf):
@@ -308,9 +326,8 @@ def e17_ties(spark, sf):
     return rounded(E.distance_correlation(customers(spark, sf), "nk", "bal"))
 
 
-@query("e18_distance_correlation_matrix", SUPPLIERS + "p1 AS (" + "WITH " + dcor_sql("bal", "sq") + "), p2 AS (WITH " + dcor_sql("nk", "bal") + """)
-SELECT 'bal' AS var1, 'sq' AS var2, dcor FROM p1 UNION ALL SELECT 'sq', 'bal', dcor FROM p1 UNION ALL SELECT 'nk', 'bal', dcor FROM p2 UNION ALL SELECT 'bal', 'nk', dcor FROM p2""")
+@query("e18_distance_correlation_matrix", SUPPLIERS + "p1 AS (" + "WITH " + dcor_sql("bal", "sq") + "), p2 AS (WITH " + dcor_sql("nk", "bal") + "), p3 AS (WITH " + dcor_sql("nk", "sq") + """)
+SELECT 'bal' AS var1, 'sq' AS var2, dcor FROM p1 UNION ALL SELECT 'sq', 'bal', dcor FROM p1 UNION ALL SELECT 'nk', 'bal', dcor FROM p2 UNION ALL SELECT 'bal', 'nk', dcor FROM p2
+UNION ALL SELECT 'nk', 'sq', dcor FROM p3 UNION ALL SELECT 'sq', 'nk', dcor FROM p3 UNION ALL SELECT v, v, 1.0 FROM (VALUES ('bal'), ('sq'), ('nk')) d(v)""")
 def e18(spark, sf):
-    matrix = E.distance_correlation_matrix(customers(spark, sf), ["bal", "sq", "nk"])
-    # The oracle leaves out the pair (sq, nk) and the diagonal.
-    return rounded(matrix.filter("(var1 = 'bal' OR var2 = 'bal') AND var1 <> var2"))
+    return rounded(E.distance_correlation_matrix(customers(spark, sf), ["bal", "sq", "nk"]))

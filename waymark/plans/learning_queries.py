@@ -32,7 +32,7 @@ def l8(spark, sf):
 
 @query("l9_backward_elimination")
 def l9(spark, sf):
-    return L.backward_elimination(data(spark, sf).drop("safra", "status", "line"), ["id"], "y", max_steps=2, params=SMALL)
+    return L.backward_elimination(data(spark, sf).drop("safra", "status", "line"), ["id"], "y", params=SMALL)
 
 
 @query("l10_selection_round")
@@ -48,9 +48,9 @@ def l11(spark, sf):
     return history
 
 
-@query("l12_class_weight", fx.with_(fx.MIXED_SQL) + "SELECT CASE WHEN n / p >= 3 THEN n / p ELSE 1.0 END AS peso FROM (SELECT count(*) FILTER (y = 0) AS n, count(*) FILTER (y = 1) AS p FROM m WHERE qty < 30)")
+@query("l12_class_weight", fx.with_(fx.MIXED_SQL) + "SELECT CASE WHEN n / p >= 3 THEN n / p ELSE 1.0 END AS peso FROM (SELECT count(*) FILTER (y = 0) AS n, count(*) FILTER (y = 1) AS p FROM m)")
 def l12(spark, sf):
-    return spark.createDataFrame([(float(L.class_weight(data(spark, sf).filter("qty < 30"), "y")),)], "peso double")
+    return spark.createDataFrame([(float(L.class_weight(data(spark, sf), "y")),)], "peso double")
 
 
 @query("l13_forest_importance")

@@ -93,11 +93,13 @@ def s7(spark, sf):
     return rounded(spark.createDataFrame(list(S.load_json(spark, path)["medianas"].items()), "variavel string, mediana double"))
 
 
-@query("s8_save_load_types", "SELECT column_name AS coluna FROM (DESCRIBE lineitem)")
+@query("s8_save_load_types", "SELECT column_name AS coluna, column_type AS tipo FROM (DESCRIBE lineitem)")
 def s8(spark, sf):
     path = scratch_path(spark, "schema")
     S.save_schema(fx.table(spark, sf, "lineitem"), path)
-    return spark.createDataFrame([(f.name,) for f in S.load_schema(spark, path)], "coluna string")
+    # Spark's type names and the SQL names of the same types.
+    names = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE", "timestamp_ntz": "TIMESTAMP", "timestamp": "TIMESTAMP WITH TIME ZONE"}
+    return spark.createDataFrame([(f.name, names[f.dataType.simpleString()]) for f in S.load_schema(spark, path)], "coluna string, tipo string")
 
 
 @query("s9_preview", "SELECT c_custkey FROM customer ORDER BY c_custkey LIMIT 5")
@@ -554,9 +556,9 @@ def o6(spark, sf):
     return fx.table(spark, sf, "orders").select("o_orderkey").orderBy("o_orderkey").limit(7)
 
 
-@query("o7_nulls_last", fx.with_(fx.PROFILE_SQL) + "SELECT profile_id, credit_card_limit FROM fx_profile ORDER BY credit_card_limit ASC NULLS LAST, profile_id LIMIT 1400")
+@query("o7_nulls_last", fx.with_(fx.PROFILE_SQL) + "SELECT profile_id, credit_card_limit FROM fx_profile ORDER BY credit_card_limit ASC NULLS LAST, profile_id")
 def o7(spark, sf):
-    return fx.profile(spark, sf).select("profile_id", "credit_card_limit").orderBy(F.asc_nulls_last("credit_card_limit"), "profile_id").limit(1400)
+    return fx.profile(spark, sf).select("profile_id", "credit_card_limit").orderBy(F.asc_nulls_last("credit_card_limit"), "profile_id")
 
 
 # ---- set operations -----------------------------------------------------------------------
@@ -571,12 +573,12 @@ def u1(spark, sf):
 
 def _vote(rule: str):
     def run(spark, sf):
-        flags = fx.table(spark, sf, "lineitem").select(F.col("l_returnflag").alias("method"), F.col("l_suppkey").cast("string").alias("feature"), "l_quantity", "l_linenumber")
-        return B.vote(flags.filter("l_quantity > 49 AND l_linenumber = 7").select("method", "feature"), rule, 3)
+        flags = fx.table(spark, sf, "lineitem").select(F.col("l_returnflag").alias("method"), F.col("l_orderkey").cast("string").alias("feature"))
+        return B.vote(flags, rule, 3)
     return run
 
 
-VOTES = "SELECT CAST(l_suppkey AS VARCHAR) AS feature, count(DISTINCT l_returnflag) AS votes FROM lineitem WHERE l_quantity > 49 AND l_linenumber = 7 GROUP BY 1 HAVING count(DISTINCT l_returnflag) >= "
+VOTES = "SELECT CAST(l_orderkey AS VARCHAR) AS feature, count(DISTINCT l_returnflag) AS votes FROM lineitem GROUP BY 1 HAVING count(DISTINCT l_returnflag) >= "
 query("u2_vote_intersection", VOTES + "3")(_vote("intersection"))
 query("u2_vote_union", VOTES + "1")(_vote("union"))
 query("u2_vote_two", VOTES + "2")(_vote("voting"))

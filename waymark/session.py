@@ -23,6 +23,9 @@ def build_session(app: str = "waymark", master: str | None = None, partitions: i
         builder = builder.master(master)
     if partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(partitions))
+    else:
+        # Shuffles start fine and are merged to the advisory size; merging can't split what began too coarse.
+        builder = builder.config("spark.sql.adaptive.coalescePartitions.initialPartitionNum", "8192")
     return builder.getOrCreate()
 
 
@@ -30,10 +33,12 @@ _TEMPORARY: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor can reach: spark.checkpoint.dir, or a temporary one where it is unset."""
+    """The folder every executor can reach: spark.checkpoint.dir, or in local mode, where one machine does all, a temporary one."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if named:
         return named
+    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     application = spark.sparkContext.applicationId
     if application not in _TEMPORARY:
         _TEMPORARY[application] = tempfile.mkdtemp(prefix="waymark-")

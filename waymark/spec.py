@@ -55,6 +55,11 @@ class EventSpec:
     completed: str = "offer completed"
     purchase: str = "transaction"
 
+    def __post_init__(self) -> None:
+        # The log holds event names in lower case, so a spec may spell them as it likes.
+        for name in ("received", "viewed", "completed", "purchase"):
+            object.__setattr__(self, name, getattr(self, name).lower())
+
     def log(self, raw: DataFrame) -> DataFrame:
         """The narrow event log: one row per distinct (entity, item, event, time).
 
