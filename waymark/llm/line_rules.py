@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from waymark.llm.text import bytes_of, grams, mapped, mixed, run_hashes, strings, word_starts
+from waymark.llm.text import bytes_of, grams, labelled_texts, mapped, mixed, run_hashes, strings, word_starts
 
 SYMBOLS = b"#*$%&|<>"
 FEATURES = (
@@ -147,9 +147,8 @@ def fit_field(docs: DataFrame, labels: DataFrame, train_documents: int = 4000, t
     reaches the driver. Without both ratings the field calls every line content.
     """
     rated = labels.filter("quality in (0, 1) and doc_id is not null").groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    rated = F.broadcast(rated.orderBy(F.xxhash64("doc_id"), "doc_id").limit(train_documents))
-    sample = mapped(docs.select("doc_id", "text").join(rated, "doc_id").select("text", "quality"), _sampled, "quality int, lines array<int>")
-    rows = sample.filter(F.size("lines").between(1, train_lines)).limit(train_documents).toArrow()
+    sample = mapped(labelled_texts(docs, rated, "quality", train_documents).select("text", "quality"), _sampled, "quality int, lines array<int>")
+    rows = sample.filter(F.size("lines").between(1, train_lines)).toArrow()
     n = len(FEATURES)
     quality = rows.column("quality").to_numpy()
     if len(set(quality.tolist())) < 2:

@@ -80,16 +80,15 @@ def leaf_budgets(leaves: DataFrame, weights: Weights, percent: int, max_epochs:
     A name without a weight weighs 1; one of weight 0, and all below it, gets nothing.
     """
     open_leaves = leaves.filter(reduce(lambda a, b: a & b, (_weight(level, weights) > 0 for level in LEVELS)))
-    total = leaves.agg(F.expr(f"sum(tokens) * {int(percent)} div 100").alias("budget"))
+    total = leaves.agg(F.coalesce(F.sum("tokens"), F.lit(0))).first()[0] * percent // 100
     nodes = open_leaves.withColumn("supply", F.col("tokens") * max_epochs)
-    # One row joined to one row of totals by a constant key.
-    held = total.select(F.lit(0).alias("root"), F.coalesce("budget", F.lit(0)).alias("budget"))
+    held = None
     for depth, level in enumerate(LEVELS):
-        path = list(LEVELS[: depth + 1])
-        children = nodes.groupBy(*path).agg(F.sum("supply").alias("supply")).withColumn("root", F.lit(0)).withColumn("weight", _weight(level, weights))
-        parents = ["root", *LEVELS[:depth]]
-        held = shared(children.join(held, parents), parents, level).select("root", *path, F.col("granted").alias("budget"))
-    return leaves.join(held.drop("root").withColumnRenamed("budget", "granted"), list(LEVELS), "left").fillna(0, ["granted"])
+        path, parents = list(LEVELS[: depth + 1]), list(LEVELS[:depth])
+        children = nodes.groupBy(*path).agg(F.sum("supply").alias("supply")).withColumn("weight", _weight(level, weights))
+        children = children.join(held, parents) if parents else children.withColumn("budget", F.lit(total).cast("long")).withColumn("root", F.lit(0))
+        held = shared(children, parents or ["root"], level).select(*path, F.col("granted").alias("budget"))
+    return leaves.join(held.withColumnRenamed("budget", "granted"), list(LEVELS), "left").fillna(0, ["granted"])
 
 
 def _hash(seed: int, epoch: Column, doc_id: Column) -> Column:
@@ -102,7 +101,8 @@ def selection(narrow: DataFrame, weights: Weights, percent: int, max_epochs: int
     ``narrow`` has doc_id, the levels and n_tokens. Rows of equal hash, such as
     rows of one doc_id, go in or out together. A null ``cutoff`` takes none.
     """
-    leaves = written(leaf_budgets(narrow.groupBy(*LEVELS).agg(F.sum("n_tokens").alias("tokens")), weights, percent, max_epochs), "leaves")
+    totals = written(narrow.groupBy(*LEVELS).agg(F.sum("n_tokens").alias("tokens")), "totals")
+    leaves = written(leaf_budgets(totals, weights, percent, max_epochs), "leaves")
     plan = leaves.withColumn("epochs", F.expr("if(tokens > 0, granted div tokens, 0)")).withColumn("rest", F.expr("granted - epochs * tokens"))
     small = bounded_broadcast(plan)
     placed = narrow.join(small, list(LEVELS)).withColumn("hash", _hash(seed, F.col("epochs"), F.col("doc_id"))).withColumn("slice", F.substring("hash", 1, SLICE_DIGITS))

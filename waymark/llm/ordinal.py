@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from waymark.llm.text import bytes_of, hashed_words, mapped, mixed, run_hashes, strings, word_starts
+from waymark.llm.text import bytes_of, hashed_words, labelled_texts, mapped, mixed, run_hashes, strings, word_starts
 from waymark.llm.toxicity import terms_of
 
 _SHAPE = np.arange(256, dtype=np.uint8)
@@ -83,8 +83,7 @@ def fit(docs: DataFrame, ratings: DataFrame, grades: int = 3, train_documents: i
     Without ratings all thresholds are at chance one half.
     """
     rated = ratings.filter(F.col("doc_id").isNotNull() & F.col("grade").between(0, grades - 1)).groupBy("doc_id").agg(F.min("grade").alias("grade"))
-    chosen = F.broadcast(rated.orderBy(F.xxhash64("doc_id"), "doc_id").limit(train_documents))
-    sample = mapped(docs.select("doc_id", "text").join(chosen, "doc_id").select("doc_id", "text", "grade"), _sampled(bits), "doc_id long, grade int, places array<int>, values array<float>").orderBy("doc_id").limit(train_documents).toArrow()
+    sample = mapped(labelled_texts(docs, rated, "grade", train_documents), _sampled(bits), "doc_id long, grade int, places array<int>, values array<float>").toArrow().sort_by("doc_id")
     n, size = sample.num_rows, 1 << bits
     if not n:
         return GradeModel(bits, np.zeros(size), np.arange(grades - 1) * 1e-9)

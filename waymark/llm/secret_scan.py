@@ -11,6 +11,7 @@ Everything here is DataFrame and SQL functions and ``pyspark.ml``.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass, field
 
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
@@ -19,6 +20,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from waymark.llm.text import least_hashed
 from waymark.session import written
 
 _SIGNS = "A-Za-z0-9+/_=-"
@@ -60,15 +62,16 @@ class Dictionary:
 
 
 def learn_dictionary(docs: DataFrame, sample_documents: int = 2000, sample_chars: int = 4000, words: int = 400) -> Dictionary:
-    """From the first ``sample_chars`` characters of ``sample_documents`` texts, those of least id hash: a word list is fitted on a bounded sample."""
-    texts = docs.filter("text is not null").orderBy(F.xxhash64("doc_id"), "doc_id").select(F.lower(F.substring("text", 1, sample_chars)).alias("text")).limit(sample_documents)
+    """The word list is fitted on a bounded sample: ``sample_chars`` characters of each of ``sample_documents`` texts, those of least id hash."""
+    chosen = F.broadcast(least_hashed(docs.filter("text is not null and doc_id is not null").select("doc_id"), sample_documents, "doc_id").distinct())
+    start = F.lower(F.substring("text", 1, sample_chars))
+    texts = docs.select("doc_id", start.alias("text")).join(chosen, "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"))
     seen = texts.select(F.explode(F.regexp_extract_all("text", F.lit(r"[a-z]{3,20}"), F.lit(0))).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
     seen = written(seen, "words")
     top = [r["word"] for r in seen.orderBy(F.desc("n"), "word").limit(words).collect()]
     pairs = seen.select("n", F.explode(F.transform(F.sequence(F.lit(1), F.char_length("word") - 1), lambda i: F.col("word").substr(i, F.lit(2)))).alias("pair"))
     counts = pairs.groupBy("pair").agg(F.sum("n").alias("n")).collect()  # at most 26 * 26
     total = sum(r["n"] for r in counts) or 1
-    import math
     return Dictionary(tuple(sorted(top)), {r["pair"]: math.log(r["n"] / total) for r in sorted(counts)})
 
 
@@ -130,8 +133,9 @@ def fit(labelled: DataFrame, dictionary: Dictionary, train_findings: int = 5000,
     out. With one label alone, or none, every finding gets that label's chance.
     """
     known = labelled.filter("is_secret is not null").dropDuplicates(["value", "before", "after", "is_secret"])
-    pick = Window.partitionBy("is_secret").orderBy(F.xxhash64("value", "before", "after"), "doc_id", "place")
-    sample = known.withColumn("pick", F.row_number().over(pick)).filter(F.col("pick") <= train_findings)
+    known = written(known, "known")
+    picked = [least_hashed(known.filter(F.col("is_secret") == v), train_findings, "value", "before", "after", "doc_id", "place") for v in (True, False)]
+    sample = picked[0].unionByName(picked[1])
     rows = written(described(sample, dictionary).select(*FEATURES, F.col("is_secret").cast("double").alias("label")), "findings")
     seen = {r["label"] for r in rows.select("label").distinct().collect()}
     if len(seen) < 2:

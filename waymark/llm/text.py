@@ -167,3 +167,21 @@ def mapped(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch
 def bounded_broadcast(df: DataFrame, max_rows: int = 10_000) -> DataFrame:
     """``df`` marked for broadcast if it holds few rows, else as it is; meant for tables that were written and are cheap to count."""
     return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+
+
+def least_hashed(rows: DataFrame, n: int, *columns: str) -> DataFrame:
+    """The ``n`` rows of least hash of ``columns``: a sample that a repeated task draws alike.
+
+    Of a large table only rows whose hash is low enough for about ``2 n`` of them are compared, so no task gathers ``n`` of every partition.
+    """
+    key = F.pmod(F.xxhash64(*columns), F.lit(1 << 32))
+    total = rows.count()
+    if total > 4 * n:
+        rows = rows.filter(key < (1 << 32) * 2 * n // total)
+    return rows.orderBy(key, *columns).limit(n)
+
+
+def labelled_texts(docs: DataFrame, labels: DataFrame, column: str, n: int) -> DataFrame:
+    """One row (doc_id, text, ``column``) for each of at most ``n`` labelled ids; of several texts of an id the least. ``labels`` has one row an id."""
+    chosen = F.broadcast(least_hashed(labels, n, "doc_id"))  # at most n pairs of numbers
+    return docs.select("doc_id", "text").join(chosen, "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.first(column).alias(column))
