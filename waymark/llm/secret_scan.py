@@ -141,6 +141,8 @@ def fit(labelled: DataFrame, dictionary: Dictionary, train_findings: int = 5000,
     if len(seen) < 2:
         return SecretModel(dictionary, None, 1.0 if 1.0 in seen else 0.0)
     inputs = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(rows.orderBy(*FEATURES, "label")).select("features", "label")
+    # Each task returns the counts of all open nodes of all trees; a bounded sample needs few tasks.
+    inputs = inputs.coalesce(4)
     return SecretModel(dictionary, RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=seed, featureSubsetStrategy="onethird").fit(inputs))
 
 
