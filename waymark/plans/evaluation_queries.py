@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from waymark.operators import evaluate as V
@@ -284,7 +284,13 @@ def l6(spark, sf):
     return rounded(L.bin_shares(stability_input(spark, sf), ["qty", "price"], "safra", 5)[0])
 
 
-@query("l6_bin_groups")
+@query("l6_bin_groups", fx.with_("""linhas AS (
+  SELECT 'qty' AS variavel, l_quantity AS x FROM lineitem UNION ALL SELECT 'price', l_extendedprice FROM lineitem
+), lim AS (
+  SELECT variavel, list_sort(list_distinct(quantile_cont(x, [0, 0.125, 0.25, 0.375, 0.5, 0.625, 0.75, 0.875, 1]))) AS e FROM linhas GROUP BY variavel)""") + """
+SELECT DISTINCT variavel, CAST(greatest(len(list_filter(e, lambda v: v < x)), 1) AS INTEGER) AS bin, TRUE AS named, 4::BIGINT AS groups FROM linhas JOIN lim USING (variavel)""")
 def l6_groups(spark, sf):
     shares, _ = L.bin_shares(stability_input(spark, sf), ["qty", "price"], "safra", 8)
-    return L.bin_groups(shares, "safra")
+    found = L.bin_groups(shares, "safra")
+    groups = F.size(F.collect_set("grupo").over(Window.partitionBy("variavel"))).cast("long")
+    return found.select("variavel", "bin", F.col("grupo").rlike("^Bin_[1-4]$").alias("named"), groups.alias("groups"))

@@ -1,8 +1,13 @@
-"""Training, scoring and selection on the mixed table; results depend on fitted models, so no SQL follows them."""
+"""Training, scoring and selection on the mixed table.
+
+Fitted numbers follow no SQL. Each query returns what SQL can follow, names,
+ids, settings and counts, and whether the fitted numbers keep their bounds.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
 from waymark.operators import learn as L
 from waymark.plans import fixtures as fx
@@ -17,77 +22,100 @@ def data(spark: SparkSession, sf: str) -> DataFrame:
     return fx.mixed(spark, sf).select("id", "safra", "y", *FEATURES)
 
 
-@query("l7_train_and_save")
+MIXED = fx.with_(fx.MIXED_SQL)
+
+
+def names_sql(names: list[str], column: str = "nome_variavel", total: bool = True) -> str:
+    values = ", ".join(f"('{n}')" for n in names)
+    return f"SELECT n AS {column}, TRUE AS bounded{', 1.0::DOUBLE AS total' if total else ''} FROM (VALUES {values}) v(n)"
+
+
+def shares(found: DataFrame, name: str = "nome_variavel") -> DataFrame:
+    """Importances that are shares of one: their names, whether each is a share, and what they sum to."""
+    value = F.col("importancia")
+    return found.select(name, value.between(0, 1).alias("bounded"), F.bround(F.sum(value).over(Window.partitionBy(F.lit(1))), 6).alias("total"))
+
+
+@query("l7_train_and_save", names_sql(FEATURES))
 def l7(spark, sf):
     found, _, _ = L.train_and_save(data(spark, sf), "y", scratch_path(spark, "model"), ["id", "safra"], SMALL)
-    return found
+    return shares(found)
 
 
-@query("l8_load_and_score")
+@query("l8_load_and_score", MIXED + "SELECT id, safra, y, qty, TRUE AS bounded FROM m")
 def l8(spark, sf):
     path = scratch_path(spark, "model")
     L.train_and_save(data(spark, sf), "y", path, ["id", "safra"], SMALL)
-    return L.load_and_score(data(spark, sf).drop("tax"), path)
+    return L.load_and_score(data(spark, sf).drop("tax"), path).select("id", "safra", "y", "qty", F.col("score_modelo").between(0, 1).alias("bounded"))
 
 
-@query("l9_backward_elimination")
+@query("l9_backward_elimination", "SELECT CAST(i AS INTEGER) AS etapa, CAST(5 - i AS INTEGER) AS qtd_variavel, CAST(5 - i AS INTEGER) AS listed, TRUE AS bounded FROM range(1, 5) t(i)")
 def l9(spark, sf):
-    return L.backward_elimination(data(spark, sf).drop("safra", "status", "line"), ["id"], "y", params=SMALL)
+    rounds = L.backward_elimination(data(spark, sf).drop("safra", "status", "line"), ["id"], "y", params=SMALL)
+    return rounds.select("etapa", "qtd_variavel", F.size("variaveis_explicativas").alias("listed"), (F.col("gini").between(-1, 1) & F.col("ks").between(0, 1)).alias("bounded"))
 
 
-@query("l10_selection_round")
+@query("l10_selection_round", f"SELECT {len(FEATURES) - 1}::BIGINT AS kept, TRUE AS known, TRUE AS bounded")
 def l10(spark, sf):
     kept, ks, gini = L.selection_round(data(spark, sf), ["id", "safra"], "y", SMALL)
-    return spark.createDataFrame([(f, ks, gini) for f in kept], "feature string, ks double, gini double")
+    return spark.createDataFrame([(len(kept), set(kept) <= set(FEATURES), 0 <= ks <= 1 and -1 <= gini <= 1)], "kept long, known boolean, bounded boolean")
 
 
-@query("l11_grid_search")
+@query("l11_grid_search", "SELECT d AS max_depth, 4.0::DOUBLE AS num_leaves, 0.3::DOUBLE AS learning_rate, TRUE AS bounded FROM (VALUES (2.0::DOUBLE), (3.0::DOUBLE)) v(d)")
 def l11(spark, sf):
     options = {"max_depth": [2, 3], "num_leaves": [4], "learning_rate": [0.3]}
     _, history = L.grid_search(data(spark, sf).select("id", "y", "qty", "price"), "y", ["id"], options, folds=2, max_trees=4)
-    return history
+    bounded = F.col("gini_mean").between(-1, 1) & (F.col("gini_std") >= 0) & F.col("best_iter_mean").between(1, 4) & F.col("best_iter_median").between(1, 4)
+    return history.select("max_depth", "num_leaves", "learning_rate", bounded.alias("bounded"))
 
 
-@query("l12_class_weight", fx.with_(fx.MIXED_SQL) + "SELECT CASE WHEN n / p >= 3 THEN n / p ELSE 1.0 END AS peso FROM (SELECT count(*) FILTER (y = 0) AS n, count(*) FILTER (y = 1) AS p FROM m)")
+@query("l12_class_weight", MIXED + "SELECT CASE WHEN n / p >= 3 THEN n / p ELSE 1.0 END AS peso FROM (SELECT count(*) FILTER (y = 0) AS n, count(*) FILTER (y = 1) AS p FROM m)")
 def l12(spark, sf):
     return spark.createDataFrame([(float(L.class_weight(data(spark, sf), "y")),)], "peso double")
 
 
-@query("l13_forest_importance")
+@query("l13_forest_importance", names_sql(FEATURES, "variavel"))
 def l13(spark, sf):
-    return L.forest_importance(data(spark, sf), FEATURES, "y", "id", trees=5, folds=2)[0]
+    return shares(L.forest_importance(data(spark, sf), FEATURES, "y", "id", trees=5, folds=2)[0], "variavel")
 
 
-@query("l14_importances")
+@query("l14_importances", names_sql(["qty", "price", "tax", "line"], total=False))
 def l14(spark, sf):
     model = L.train_and_tune(data(spark, sf).drop("flag", "status"), "y", ["id", "safra"], "lr", {"regParam": [0.01]}, folds=2)
-    return L.importances(model)
+    return L.importances(model).select("nome_variavel", (F.abs("importancia") < float("inf")).alias("bounded"))
 
 
-@query("l15_select_features")
+@query("l15_select_features", "SELECT 2::BIGINT AS chosen, TRUE AS known, TRUE AS bounded")
 def l15(spark, sf):
     few = data(spark, sf).select("id", "y", "qty", "price", "flag")
-    return L.select_features(few, "y", ["id"], ["classic", "univariate", "sequential"], "voting", keep=2)
+    found = L.select_features(few, "y", ["id"], ["classic", "univariate", "sequential"], "voting", keep=2)
+    return found.agg(F.count("*").alias("chosen"), F.every(F.col("feature").isin("qty", "price", "flag")).alias("known"), F.every(F.col("votes").between(1, 3)).alias("bounded"))
 
 
-@query("l16_score_new_base")
+@query("l16_score_new_base", MIXED + "SELECT id, safra, y, TRUE AS bounded, 1.0::DOUBLE AS total FROM m WHERE safra >= 1999")
 def l16(spark, sf):
     path = scratch_path(spark, "model")
     train, new = data(spark, sf).filter("safra < 1999"), data(spark, sf).filter("safra >= 1999")
     L.train_and_save(train, "y", path, ["id", "safra"], SMALL)
-    return L.score_new_base(train, new, path, ["id", "safra", "y"])
+    scored = L.score_new_base(train, new, path, ["id", "safra", "y"])
+    return scored.select("id", "safra", "y", (F.col("score_0").between(0, 1) & F.col("score_1").between(0, 1)).alias("bounded"), F.bround(F.col("score_0") + F.col("score_1"), 6).alias("total"))
 
 
-@query("l17_train_and_tune")
+@query("l17_train_and_tune", names_sql(["qty", "price", "line"]))
 def l17(spark, sf):
     few = data(spark, sf).select("id", "y", "qty", "price", "line")
     model = L.train_and_tune(few, "y", ["id"], "gbc", {"maxDepth": [2, 3], "maxIter": [3]}, folds=2)
-    return L.importances(model)
+    return shares(L.importances(model))
 
 
-@query("l17_train_and_tune_clustering")
+@query("l17_train_and_tune_clustering", MIXED + "SELECT TRUE AS numbered, TRUE AS bounded, count(*) > 0 AS fitted FROM m")
 def l17_clusters(spark, sf):
     few = data(spark, sf).select("id", "qty", "price")
     model = L.train_and_tune(few, None, ["id"], "kmeans", {"k": [2, 3]}, "clustering", folds=2)
-    rows = [(i, float(c[0]), float(c[1])) for i, c in enumerate(model.stages[-1].clusterCenters())]
-    return spark.createDataFrame(rows, "cluster int, qty double, price double")
+    centres = [(i, float(c[0]), float(c[1])) for i, c in enumerate(model.stages[-1].clusterCenters())]
+    ends = few.agg(F.min("qty").alias("q0"), F.max("qty").alias("q1"), F.min("price").alias("p0"), F.max("price").alias("p1"))
+    found = spark.createDataFrame([(centres,)], "centres array<struct<cluster:int,qty:double,price:double>>")
+    # Centres lie among the rows; both tables are one row.
+    held = F.forall("centres", lambda c: c["qty"].between(F.col("q0"), F.col("q1")) & c["price"].between(F.col("p0"), F.col("p1")))
+    both = found.withColumn("one", F.lit(1)).join(ends.withColumn("one", F.lit(1)), "one")
+    return both.select((F.transform("centres", lambda c: c["cluster"]) == F.sequence(F.lit(0), F.size("centres") - 1)).alias("numbered"), held.alias("bounded"), F.size("centres").isin(2, 3).alias("fitted"))
