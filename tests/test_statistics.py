@@ -204,3 +204,34 @@ def test_pandas_nan_becomes_null(spark):
     import pandas as pd
     out = S.from_pandas(spark, pd.DataFrame({"a": [1.0, float("nan")]}))
     assert out.filter("a IS NULL").count() == 1
+
+
+@pytest.mark.parametrize("low,step", [(1.7e9, 60.0), (0.99, 1e-6), (1990.0, 0.01), (-5.0, 1e-3)])
+def test_narrow_columns_are_spread_over_slices(spark, low, step):
+    from waymark.operators.ordered import slice_of, value_limits
+    df = spark.range(20_000).select((F.lit(low) + F.col("id") * step).alias("x"))
+    limits = value_limits(df, "x")
+    sizes = df.groupBy(slice_of(F.col("x"), limits).alias("s")).count().orderBy("s").collect()
+    assert max(r["count"] for r in sizes) <= 0.004 * 20_000
+    ordered = df.withColumn("s", slice_of(F.col("x"), limits)).groupBy("s").agg(F.min("x").alias("a"), F.max("x").alias("b")).orderBy("s").collect()
+    assert all(p["b"] < q["a"] for p, q in zip(ordered, ordered[1:]))
+
+
+def test_nan_counts_as_missing(spark):
+    from waymark.operators.explore import distance_correlation, rank_correlation
+    from waymark.operators.tables import by_target, period_rates
+    rows = [(1.0, 2.0, 0), (2.0, 1.0, 1), (3.0, 4.0, 0), (4.0, 3.0, 1), (5.0, 5.0, 1)]
+    schema = "a double, b double, y int"
+    clean, dirty = spark.createDataFrame(rows, schema), spark.createDataFrame(rows + [(float("nan"), 1.0, 1), (2.0, float("nan"), 0)], schema)
+    assert rank_correlation(dirty, "a", "b").first()[0] == pytest.approx(rank_correlation(clean, "a", "b").first()[0])
+    assert distance_correlation(dirty, "a", "b").first()[0] == pytest.approx(distance_correlation(clean, "a", "b").first()[0])
+    assert {r["y"]: r["b_max"] for r in by_target(dirty, ["b"], "y").collect()} == {0: 4.0, 1: 5.0}
+    rates = period_rates(dirty.withColumn("p", F.lit("x")), "p", "a", ("n", "pos", "neg", "rate")).first()
+    assert (rates["n"], rates["pos"]) == (6, 17.0)
+
+
+def test_vif_refuses_more_columns_than_it_can_invert(spark):
+    from waymark.operators.explore import vif
+    df = spark.createDataFrame([(1.0, 2.0, 3.0)], "a double, b double, c double")
+    with pytest.raises(ValueError):
+        vif(df, ["a", "b", "c"], max_vars=2)
