@@ -27,28 +27,29 @@ def keyed(df: DataFrame, keys: list[str]) -> tuple[DataFrame, list[str]]:
     return (df, keys) if keys else (df.withColumn(ALL, F.lit(1)), [ALL])
 
 
-#: Slices of a column: COARSE groups of FINE each.
-COARSE, FINE = 32, 32
+#: Groups that end at quantiles, and slices of equal width in each.
+COARSE, FINE = 32, 16
 
 
 def value_limits(rows: DataFrame, value: str) -> list[float]:
-    """The upper ends of slices that hold about equally many rows; fixed on the driver, so all passes place a row alike."""
-    shares = [i / (COARSE * FINE) for i in range(1, COARSE * FINE)]
-    found = rows.agg(F.percentile_approx(F.col(value).cast("double"), shares, 20_000).alias("v")).first()["v"]
+    """The ends of groups that hold about equally many rows; fixed on the driver, so all passes place a row alike."""
+    shares = [i / COARSE for i in range(COARSE + 1)]
+    found = rows.agg(F.percentile_approx(F.col(value).cast("double"), shares, 2_000).alias("v")).first()["v"]
     return sorted(set(found or []))
 
 
 def slice_of(value: Column, limits: list[float]) -> Column:
-    """Number of limits below a value: never decreases as the value grows. Null counts as lowest."""
-    if not limits:
-        return F.lit(0).cast("long")
+    """Slice number that never decreases as the value grows: the group by binary search, then the place in it. Null counts as lowest."""
     x = value.cast("double")
-    parts = [limits[i: i + FINE] for i in range(0, len(limits), FINE)]
-    # First the group, by its last limit, then the place in the group.
-    ends, groups = prob_list([p[-1] for p in parts]), F.array(*[prob_list(p) for p in parts])
-    group = F.least(F.size(F.filter(ends, lambda e: e < x)), F.lit(len(parts) - 1))
-    place = F.size(F.filter(F.get(groups, group), lambda e: e < x))
-    return F.coalesce((group * FINE + place).cast("long"), F.lit(0).cast("long"))
+
+    def place(low: int, high: int) -> Column:
+        if high - low == 1:
+            start, end = limits[low], limits[high]
+            return F.least(F.greatest(F.floor((x - start) / (end - start) * FINE), F.lit(0)), F.lit(FINE - 1)) + low * FINE
+        middle = (low + high) // 2
+        return F.when(x <= limits[middle], place(low, middle)).otherwise(place(middle, high))
+
+    return F.coalesce(place(0, len(limits) - 1), F.lit(0).cast("long")) if len(limits) > 1 else F.lit(0).cast("long")
 
 
 def running(counts: DataFrame, keys: list[str], value: str, measures: list[str]) -> DataFrame:
