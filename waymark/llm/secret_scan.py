@@ -1,7 +1,8 @@
 """Secret scans: candidates by shape, false positives removed by a random forest.
 
-A candidate is a token of sixteen or more letters, digits and signs that keys
-are written in, with at least one digit. The forest sees its length, how often
+A candidate is a run of sixteen or more letters, digits and signs that keys are
+written in, or a shorter value of any signs that is quoted, assigned to a name
+or sent in an authorization header. The forest sees its length, how often
 neighbouring characters change class, how usual its letter pairs are, how much
 of it a word list covers, the path it comes from and the words and signs around
 it. It is trained on labelled findings.
@@ -23,14 +24,32 @@ from pyspark.sql import functions as F
 from waymark.llm.text import least_hashed
 from waymark.session import written
 
-_SIGNS = "A-Za-z0-9+/_=-"
-CANDIDATE = rf"(?<![{_SIGNS}])(?=[A-Za-z+/_=-]*[0-9])[{_SIGNS}]{{16,}}+"
+#: Names that a secret is assigned to; a number or a part after a sign may follow, as in token2 or api_key-prod.
+NAMES = "token|secret|passwd|password|passphrase|pwd|api_?key|access_?key|private_?key|client_?secret|credentials?|authorization|auth"
+SCHEMES = "bearer|basic|token|digest|apikey"
+_SUFFIX = r"(?:[_0-9-][A-Za-z0-9_-]{0,16})?"
+# Java's lookbehind needs bounds. Cheap ones come first, as they are tried at each place of a text.
+_SIGN = r"[\"'`]?[ \t]{0,4}[=:]{1,2}>?[ \t]{0,4}"
+_NAMED = rf"(?i:{NAMES}){_SUFFIX}{_SIGN}"
+_NO_SCHEME = rf"(?!(?i:{SCHEMES})[ \t])"
+_QUOTED = "|".join(
+    rf"(?<={_NAMED}{q}){_NO_SCHEME}(?=[^{q}\r\n]{{4}})[^{q}\\\r\n]*+(?:\\.[^{q}\\\r\n]*+)*+(?={q})|(?<={q})[^\s{q}]{{8,}}+(?={q})" for q in "\"'`")
+_FREE = r"[^\s\"'`]*[^\s\"'`.,;:)\]}>]"
+_ASSIGNED = rf"(?<={_NAMED}){_NO_SCHEME}(?![=:>])(?=[^\s\"'`]{{4}}){_FREE}|(?<=[\p{{L}}0-9_\])]{_SIGN})(?![=:>/])(?=[^\s\"'`]{{8}}){_FREE}"
+_HEADER = rf"(?<=(?i:authorization){_SIGN}[\"'`]?(?i:{SCHEMES})[ \t]{{1,4}})(?=[^\s\"'`]{{8}}){_FREE}"
+_WEB_TOKEN = r"eyJ[A-Za-z0-9_-]{8,}+(?:\.[A-Za-z0-9_-]{4,}+){1,2}"
+# '=' belongs to a run as padding alone; before a value it is an assignment.
+_PADDING = r"(?:==(?![=A-Za-z0-9+/_\"'`-])|=(?![ \t]{0,4}[^\s,;.)\]}]))?"
+_RUN = rf"(?=[+/_-]*+[A-Za-z0-9])[A-Za-z0-9+/_-]{{16,}}+{_PADDING}"
+CANDIDATE = (
+    rf"(?<=[\"'`])(?:{_QUOTED})|(?<=[=:> \t])(?<=[=:>][ \t]{{0,4}})(?:{_ASSIGNED})|(?<=[ \t])(?<=[rcntyRCNTY][ \t]{{1,4}})(?:{_HEADER})"
+    rf"|(?<![A-Za-z0-9+/_-])(?:{_WEB_TOKEN}|{_RUN})")
 #: Characters of text on either side that the forest looks at.
 CONTEXT = 48
 MASK = "<SECRET>"
 FEATURES = (
     "length", "class_changes", "distinct_share", "digit_share", "capital_share", "small_share", "hexadecimal", "pair_usualness", "coverage",
-    "path_bucket", "assigned", "quoted", "name_bucket", "before_bucket", "after_bucket", "before_digits",
+    "path_bucket", "assigned", "quoted", "name_bucket", "before_bucket", "after_bucket", "before_digits", "named",
 )
 
 
@@ -44,8 +63,10 @@ def candidates(docs: DataFrame) -> DataFrame:
     hit = docs.select("doc_id", "text", path.alias("path"), F.xxhash64("text").alias("text_key")).filter(F.col("text").rlike(CANDIDATE))
     cut = hit.select(
         "doc_id", "text_key", "path", F.regexp_extract_all("text", F.lit(CANDIDATE), F.lit(0)).alias("values"), F.split("text", CANDIDATE, -1).alias("parts"))
+    # A long name is a run of its own; the value assigned to it still has to see it.
+    last = lambda c: F.substring(F.coalesce(c, F.lit("")), -CONTEXT, CONTEXT)
     each = F.transform("values", lambda v, i: F.struct(
-        v.alias("value"), F.substring(F.get("parts", i), -CONTEXT, CONTEXT).alias("before"), F.substring(F.get("parts", i + 1), 1, CONTEXT).alias("after"),
+        v.alias("value"), last(F.concat(last(F.get("values", i - 1)), last(F.get("parts", i)))).alias("before"), F.substring(F.get("parts", i + 1), 1, CONTEXT).alias("after"),
         F.char_length(F.get("parts", i)).cast("long").alias("gap")))
     rows = cut.select("doc_id", "text_key", "path", F.posexplode(each).alias("place", "c")).select("doc_id", "text_key", "path", "place", "c.*").dropDuplicates(["doc_id", "text_key", "place"])
     sofar = Window.partitionBy("doc_id", "text_key").orderBy("place").rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -103,20 +124,41 @@ def described(found: DataFrame, dictionary: Dictionary) -> DataFrame:
         "hexadecimal": value.rlike("^[0-9a-fA-F]+$"), "pair_usualness": usualness, "coverage": coverage,
         "path_bucket": _bucket(F.coalesce("path", F.lit(""))), "assigned": F.col("before").rlike(assignment), "quoted": F.col("before").rlike("[\"'`]$") & F.col("after").rlike("^[\"'`]"),
         "name_bucket": _bucket(F.regexp_extract("before", assignment, 1)), "before_bucket": _bucket(word_before), "after_bucket": _bucket(word_after),
-        "before_digits": F.regexp_count(word_before, F.lit("[0-9]")) / F.greatest(F.char_length(word_before), F.lit(1)),
+        "before_digits": F.regexp_count(word_before, F.lit("[0-9]")) / F.greatest(F.char_length(word_before), F.lit(1)), "named": _named(),
     }
     return found.withColumns({name: columns[name].cast("double") for name in FEATURES})
 
 
-#: Names that a secret is assigned to, for labels where nobody has looked at findings.
-NAMES = "token|secret|passwd|password|api_?key|access_?key|private_?key|client_?secret|auth"
+#: How keys of well-known services begin.
+PREFIXES = (
+    r"^((AKIA|ASIA)[0-9A-Z]{12}|gh[pousr]_|github_pat_|glpat-|xox[abeoprs]-|sk[-_](?=.*[0-9A-Z])|[rp]k_(live|test)_|AIza|ya29\.|eyJ|npm_|pypi-|hf_|SG\.|shp(at|ss)_)")
+
+
+def _assigned_to(names: str) -> Column:
+    return F.col("before").rlike(rf"(?i)({names}){_SUFFIX}[\"'`]?\s*[=:]+>?\s*[\"'`]?$")
+
+
+def _named() -> Column:
+    """Whether the signs around a value, or those it begins with, are a secret's."""
+    value, quoted = F.col("value"), F.col("before").rlike("[\"'`]$") & F.col("after").rlike("^[\"'`]")
+    # A word in prose after "password:" isn't one, nor is a call or a variable.
+    keyed = (value.rlike(r"[0-9!$&@#%^*?+/=~]|[a-z][A-Z]") | (F.char_length("value") >= 16)) & ~value.rlike(r"^(\$[{(]|<|\{\{|%[{(])|\($")
+    header = F.col("before").rlike(rf"(?i)authorization[\"'`]?\s*[=:]+\s*[\"'`]?({SCHEMES})\s+$") | F.col("before").rlike(r"(?i)\bbearer\s+$") & keyed
+    return _assigned_to(NAMES) & (quoted | keyed) | header | value.rlike(PREFIXES)
 
 
 def labelled_by_name(found: DataFrame) -> DataFrame:
-    """Labels candidates: a quoted value assigned to one of ``NAMES`` is a secret, an unassigned one isn't; the rest get null."""
-    named = F.col("before").rlike(rf"(?i)({NAMES})[\"']?\s*[=:]+>?\s*[\"']$") & F.col("after").rlike("^[\"']")
-    plain = ~F.col("before").rlike(r"[=:]\s*[\"']?$")
-    return found.withColumn("is_secret", F.when(named, True).when(plain, False))
+    """Labels candidates where nobody has looked at findings.
+
+    A secret is a value assigned to one of ``NAMES`` that is quoted or looks
+    like a key, one in an authorization header, and one that begins like a known
+    key. None is a run that is neither assigned nor quoted, and a lone word or
+    number assigned to a name without a hint of keys. The rest get null.
+    """
+    before = F.col("before")
+    alone = ~before.rlike(r"[=:]>?\s*[\"'`]?$") & ~before.rlike("[\"'`]$") & ~before.rlike(r"(?i)\bbearer\s+$")
+    usual = before.rlike(r"[=:]>?\s*$") & ~_assigned_to(rf"{NAMES}|key|pass|pin|cred|sig") & F.col("value").rlike(r"^(\p{L}\p{Ll}{0,14}|\p{Lu}{1,15}|[0-9.,:/-]{1,15})\p{P}*$")
+    return found.withColumn("is_secret", F.when(_named(), True).when(alone | usual, False))
 
 
 @dataclass(frozen=True)
