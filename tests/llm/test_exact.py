@@ -3,6 +3,7 @@
 import glob
 import itertools
 import json
+import math
 import os
 import random
 import struct
@@ -244,3 +245,14 @@ def test_secrets_of_other_forms_are_found_and_never_taught_as_clean(spark):
     clean = secret_scan.masked(docs, secret_scan.scan(found, secret_scan.fit(known, secret_scan.Dictionary())))
     after = {r.doc_id: r.text for r in clean.collect()}
     assert all(after[i] == text.replace(value, "<SECRET>") for i, (text, value, label) in enumerate(forms) if label)
+
+
+def test_the_dictionary_counts_whole_texts_of_all_documents(spark):
+    rows = [(i, "plain words " * 400 + "späte größe") for i in range(30)] + [(None, "plain")]
+    dictionary = secret_scan.learn_dictionary(documents(spark, rows))
+    assert set(dictionary.words) == {"plain", "words", "späte", "größe"}
+    counts = {w: 30 * n for w, n in (("plain", 400), ("words", 400), ("späte", 1), ("größe", 1))}
+    counts["plain"] += 1
+    total = sum(n * (len(w) - 1) for w, n in counts.items())
+    assert abs(dictionary.pairs["la"] - math.log(counts["plain"] / total)) < 1e-12 and "öß" in dictionary.pairs
+    assert secret_scan.learn_dictionary(documents(spark, [])) == secret_scan.Dictionary()

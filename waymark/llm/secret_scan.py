@@ -76,24 +76,29 @@ def candidates(docs: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class Dictionary:
-    """Usual words, and the logarithm of each letter pair's share; fixed by a bounded sample of texts."""
+    """Usual words, and the logarithm of each letter pair's share; counted over all texts."""
 
     words: tuple[str, ...] = ()
     pairs: dict[str, float] = field(default_factory=dict)
 
 
-def learn_dictionary(docs: DataFrame, sample_documents: int = 2000, sample_chars: int = 4000, words: int = 400) -> Dictionary:
-    """The word list is fitted on a bounded sample: ``sample_chars`` characters of each of ``sample_documents`` texts, those of least id hash."""
-    chosen = F.broadcast(least_hashed(docs.filter("text is not null and doc_id is not null").select("doc_id"), sample_documents, "doc_id").distinct())
-    start = F.lower(F.substring("text", 1, sample_chars))
-    texts = docs.select("doc_id", start.alias("text")).join(chosen, "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"))
-    seen = texts.select(F.explode(F.regexp_extract_all("text", F.lit(r"[a-z]{3,20}"), F.lit(0))).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
-    seen = written(seen, "words")
-    top = [r["word"] for r in seen.orderBy(F.desc("n"), "word").limit(words).collect()]
-    pairs = seen.select("n", F.explode(F.transform(F.sequence(F.lit(1), F.char_length("word") - 1), lambda i: F.col("word").substr(i, F.lit(2)))).alias("pair"))
-    counts = pairs.groupBy("pair").agg(F.sum("n").alias("n")).collect()  # at most 26 * 26
-    total = sum(r["n"] for r in counts) or 1
-    return Dictionary(tuple(sorted(top)), {r["pair"]: math.log(r["n"] / total) for r in sorted(counts)})
+def learn_dictionary(docs: DataFrame, share: float = 1e-4) -> Dictionary:
+    """Counts the words of all texts, whole and in any language, and the letter pairs in them.
+
+    The list holds words of at least ``share`` of all words, so at most 1 / share.
+    Pairs of a to z are all kept; of other pairs those of at least ``share``.
+    """
+    words = F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"[\p{L}\p{M}]{3,}"), F.lit(0)))
+    seen = written(docs.select(words.alias("word")).groupBy("word").agg(F.count("*").alias("n")), "words")
+    n_words = seen.agg(F.sum("n")).first()[0] or 1
+    usual = [r["word"] for r in seen.filter(F.col("n") >= share * n_words).select("word").collect()]
+    # Letters as a list: counting to a place in a very long word again for each pair would take the square of its length.
+    letters = seen.select("n", F.regexp_extract_all("word", F.lit("."), F.lit(0)).alias("letters"))
+    two = F.zip_with(F.slice("letters", F.lit(1), F.size("letters") - 1), F.slice("letters", F.lit(2), F.size("letters") - 1), lambda x, y: F.concat(x, y))
+    counts = written(letters.select("n", F.explode(two).alias("pair")).groupBy("pair").agg(F.sum("n").alias("n")), "pairs")
+    n_pairs = counts.agg(F.sum("n")).first()[0] or 1
+    kept = counts.filter(F.col("pair").rlike("^[a-z]{2}$") | (F.col("n") >= share * n_pairs)).collect()  # at most 26 * 26 and 1 / share
+    return Dictionary(tuple(sorted(usual)), {r["pair"]: math.log(r["n"] / n_pairs) for r in sorted(kept)})
 
 
 def _bucket(word: Column) -> Column:
