@@ -182,6 +182,24 @@ def test_heads_of_a_crowded_bucket_meet_in_blocks(spark):
     assert found == {(d, d + 100) for d in range(10)}
 
 
+def test_pairs_near_the_limit_meet(spark):
+    rng, words = random.Random(12), vocabulary(3000, 5)
+    rows, n = [], 0
+    for size, edits in [(5, 1), (10, 1), (10, 2), (30, 6), (41, 8), (60, 12), (65, 13), (200, 20), (200, 30), (200, 40)]:
+        for _ in range(12):
+            text = [rng.choice(words) for _ in range(size)]
+            near = list(text)
+            for place in rng.sample(range(size), edits):
+                near[place] = f"new{n}x{place}"
+            rows += [(2 * n, " ".join(text)), (2 * n + 1, " ".join(near))]
+            n += 1
+    rows += [(2 * n, "one two three four five"), (2 * n + 1, "one two three more four five")]
+    rows += [(2 * n + 2, " ".join(f"v{i}" for i in range(33))), (2 * n + 3, " ".join(f"v{i}" for i in range(41)))]
+    got = {r.doc_id: r.class_id for r in near_dedup.near_duplicates(documents(spark, rows)).collect()}
+    assert sum(got[2 * i] != got[2 * i + 1] for i in range(n)) <= 1
+    assert all(got[2 * i] == got[2 * i + 1] == 2 * i for i in (n, n + 1))
+
+
 def test_near_duplicates_of_an_empty_table(spark):
     assert near_dedup.near_duplicates(documents(spark, [])).count() == 0
 
