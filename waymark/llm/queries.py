@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waymark.llm import chat, line_rules, mixing, near_dedup, ordinal, packing, secret_scan, substring, topk, toxicity
+from waymark.llm import chat, line_rules, merkle, mixing, near_dedup, ordinal, packing, secret_scan, substring, topk, toxicity
 from waymark.llm.text import table
 from waymark.plans.registry import Query
 from waymark.session import written
@@ -164,3 +164,58 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = written(secret_scan.candidates(docs), "candidates")
     model = secret_scan.fit(secret_scan.labelled_by_name(found), secret_scan.learn_dictionary(docs))
     return secret_scan.scan(found, model).select("doc_id", "place", "start", F.char_length("value").cast("long").alias("length"), F.sha2("value", 256).alias("value_sha256"), "probability", "is_secret")
+
+
+def _crc32_sql(text: str) -> str:
+    bits = "list_reduce(list_concat([xor(c, b)], [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]), lambda a, z: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END)"
+    return f"xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split({text}, ''), lambda ch: ascii(ch)::BIGINT)), lambda c, b: {bits}), 4294967295)"
+
+
+#: Levels that the SQL climbs: enough for eight to their power of leaves and of subroots.
+SQL_LEVELS = {"leaf": 7, "top": 3}
+
+
+def _merkle_sql() -> str:
+    fields = " || ".join(f"coalesce(strlen({c}::VARCHAR) || ':' || {c}, '-')" for c in merkle.FIELDS[:-1])
+    whole = f"sha256({fields} || coalesce(strlen(text) || ':' || text, '-'))"
+    lowered = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    changed = f"CASE WHEN {_crc32_sql('doc_id::VARCHAR')} % 3 = 0 THEN sha256({fields} || coalesce(strlen(text) || ':' || {lowered}, '-')) ELSE {whole} END"
+    ctes = [
+        f"d AS (SELECT doc_id, coalesce(':' || lang, '-') AS tree, {whole} AS leaf, {changed} AS changed FROM documents)",
+        "leaf_0 AS (SELECT tree, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i, leaf AS h FROM d)",
+    ]
+
+    def climb(name: str, levels: int) -> None:
+        for k in range(levels):
+            run = "PARTITION BY tree, i // 8 ORDER BY i ROWS BETWEEN"
+            ctes.append(f"""{name}_s{k} AS (SELECT tree, i, count(*) OVER (PARTITION BY tree) AS n, h,
+                coalesce(string_agg(h, '') OVER ({run} UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+                coalesce(string_agg(h, '') OVER ({run} 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r FROM {name}_{k})""")
+            ctes.append(f"{name}_{k + 1} AS (SELECT tree, i // 8 AS i, CASE WHEN max(n) = 1 THEN min(h) ELSE sha256(string_agg(h, '' ORDER BY i)) END AS h FROM {name}_s{k} GROUP BY tree, i // 8)")
+
+    def up(name: str, levels: int, start: str) -> str:
+        for k in range(levels):
+            ctes.append(f"""{name}_p{k} AS (SELECT p.* EXCLUDE (i, proof, folded), p.i // 8 AS i, proof || CASE WHEN n > 1 THEN l || r ELSE '' END AS proof,
+                CASE WHEN n > 1 THEN sha256(l || folded || r) ELSE folded END AS folded FROM {start} p JOIN {name}_s{k} s ON p.tree = s.tree AND p.i = s.i)""")
+            start = f"{name}_p{k}"
+        return start
+
+    climb("leaf", SQL_LEVELS["leaf"])
+    ctes.append(f"top_0 AS (SELECT '' AS tree, row_number() OVER (ORDER BY CASE WHEN tree = '-' THEN 0 ELSE 1 END, tree) - 1 AS i, h, tree AS lang FROM leaf_{SQL_LEVELS['leaf']})")
+    climb("top", SQL_LEVELS["top"])
+    ctes.append("start AS (SELECT doc_id, tree, leaf, changed AS folded, '' AS proof, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i FROM d)")
+    done = up("leaf", SQL_LEVELS["leaf"], "start")
+    ctes.append(f"between AS (SELECT p.doc_id, p.leaf, t.h AS subroot, '' AS tree, t.i, p.folded, p.proof FROM {done} p JOIN top_0 t ON p.tree = t.lang)")
+    done = up("top", SQL_LEVELS["top"], "between")
+    return f"""WITH {", ".join(ctes)}
+        SELECT doc_id, leaf, subroot, h AS root, sha256(proof) AS proof_sha256, folded AS folded_root, folded = h AS verified
+        FROM {done}, top_{SQL_LEVELS["top"]} t"""
+
+
+@query("op11_merkle_manifest", _merkle_sql())
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lowered = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    altered = F.when(F.crc32(F.col("doc_id").cast("string")) % 3 == 0, merkle.digest_of(*[F.col(c) for c in merkle.FIELDS[:-1]], lowered))
+    proofs = merkle.manifest(table(spark, sf_dir, "documents"), carried={"altered": altered})
+    back = merkle.folded(F.coalesce("altered", "leaf"), F.col("path"))
+    return proofs.select("doc_id", "leaf", "subroot", "root", merkle.proof_digest(F.col("path")).alias("proof_sha256"), back.alias("folded_root")).withColumn("verified", F.col("folded_root") == F.col("root"))
