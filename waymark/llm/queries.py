@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waymark.llm import chat, line_rules, merkle, mixing, near_dedup, ordinal, packing, secret_scan, substring, topk, toxicity
+from waymark.llm import chat, line_dedup, line_rules, merkle, mixing, near_dedup, ordinal, packing, secret_scan, substring, topk, toxicity
 from waymark.llm.text import table
 from waymark.plans.registry import Query
 from waymark.session import written
@@ -219,3 +219,18 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     proofs = merkle.manifest(table(spark, sf_dir, "documents"), carried={"altered": altered})
     back = merkle.folded(F.coalesce("altered", "leaf"), F.col("path"))
     return proofs.select("doc_id", "leaf", "subroot", "root", merkle.proof_digest(F.col("path")).alias("proof_sha256"), back.alias("folded_root")).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+@query("op13_line_dedup", """
+    WITH s AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+    l AS (SELECT doc_id, unnest(lines) AS line, unnest(range(len(lines))) AS place FROM s),
+    k AS (SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+    g AS (SELECT key, max(doc_id) AS keeper FROM k WHERE length(key) >= 20 GROUP BY key HAVING count(DISTINCT doc_id) >= 3),
+    m AS (SELECT doc_id, place, line, keeper IS NOT NULL AND doc_id <> keeper AS gone FROM k LEFT JOIN g USING (key))
+    SELECT doc_id, count(*)::BIGINT AS n_lines, count(*) FILTER (gone)::BIGINT AS n_dropped,
+           sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (NOT gone), '')) AS kept_sha256
+    FROM m GROUP BY doc_id""")
+def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    kept = line_dedup.apply_bitmaps(docs, line_dedup.keep_bitmaps(docs))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
