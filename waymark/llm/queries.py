@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waymark.llm import chat, line_dedup, line_rules, merkle, mixing, near_dedup, ordinal, packing, secret_scan, substring, topk, toxicity
+from waymark.llm import chat, line_dedup, line_rules, merkle, mixing, near_dedup, ordinal, packing, prefix_trie, secret_scan, substring, topk, toxicity
 from waymark.llm.text import table
 from waymark.plans.registry import Query
 from waymark.session import written
@@ -234,3 +234,29 @@ def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     kept = line_dedup.apply_bitmaps(docs, line_dedup.keep_bitmaps(docs))
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+@query("op12_prefix_trie", f"""
+    WITH t AS (
+        SELECT conv_id AS c, sha256(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS h, strlen(coalesce(text, '')) AS bytes,
+               row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, sha256(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) AS k
+        FROM conversations WHERE conv_id IS NOT NULL),
+    c AS (SELECT c, c - c % 5 AS base, {_crc32_sql('c::VARCHAR')} % 9 AS head FROM (SELECT DISTINCT c FROM t)),
+    first AS (SELECT c.c, t.k AS d, t.h, t.bytes FROM c JOIN t ON t.c = c.base AND t.k <= c.head),
+    length AS (SELECT c.c, count(f.c) AS n FROM c LEFT JOIN first f ON f.c = c.c GROUP BY c.c),
+    r AS (SELECT * FROM first UNION ALL SELECT c.c, n + t.k - head, t.h, t.bytes FROM c JOIN length USING (c) JOIN t ON t.c = c.c AND t.k > head),
+    p AS (SELECT c, d, bytes, string_agg(h, '') OVER (PARTITION BY c ORDER BY d) AS path FROM r UNION ALL SELECT c, 0, 0, '' FROM c),
+    e AS (SELECT *, d = max(d) OVER (PARTITION BY c) AS ends FROM p),
+    n AS (SELECT path, d AS depth, min(c) AS conv_id, count(*) AS n_convs, max(bytes) AS bytes,
+                 sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (ends), '')) AS ends_sha256 FROM e GROUP BY path, d),
+    k AS (SELECT n.*, u.conv_id AS parent_conv_id, count(*) OVER (PARTITION BY u.path) AS siblings, u.path AS above
+          FROM n LEFT JOIN n u ON u.depth = n.depth - 1 AND u.path = substr(n.path, 1, 64 * (n.depth - 1))),
+    f AS (SELECT n.path, max(k.siblings) AS n_children FROM n JOIN k ON k.above = n.path GROUP BY n.path),
+    s AS (SELECT a.path, count(*) FILTER (f.path IS NULL) AS n_leaves, sum((b.n_convs - 1) * b.bytes) AS saved_tokens
+          FROM n a JOIN n b ON substr(b.path, 1, 64 * a.depth) = a.path LEFT JOIN f ON f.path = b.path GROUP BY a.path)
+    SELECT conv_id, depth::BIGINT AS depth, parent_conv_id, n_convs::BIGINT AS n_convs, coalesce(n_children, 0)::BIGINT AS n_children, n_leaves::BIGINT AS n_leaves,
+           saved_tokens::BIGINT AS saved_tokens, ends_sha256
+    FROM k JOIN s USING (path) LEFT JOIN f USING (path)""")
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conv = F.col("conv_id")
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"), conv - conv % 5, F.crc32(conv.cast("string")) % 9)
