@@ -153,4 +153,5 @@ def manifest(docs: DataFrame, carried: dict[str, Column] | None = None, fields:
     first = F.when(F.col("size") > 1, F.array(_segment(F.col("run"), at))).otherwise(nothing)
     levels = F.size(F.filter(F.lit([fan_out ** i for i in range(_height(largest, fan_out) + 1)]), lambda p: p < F.col("size")))
     out = entry.select("size", F.col("entry.order").alias(order), *[F.col(f"entry.{c}").alias(c[4:]) for c in own], F.col("entry.hash").alias("leaf"), F.concat(first, "path").alias("path"))
-    return out.withColumn("subroot", folded(F.col("leaf"), F.slice("path", F.lit(1), levels))).withColumn("root", F.lit(root_hash)).drop("size")
+    subroot = folded(F.col("leaf"), F.slice("path", F.lit(1), levels))
+    return out.select(order, *carried, "leaf", subroot.alias("subroot"), F.lit(root_hash).alias("root"), "path")
