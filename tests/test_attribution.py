@@ -1,11 +1,15 @@
 """Hand-made campaigns: which offer earns a conversion, and what stays undecided."""
 
+import random
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
+from waymark.operators.attribution import attributed_conversions
 from waymark.operators.books import POINT_IN_TIME
 from waymark.operators.dataset import Campaign
-from waymark.operators.frames import heavy_entities
+from waymark.operators.frames import time_cuts
 
 ITEMS = [("a", "bogo", 10, 10, 5, 1, 1, 0, 0), ("b", "discount", 5, 5, 5, 1, 0, 1, 0), ("c", "informational", 0, 0, 3, 0, 1, 0, 1)]
 ITEM_SCHEMA = "offer_id string, offer_type string, discount_value int, min_value int, duration int, web int, email int, mobile int, social int"
@@ -15,7 +19,7 @@ R, V, C, X = "offer received", "offer viewed", "offer completed", "transaction"
 
 def campaign(spark, events, **options):
     raw = spark.createDataFrame([(p, e, o, float(t)) for p, e, o, t in events], EVENT_SCHEMA)
-    people = spark.createDataFrame([(p, 20170101, 40, "F", 100.0) for p in sorted({e[0] for e in events})],
+    people = spark.createDataFrame([(p, 20170101, 40, "F", 100.0) for p in sorted({e[0] for e in events if e[0]})],
                                    "profile_id string, registered_on int, age int, gender string, credit_card_limit double")
     return Campaign(raw, spark.createDataFrame(ITEMS, ITEM_SCHEMA), people, **options)
 
@@ -59,9 +63,92 @@ def test_winner(winners, name):
     assert winners[name] == [(name, *w[1:]) for w in CASES[name][1]]
 
 
-def test_heavy_entities_are_found_by_rows(spark):
-    log = spark.range(100).select(F.when(F.col("id") < 60, "big").otherwise(F.col("id").cast("string")).alias("cliente_id"))
-    assert heavy_entities(log, "cliente_id", 10) == ["big"]
+def test_large_entities_are_cut_at_their_own_times(spark):
+    log = spark.range(1000).select(
+        F.when(F.col("id") < 600, "big").when(F.col("id") >= 700, F.col("id").cast("string")).alias("cliente_id"),  # 100 rows have no entity
+        (F.col("id") / 10).alias("t"))
+    cuts = {r[0]: r[1] for r in time_cuts(log, range_rows=50).collect()}
+    assert set(cuts) == {"big", None} and len(cuts["big"]) == 11 and len(cuts[None]) == 1
+    assert all(4 * 86400 <= b - a <= 6 * 86400 for a, b in zip(cuts["big"], cuts["big"][1:]))
+    assert time_cuts(log, range_rows=1000) is None and time_cuts(log, range_rows=700) is None
+    assert len({r[0]: r[1] for r in time_cuts(log, range_rows=50, least_days=30).collect()}["big"]) == 2
+
+
+def swept(spark, events, hot_rows, **options):
+    """Conversions of a log in the ranges that ``hot_rows`` makes."""
+    c = campaign(spark, events, hot_rows=hot_rows)
+    rows = attributed_conversions(c.log, c.items, frames=c.frames, **options).collect()
+    return sorted((r["cliente_id"], r["t"], r["offer_id"], r["start_t"]) for r in rows)
+
+
+def plain_winners(events, within):
+    """Every conversion against every span of its entity."""
+    days = {i[0]: i[4] for i in ITEMS}
+    rows = set(events)
+    out = []
+    for p, e, _, t in sorted(rows, key=str):
+        if e != C or (p, X, None, t) not in rows or p is None:
+            continue
+        found = {}
+        for q, e2, item, s in rows:
+            if q != p or e2 != R or not s <= t <= s + days[item]:
+                continue
+            views = [v for r, k, i, v in rows if (r, k, i) == (p, V, item) and v <= t and (not within or v >= s)]
+            found[item, s] = (not views, t - max(views) if views else 1e9, -s)
+        best = sorted((v, k) for k, v in found.items())
+        if best and (len(best) == 1 or best[0][0] != best[1][0]):
+            out.append((p, float(t), best[0][1][0], float(best[0][1][1])))
+    return sorted(set(out))
+
+
+@pytest.mark.parametrize("within", [False, True])
+@pytest.mark.parametrize("hot_rows", [10_000, 15, 4])
+def test_sweep_equals_all_pairs(spark, within, hot_rows):
+    rng = random.Random(3)
+    events = []
+    for p in ("1", "2", "3", None):
+        for _ in range(120):
+            t = rng.randrange(0, 160) * 0.25
+            kind = rng.random()
+            events += [(p, R, rng.choice("abc"), t)] if kind < 0.3 else [(p, V, rng.choice("abc"), t)] if kind < 0.6 else bought(p, t)
+    assert swept(spark, events, hot_rows, view_within_window=within) == plain_winners(events, within)
+
+
+@pytest.mark.parametrize("hot_rows", [10**6, 20_000])
+def test_one_entity_of_many_conversions_and_spans(spark, hot_rows):
+    """50,000 conversions and 50,000 spans of one entity: all pairs would be 2.5 thousand million."""
+    n = 50_000
+    i = F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    base = spark.range(1).select(i.alias("i"))
+    at = F.col("i") * 0.0625
+    items = F.element_at(F.array(F.lit("a"), F.lit("b"), F.lit("c")), (F.col("i") % 3 + 1).cast("int"))
+    part = lambda name, item, t: base.select(F.lit("1").alias("profile_id"), F.lit(name).alias("event"), item.alias("offer_id"), t.alias("time_since_test_start"))
+    none = F.lit(None).cast("string")
+    raw = part(R, items, at).unionByName(part(C, none, at + 0.03125)).unionByName(part(X, none, at + 0.03125))
+    people = spark.createDataFrame([("1", 20170101, 40, "F", 100.0)], "profile_id string, registered_on int, age int, gender string, credit_card_limit double")
+    c = Campaign(raw, spark.createDataFrame(ITEMS, ITEM_SCHEMA), people, hot_rows=hot_rows)
+    won = c.conversions()
+    # Nothing is viewed, so the item received last, half a tick before, wins each time.
+    row = won.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("t") - F.col("start_t") == 0.03125).alias("last")).first()
+    assert (row["n"], row["last"]) == (n, n)
+    plan = won._jdf.queryExecution().executedPlan().toString()
+    # No join on the entity alone.
+    assert not re.search(r"(SortMergeJoin|HashJoin) \[cliente_id#\d+\],", plan) and "CartesianProduct" not in plan
+
+
+def test_a_third_of_all_rows_without_entity(spark):
+    """Rows of no entity are one history, cut like any other, and equal to that history under a name."""
+    events = mixed_campaign()
+    unnamed = [(None if p == "1" else p, e, o, t) for p, e, o, t in events]
+    columns = ["n_received", "n_viewed", "n_completed", "n_purchases", "last_purchase", "first_purchase", "n_web", "qtd_transacoes_7d", "qtd_ofertas_recebidas_14d"]
+
+    def histories(rows, hot_rows, mode):
+        found = campaign(spark, rows, mode=mode, hot_rows=hot_rows).plain_history().select("cliente_id", "offer_id", "t", *columns).collect()
+        return sorted([tuple(r)[1:] for r in found if r["cliente_id"] in (None, "1")], key=str)
+
+    for mode in ("reference", POINT_IN_TIME):
+        named = histories(events, 10**6, mode)
+        assert named and histories(unnamed, 10**6, mode) == histories(unnamed, 7, mode) == named
 
 
 def test_first_event_has_no_history(spark):

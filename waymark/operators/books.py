@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from waymark.functions.columns import duration_bucket, flag, null_if, pair_key, rate, value_bucket, year_of
 from waymark.operators.events import purchases, received, with_items
-from waymark.operators.frames import Frames, latest, most_recent, rows, total
+from waymark.operators.frames import CELL, Frames, latest, most_recent, rows, total
 from waymark.spec import (
     ANCHOR_TIME, BOOK_KEYS, CHANNELS, DEFAULT, ENTITY, EVENT, ITEM, ITEM_COLUMNS, KEY, TIME, EventSpec,
 )
@@ -93,7 +93,11 @@ def anchor_history(
         "last_conversion": latest(F.when(converted == 1, F.col(TIME)) if exact else _when("is_conv_valid")),
         **{f"n_{c}": total(F.col(c) * sent) for c in CHANNELS},
     }
-    line = _mark_new_days(line, frames) if exact else line.withColumn("__new_day", F.lit(0))
+    if exact:
+        line = _mark_new_days(line, frames)
+        line = frames.gather(line, ENTITY)
+    else:
+        line = line.withColumn("__new_day", F.lit(0))
     line = frames.earlier(line, [ENTITY], HISTORY_ORDER, measures)
     strict = list(measures) if exact else ["n_converted"]
     line = frames.tick_start(line, [ENTITY], HISTORY_ORDER, {n: n for n in strict})
@@ -107,9 +111,9 @@ def anchor_history(
 
 def _mark_new_days(line: DataFrame, frames: Frames) -> DataFrame:
     """Flag the first purchase of each whole day, so that days can be counted by a running sum."""
-    day = F.floor(TIME)
-    first = Window.partitionBy(ENTITY, day).orderBy(F.desc("is_transaction"), *HISTORY_ORDER)
-    return line.withColumn("__new_day", F.when(F.row_number().over(first) == 1, F.col("is_transaction")).otherwise(0))
+    before = frames.earlier(line, [ENTITY], HISTORY_ORDER, {"__bought": latest(_when("is_transaction"))})
+    new = F.col("__bought").isNull() | (F.floor("__bought") < F.floor(TIME))
+    return before.withColumn("__new_day", F.when(new, F.col("is_transaction")).otherwise(0)).drop("__bought")
 
 
 def latest_pairs(df: DataFrame) -> DataFrame:
@@ -217,7 +221,7 @@ def _pair_firsts(log: DataFrame, conversions: DataFrame, spec: EventSpec, frames
     """First view and conversion of the pair, for each of its repeats.
 
     Ordinary histories gather by entity once and read the firsts over a window.
-    Sliced histories aggregate first, so that a hot pair is one row per task.
+    Cut ones aggregate first and meet their repeats range by range.
     """
     time, nothing = F.col(TIME), F.lit(None).cast("double")
     starts = received(log, spec).select(ENTITY, ITEM, time.alias("start_t"), nothing.alias("v"), nothing.alias("c"))
@@ -225,16 +229,20 @@ def _pair_firsts(log: DataFrame, conversions: DataFrame, spec: EventSpec, frames
         log.filter(F.col(EVENT) == spec.viewed).select(ENTITY, ITEM, nothing.alias("start_t"), time.alias("v"), nothing.alias("c"))
         .unionByName(conversions.select(ENTITY, ITEM, nothing.alias("start_t"), nothing.alias("v"), time.alias("c")))
     )
-    if frames.sliced:
-        firsts = marks.groupBy(ENTITY, ITEM).agg(F.min("v").alias("first_t_view"), F.min("c").alias("first_t_conv_valid"))
-        return starts.select(ENTITY, ITEM, "start_t").join(firsts, [ENTITY, ITEM], "left")
     pair = Window.partitionBy(ENTITY, ITEM)
-    return (
-        frames.gather(starts.unionByName(marks), ENTITY)
-        .withColumns({"first_t_view": F.min("v").over(pair), "first_t_conv_valid": F.min("c").over(pair)})
-        .filter(F.col("start_t").isNotNull())
-        .drop("v", "c")
-    )
+
+    def over_pairs(part_of) -> DataFrame:
+        line = part_of(starts.unionByName(marks)).repartition(ENTITY)
+        firsts = line.withColumns({"first_t_view": F.min("v").over(pair), "first_t_conv_valid": F.min("c").over(pair)})
+        return firsts.filter(F.col("start_t").isNotNull()).drop("v", "c")
+
+    if not frames.cut:
+        return over_pairs(lambda df: df)
+    firsts = frames.only_cut(marks).groupBy(ENTITY, ITEM).agg(F.min("v").alias("first_t_view"), F.min("c").alias("first_t_conv_valid"))
+    firsts = frames.every_cell(firsts).select(F.col(ENTITY).alias("__e"), F.col(ITEM).alias("__i"), F.col(CELL).alias("__n"), "first_t_view", "first_t_conv_valid")
+    same = F.col(ENTITY).eqNullSafe(F.col("__e")) & F.col(ITEM).eqNullSafe(F.col("__i")) & (F.col(CELL) == F.col("__n"))
+    long = frames.placed(frames.only_cut(starts), "start_t").join(firsts, same, "left")
+    return over_pairs(frames.never_cut).unionByName(long.select(ENTITY, ITEM, "start_t", "first_t_view", "first_t_conv_valid"))
 
 
 def _own_span_firsts(log: DataFrame, items: DataFrame, conversions: DataFrame, spec: EventSpec, frames: Frames) -> DataFrame:

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Callable
 from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, Window
@@ -15,16 +14,18 @@ from waymark.operators.books import (
     book_purchases, book_recency, instances, wide_books,
 )
 from waymark.operators.events import audience, catalogue
-from waymark.operators.frames import HOT_ROWS, Frames, heavy_entities, split_histories
+from waymark.operators.frames import RANGE_ROWS, Frames, time_cuts
 from waymark.session import written
-from waymark.spec import BOOK_KEYS, DEFAULT, ENTITY, ITEM, KEY, TARGET, EventSpec
+from waymark.spec import BOOK_KEYS, DEFAULT, ENTITY, ITEM, KEY, TARGET, TIME, EventSpec
 
 
 class Campaign:
     """A campaign's log, catalogue and entities, and the tables derived from them.
 
-    Everything stays lazy. ``stage=True`` writes the attributed conversions,
-    which most books read, once to the shared folder.
+    Everything stays lazy. ``stage=True`` writes the log and the attributed
+    conversions, which most books read, once to the shared folder. Histories of
+    more than ``hot_rows`` rows are cut into ranges of time, at least
+    ``slice_days`` apart.
     """
 
     def __init__(
@@ -34,8 +35,8 @@ class Campaign:
         entities: DataFrame,
         spec: EventSpec = DEFAULT,
         mode: str = REFERENCE,
-        hot_rows: int = HOT_ROWS,
-        slice_days: float = 1.0,
+        hot_rows: int = RANGE_ROWS,
+        slice_days: float = 0.0,
         stage: bool = False,
     ):
         if mode not in (REFERENCE, POINT_IN_TIME):
@@ -44,61 +45,44 @@ class Campaign:
         self.hot_rows, self.slice_days, self.stage = hot_rows, slice_days, stage
         self.items = catalogue(items)
 
-    @cached_property
-    def hot(self) -> list:
-        key = self.raw.select(F.col(self.spec.entity).cast("string").alias(ENTITY))
-        return heavy_entities(key, ENTITY, self.hot_rows)
-
     @cached_property
     def log(self) -> DataFrame:
-        return self.spec.log(self.raw)
+        log = self.spec.log(self.raw)
+        return written(log, "log") if self.stage else log
 
     @cached_property
-    def parts(self) -> list[tuple[DataFrame, Frames]]:
-        return split_histories(self.log, self.hot, ENTITY, self.slice_days)
+    def frames(self) -> Frames:
+        times = self.raw.select(F.col(self.spec.entity).cast("string").alias(ENTITY), F.col(self.spec.time).cast("double").alias(TIME))
+        return Frames(time_cuts(times, ENTITY, TIME, self.hot_rows, self.slice_days))
 
     @cached_property
-    def _earned(self) -> list[DataFrame]:
-        tables = [attributed_conversions(log, self.items, self.spec, frames) for log, frames in self.parts]
-        return [written(t, "conversions") for t in tables] if self.stage else tables
+    def _conversions(self) -> DataFrame:
+        earned = attributed_conversions(self.log, self.items, self.spec, self.frames)
+        return written(earned, "conversions") if self.stage else earned
 
     @cached_property
-    def _spans(self) -> list[DataFrame]:
-        return [
-            instances(log, self.items, earned, self.spec, frames, self.mode)
-            for (log, frames), earned in zip(self.parts, self._earned)
-        ]
+    def _instances(self) -> DataFrame:
+        return instances(self.log, self.items, self._conversions, self.spec, self.frames, self.mode)
 
     @cached_property
-    def _histories(self) -> list[DataFrame]:
-        return [
-            anchor_history(log, self.items, earned, self.spec, frames, self.mode)
-            for (log, frames), earned in zip(self.parts, self._earned)
-        ]
-
-    @cached_property
-    def _plain_histories(self) -> list[DataFrame]:
-        return [anchor_history(log, self.items, None, self.spec, frames, self.mode) for log, frames in self.parts]
-
-    def _each(self, build: Callable[[int, DataFrame, Frames], DataFrame]) -> DataFrame:
-        made = [build(i, log, frames) for i, (log, frames) in enumerate(self.parts)]
-        return reduce(DataFrame.unionByName, made)
+    def _history(self) -> DataFrame:
+        return anchor_history(self.log, self.items, self._conversions, self.spec, self.frames, self.mode)
 
     def conversions(self) -> DataFrame:
-        return reduce(DataFrame.unionByName, self._earned)
+        return self._conversions
 
     def labelled_audience(self) -> DataFrame:
         return audience_with_target(audience(self.raw, self.spec), label_pairs(self.conversions()))
 
     def instances(self) -> DataFrame:
-        return reduce(DataFrame.unionByName, self._spans)
+        return self._instances
 
     def history(self) -> DataFrame:
-        return reduce(DataFrame.unionByName, self._histories)
+        return self._history
 
     def plain_history(self) -> DataFrame:
         """The history without what conversions tell, for books that do not ask."""
-        return reduce(DataFrame.unionByName, self._plain_histories)
+        return anchor_history(self.log, self.items, None, self.spec, self.frames, self.mode)
 
     def profile(self) -> DataFrame:
         return book_profile(self.plain_history(), self.entities, self.mode)
@@ -107,7 +91,7 @@ class Campaign:
         return book_purchases(self.plain_history(), self.log, self.spec, self.mode)
 
     def interaction(self) -> DataFrame:
-        return self._each(lambda i, _, frames: book_interaction(self._histories[i], self._spans[i], frames, self.mode))
+        return book_interaction(self._history, self._instances, self.frames, self.mode)
 
     def offer(self) -> DataFrame:
         return book_offer(self.log, self.items, self.spec)
@@ -119,7 +103,7 @@ class Campaign:
         return book_communication(self.plain_history(), self.mode)
 
     def pair(self) -> DataFrame:
-        return self._each(lambda i, _, frames: book_pair(self._spans[i], self._earned[i], frames, self.mode))
+        return book_pair(self._instances, self._conversions, self.frames, self.mode)
 
     def book_full(self) -> DataFrame:
         """All seven books on one row per pair.
@@ -128,11 +112,9 @@ class Campaign:
         received items. Joining seven separate books would repeat them. A
         feature name that two books use gets the second book's name in front.
         """
-        def build(i: int, log: DataFrame, frames: Frames) -> DataFrame:
-            return wide_books(
-                self._histories[i], self._spans[i], self._earned[i], log, self.items, self.entities, self.spec, frames, self.mode
-            )
-        return self._each(build)
+        return wide_books(
+            self._history, self._instances, self._conversions, self.log, self.items, self.entities, self.spec, self.frames, self.mode
+        )
 
     def modelling_base(self) -> DataFrame:
         """The labelled audience with every feature."""

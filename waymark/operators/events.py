@@ -6,8 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from waymark.functions.columns import pair_key, year_of
-from waymark.operators.frames import entity_table
-from waymark.session import pinned
+from waymark.session import SALTS, looked_up, pinned
 from waymark.spec import DEFAULT, ENTITY, ENTITY_COLUMNS, EVENT, ITEM, ITEM_COLUMNS, KEY, TIME, EventSpec
 
 
@@ -17,31 +16,26 @@ def catalogue(items: DataFrame) -> DataFrame:
 
 
 def with_items(df: DataFrame, items: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """Left join the item catalogue; ``catalogue`` prepares it for a broadcast."""
-    columns = ITEM_COLUMNS if columns is None else columns
-    return df.join(items.select(ITEM, *columns), ITEM, "left")
+    """Left join the item catalogue; ``catalogue`` prepares it for a broadcast.
 
+    Most events name no item. Should the catalogue be too large to broadcast,
+    a salt keeps their rows from meeting in one task.
+    """
+    columns = ITEM_COLUMNS if columns is None else columns
+    spread = F.when(F.col(ITEM).isNull(), F.pmod(F.xxhash64(*df.columns), F.lit(SALTS)).cast("int")).otherwise(0)
+    side = items.select(ITEM, *columns, F.lit(0).alias("__salt"))
+    return df.withColumn("__salt", spread).join(side, [ITEM, "__salt"], "left").drop("__salt")
 
-def with_entities(df: DataFrame, entities: DataFrame, hot: list | None = None, columns: list[str] | None = None) -> DataFrame:
-    """Left join the entity table on its key.
 
-    Rows of hot entities (a bounded list) meet their few entity rows by
-    broadcast; all others shuffle on the key.
-    """
+def with_entities(df: DataFrame, entities: DataFrame, columns: list[str] | None = None) -> DataFrame:
+    """Left join the entity table on its key; an entity may hold any share of the rows."""
     columns = ENTITY_COLUMNS if columns is None else columns
-    side = entities.select(F.col("profile_id").alias(ENTITY), *columns)
-    if not hot:
-        return df.join(side, ENTITY, "left")
-    keys = entity_table(df, hot)
-    few = F.broadcast(side.join(keys, ENTITY, "left_semi"))
-    return df.join(keys, ENTITY, "left_anti").join(side, ENTITY, "left").unionByName(
-        df.join(keys, ENTITY, "left_semi").join(few, ENTITY, "left")
-    )
+    return looked_up(df, entities.select(F.col("profile_id").alias(ENTITY), *columns), ENTITY)
 
 
-def enrich(log: DataFrame, items: DataFrame, entities: DataFrame, hot: list | None = None) -> DataFrame:
+def enrich(log: DataFrame, items: DataFrame, entities: DataFrame) -> DataFrame:
     """Every event with its item's and entity's columns and the pair key."""
-    wide = with_entities(with_items(log, items), entities, hot)
+    wide = with_entities(looked_up(log, items.select(ITEM, *ITEM_COLUMNS), ITEM), entities)
     return wide.withColumn(KEY, pair_key())
 
 

@@ -66,7 +66,7 @@ SELECT e.cliente_id, e.offer_id, e.event, e.t, o.* EXCLUDE (offer_id), p.registe
 FROM ev e LEFT JOIN fx_offers o ON e.offer_id = o.offer_id LEFT JOIN fx_profile p ON e.cliente_id = p.profile_id""")
 def c1(spark, sf):
     c = campaign(spark, sf)
-    return E.enrich(c.log, c.items, c.entities, c.hot)
+    return E.enrich(c.log, c.items, c.entities)
 
 
 @query("c1_enrich_hot_entities", fx.with_(*BASE) + """
@@ -74,7 +74,7 @@ SELECT e.cliente_id, e.offer_id, e.event, e.t, o.offer_type, p.age, concat_ws('_
 FROM ev e LEFT JOIN fx_offers o ON e.offer_id = o.offer_id LEFT JOIN fx_profile p ON e.cliente_id = p.profile_id""")
 def c1_hot(spark, sf):
     c = campaign(spark, sf, hot_rows=60)
-    return E.enrich(c.log, c.items, c.entities, c.hot).select(ENTITY, ITEM, "event", TIME, "offer_type", "age", "ID")
+    return E.enrich(c.log, c.items, c.entities).select(ENTITY, ITEM, "event", TIME, "offer_type", "age", "ID")
 
 
 @query("c2_audience", fx.with_(*LABELLED) + "SELECT ID, cliente_id, offer_id FROM publico")
@@ -109,19 +109,18 @@ def c5(spark, sf):
     return E.conversion_pairs(campaign(spark, sf).log)
 
 
-def _candidates(c: Campaign, log: DataFrame, frames) -> DataFrame:
-    windows = E.received_windows(log, c.items).select(ENTITY, ITEM, "start_t", "end_t")
-    return A.eligible_offers(E.conversion_pairs(log), windows, frames)
+def _candidates(c: Campaign) -> DataFrame:
+    windows = E.received_windows(c.log, c.items).select(ENTITY, ITEM, "start_t", "end_t")
+    return A.eligible_offers(E.conversion_pairs(c.log), windows, c.frames)
 
 
 @query("c6_eligible_offers", fx.with_(*BASE, RECV_SQL, PAIRS_SQL, ELIG_SQL) + "SELECT * FROM elig")
 def c6(spark, sf):
-    c = campaign(spark, sf)
-    return c._each(lambda i, log, frames: _candidates(c, log, frames))
+    return _candidates(campaign(spark, sf))
 
 
 def _seen(c: Campaign) -> DataFrame:
-    return c._each(lambda i, log, frames: A.attach_views(_candidates(c, log, frames), E.views(log), frames))
+    return A.attach_views(_candidates(c), E.views(c.log), c.frames)
 
 
 @query("c7_attach_views", fx.with_(*BASE, RECV_SQL, PAIRS_SQL, ELIG_SQL) + """
@@ -166,9 +165,7 @@ def c10_hot(spark, sf):
     RANKED_SQL.replace("v.t <= e.t", "v.t BETWEEN e.start_t AND e.t")) + "SELECT cliente_id, t, offer_id, start_t FROM conv")
 def c10_options(spark, sf):
     c = campaign(spark, sf)
-    return c._each(lambda i, log, frames: A.attributed_conversions(
-        log, c.items, frames=frames, exclude_types=["informational"], view_within_window=True
-    ))
+    return A.attributed_conversions(c.log, c.items, frames=c.frames, exclude_types=["informational"], view_within_window=True)
 
 
 @query("c11_label_pairs", fx.with_(*LABELLED) + """
@@ -370,7 +367,7 @@ def _register_book(name: str, method: str, ctes: tuple, source: str, doubles: li
         return rounded(getattr(campaign(spark, sf, stage=method in STAGED), method)())
 
     if method != "offer":
-        # The same rows with histories above 60 rows cut into day slices.
+        # The same rows with histories above 60 rows cut into ranges.
         @query(f"{name}_hot_entities", sql)
         def sliced(spark, sf):
             return rounded(getattr(campaign(spark, sf, hot_rows=60, stage=method in STAGED), method)())
@@ -391,7 +388,7 @@ SELECT cliente_id, offer_id, event, t, k AS is_conv_valid, r AS is_offer_receive
   c AS is_offer_completed, x AS is_transaction FROM wide""")
 def b9(spark, sf):
     c = campaign(spark, sf)
-    return c._each(lambda i, log, frames: B.timeline(log, c._earned[i], frames=frames))
+    return B.timeline(c.log, c.conversions(), frames=c.frames)
 
 
 ALL_BOOKS = (*BOOKS, PROFILE_BOOK_SQL, PURCHASE_BOOK_SQL, FIRSTS_SQL, INTERACTION_BOOK_SQL, OFFER_BOOK_SQL, RECENCY_BOOK_SQL,

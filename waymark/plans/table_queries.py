@@ -89,7 +89,7 @@ def s6_table(spark, sf):
 @query("s7_save_load_prep", SQL + "SELECT 'tax' AS variavel, round(median(tax), 6) AS mediana FROM m")
 def s7(spark, sf):
     path = scratch_path(spark, "prep")
-    S.save_json(spark, M.fit_missing(fx.mixed(spark, sf), [("tax", "mediana")]), path)
+    S.save_json(spark, M.fit_missing(fx.mixed(spark, sf), [M.Rule("tax", "numérica_contínua", "mediana")]), path)
     return rounded(spark.createDataFrame(list(S.load_json(spark, path)["medianas"].items()), "variavel string, mediana double"))
 
 
@@ -201,7 +201,7 @@ LEFT JOIN fx_offers o ON e.offer_id = o.offer_id LEFT JOIN fx_profile p ON e.cli
 def j1(spark, sf):
     c = campaign(spark, sf)
     wide = E.with_items(c.log, c.items, ["offer_type", "duration"])
-    return E.with_entities(wide, c.entities, c.hot, ["age"]).select(ENTITY, ITEM, EVENT, TIME, "offer_type", "duration", "age")
+    return E.with_entities(wide, c.entities, ["age"]).select(ENTITY, ITEM, EVENT, TIME, "offer_type", "duration", "age")
 
 
 @query("j2_join_chain", "SELECT o_orderkey, s.n, s.q, m.p FROM orders LEFT JOIN (SELECT l_orderkey, count(*) AS n, sum(l_quantity) AS q FROM lineitem GROUP BY 1) s ON o_orderkey = s.l_orderkey "
@@ -236,9 +236,8 @@ def j5(spark, sf):
 @query("j6_interval_join", fx.with_(*ATTRIBUTION) + "SELECT cliente_id, t, offer_id, start_t FROM elig")
 def j6(spark, sf):
     c = campaign(spark, sf)
-    return c._each(lambda i, part, frames: A.eligible_offers(
-        E.conversion_pairs(part), E.received_windows(part, c.items).select(ENTITY, ITEM, "start_t", "end_t"), frames
-    )).select(ENTITY, TIME, ITEM, "start_t")
+    windows = E.received_windows(c.log, c.items).select(ENTITY, ITEM, "start_t", "end_t")
+    return A.eligible_offers(E.conversion_pairs(c.log), windows, c.frames).select(ENTITY, TIME, ITEM, "start_t")
 
 
 @query("j7_as_of_join", LOG + """SELECT r.cliente_id, r.offer_id, r.t AS start_t, max(v.t) AS t_view FROM ev r LEFT JOIN ev v ON v.event = 'offer viewed'
@@ -254,7 +253,7 @@ def j7(spark, sf):
 SELECT f.cliente_id, f.offer_id, f.start_t, round(max(m.v), 6) AS tempo FROM firsts f LEFT JOIN mv m ON m.cliente_id = f.cliente_id AND m.start_t < f.start_t GROUP BY ALL""")
 def j8(spark, sf):
     c = campaign(spark, sf)
-    times = c._each(lambda i, _, frames: K.response_times(c._spans[i], frames))
+    times = K.response_times(c.instances(), c.frames)
     return rounded(times.select(ENTITY, ITEM, "start_t", F.col("tempo_medio_visualizacao").alias("tempo")))
 
 
@@ -266,12 +265,9 @@ def j9(spark, sf):
 @query("j10_tie_counts", fx.with_(*ATTRIBUTION) + "SELECT cliente_id, t, offer_id, n_same_score FROM placed WHERE rank_elig = 1")
 def j10(spark, sf):
     c = campaign(spark, sf)
-
-    def build(i, part, frames):
-        windows = E.received_windows(part, c.items).select(ENTITY, ITEM, "start_t", "end_t")
-        seen = A.attach_views(A.eligible_offers(E.conversion_pairs(part), windows, frames), E.views(part), frames)
-        return A.detect_ambiguity(A.rank_candidates(seen)).filter("rank_elig = 1")
-    return c._each(build).select(ENTITY, TIME, ITEM, "n_same_score")
+    windows = E.received_windows(c.log, c.items).select(ENTITY, ITEM, "start_t", "end_t")
+    seen = A.attach_views(A.eligible_offers(E.conversion_pairs(c.log), windows, c.frames), E.views(c.log), c.frames)
+    return A.detect_ambiguity(A.rank_candidates(seen)).filter("rank_elig = 1").select(ENTITY, TIME, ITEM, "n_same_score")
 
 
 @query("j11_first_view_join", fx.with_(*BOOKS, FIRSTS_SQL) + "SELECT cliente_id, offer_id, start_t, first_t_view, first_t_conv_valid FROM firsts")
@@ -282,7 +278,7 @@ def j11(spark, sf):
 @query("j12_flag_join", fx.with_(*BOOKS) + "SELECT cliente_id, t, event, offer_id, k AS is_conv_valid FROM wide")
 def j12(spark, sf):
     c = campaign(spark, sf)
-    return c._each(lambda i, part, frames: K.timeline(part, c._earned[i], frames=frames)).select(ENTITY, TIME, EVENT, ITEM, "is_conv_valid")
+    return K.timeline(c.log, c.conversions(), frames=c.frames).select(ENTITY, TIME, EVENT, ITEM, "is_conv_valid")
 
 
 @query("j13_previous_conversion_join", fx.with_(*BOOKS) + """SELECT r.cliente_id, r.offer_id, r.start_t, (SELECT t FROM conv q WHERE q.cliente_id = r.cliente_id
@@ -337,12 +333,9 @@ def a6(spark, sf):
 WHERE a.event = 'offer received' GROUP BY ALL""")
 def a7(spark, sf):
     c = campaign(spark, sf)
-
-    def build(i, part, frames):
-        bought = F.when(F.col(EVENT) == "transaction", F.col(TIME))
-        line = frames.earlier(frames.gather(part, ENTITY), [ENTITY], K.HISTORY_ORDER, {"last_tx": latest(bought)})
-        return E.received(frames.tick_start(line, [ENTITY], K.HISTORY_ORDER, {"last_tx": "last_tx"}))
-    return c._each(build).select(ENTITY, ITEM, TIME, "last_tx")
+    bought = F.when(F.col(EVENT) == "transaction", F.col(TIME))
+    line = c.frames.earlier(c.frames.gather(c.log, ENTITY), [ENTITY], K.HISTORY_ORDER, {"last_tx": latest(bought)})
+    return E.received(c.frames.tick_start(line, [ENTITY], K.HISTORY_ORDER, {"last_tx": "last_tx"})).select(ENTITY, ITEM, TIME, "last_tx")
 
 
 @query("a8_count_right_side", "SELECT c_custkey, count(o_orderkey) AS n FROM customer LEFT JOIN orders ON c_custkey = o_custkey GROUP BY 1")
@@ -447,12 +440,9 @@ def w1(spark, sf):
 @query("w2_candidate_rank", fx.with_(*ATTRIBUTION) + "SELECT cliente_id, t, offer_id, start_t FROM placed WHERE rank_elig = 1")
 def w2(spark, sf):
     c = campaign(spark, sf)
-
-    def build(i, part, frames):
-        windows = E.received_windows(part, c.items).select(ENTITY, ITEM, "start_t", "end_t")
-        seen = A.attach_views(A.eligible_offers(E.conversion_pairs(part), windows, frames), E.views(part), frames)
-        return A.rank_candidates(seen).filter("rank_elig = 1")
-    return c._each(build).select(ENTITY, TIME, ITEM, "start_t")
+    windows = E.received_windows(c.log, c.items).select(ENTITY, ITEM, "start_t", "end_t")
+    seen = A.attach_views(A.eligible_offers(E.conversion_pairs(c.log), windows, c.frames), E.views(c.log), c.frames)
+    return A.rank_candidates(seen).filter("rank_elig = 1").select(ENTITY, TIME, ITEM, "start_t")
 
 
 def _history(column: str, alias: str):
@@ -473,31 +463,29 @@ query("w6_moving_sums", LOG + """SELECT cliente_id, offer_id, t, n FROM (SELECT
 def w5(spark, sf):
     c = campaign(spark, sf)
     # In time order the previous time is the largest earlier one.
-    return c._each(lambda i, part, frames: frames.earlier(
-        E.purchases(part).withColumnRenamed("t_tx", TIME), [ENTITY], [TIME], {"lag_t": latest(F.col(TIME))}))
+    return c.frames.earlier(E.purchases(c.log).withColumnRenamed("t_tx", TIME), [ENTITY], [TIME], {"lag_t": latest(F.col(TIME))})
 
 
 @query("w7_composite_key_counts", fx.with_(*BOOKS, FIRSTS_SQL) + f"""SELECT cliente_id, offer_id, start_t, count(*) OVER (PARTITION BY cliente_id, offer_type ORDER BY start_t, offer_id {ROWS}) AS rcv_tipo,
   CAST(sum(CAST(first_t_view IS NOT NULL AS INTEGER)) OVER (PARTITION BY cliente_id, offer_type ORDER BY start_t, offer_id {ROWS}) AS BIGINT) AS view_tipo FROM firsts""")
 def w7(spark, sf):
     c = campaign(spark, sf)
-    return c._each(lambda i, _, frames: K.composite_counts(c._spans[i], frames)).select(ENTITY, ITEM, "start_t", "rcv_tipo", "view_tipo")
+    return K.composite_counts(c.instances(), c.frames).select(ENTITY, ITEM, "start_t", "rcv_tipo", "view_tipo")
 
 
 @query("w8_running_mean", fx.with_(*BOOKS, FIRSTS_SQL) + f"""SELECT cliente_id, offer_id, start_t, round(avg(first_t_view - start_t) OVER (PARTITION BY cliente_id ORDER BY start_t, offer_id {ROWS}), 6) AS media FROM firsts""")
 def w8(spark, sf):
     c = campaign(spark, sf)
     gap = F.col("first_t_view") - F.col("start_t")
-    means = c._each(lambda i, _, frames: frames.earlier(
-        c._spans[i], [ENTITY], K.INSTANCE_ORDER, {"s": total(gap), "n": total(gap.isNotNull().cast("int"))}, time="start_t"))
+    means = c.frames.earlier(
+        c.instances(), [ENTITY], K.INSTANCE_ORDER, {"s": total(gap), "n": total(gap.isNotNull().cast("int"))}, time="start_t")
     return rounded(means.select(ENTITY, ITEM, "start_t", C.rate(F.col("s"), F.col("n"), None).alias("media")))
 
 
 @query("w9_last_start_same_item", LOG + "SELECT cliente_id, offer_id, t, lag(t) OVER (PARTITION BY cliente_id, offer_id ORDER BY t) AS last_start FROM ev WHERE event = 'offer received'")
 def w9(spark, sf):
     c = campaign(spark, sf)
-    return c._each(lambda i, part, frames: frames.earlier(
-        E.received(part).select(ENTITY, ITEM, TIME), [ENTITY, ITEM], [TIME], {"last_start": latest(F.col(TIME))}))
+    return c.frames.earlier(E.received(c.log).select(ENTITY, ITEM, TIME), [ENTITY, ITEM], [TIME], {"last_start": latest(F.col(TIME))})
 
 
 @query("w10_second_latest_conversion", fx.with_(*ATTRIBUTION) + """SELECT cliente_id, offer_id, max(CASE WHEN rn = 2 THEN t END) AS last_t_conv_same_offer
@@ -708,7 +696,7 @@ def f22(spark, sf):
 @query("f23_fill_null", fx.with_(fx.PROFILE_SQL) + "SELECT profile_id, coalesce(credit_card_limit, (SELECT median(credit_card_limit) FROM fx_profile)) AS v, coalesce(gender, 'MISSING') AS g FROM fx_profile")
 def f23(spark, sf):
     df = fx.profile(spark, sf)
-    prep = M.fit_missing(df, [("credit_card_limit", "mediana"), ("gender", M.MISSING)])
+    prep = M.fit_missing(df, [M.Rule("credit_card_limit", "numérica_contínua", "mediana"), M.Rule("gender", "categórica", M.MISSING)])
     return M.apply_missing(df, prep).select("profile_id", F.col("credit_card_limit").alias("v"), F.col("gender").alias("g"))
 
 

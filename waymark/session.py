@@ -60,6 +60,33 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Copies of a heavy key's row, and the share of rows from which a key is heavy.
+SALTS, HEAVY_SHARE, ONE_TASK_ROWS = 64, 1_000, 100_000
+
+
+def looked_up(rows: DataFrame, table: DataFrame, key: str) -> DataFrame:
+    """Left join a table of one row a key, whatever share of ``rows`` a key or null holds.
+
+    A table of at most 10,000 rows is broadcast. Beyond, null keys are dealt
+    evenly, as nothing can match them, and the rows of keys with over a
+    thousandth of all rows (fewer than a thousand keys) meet one of 64 copies of
+    their row.
+    """
+    small, few = pinned(table)
+    if few:
+        return rows.join(small, key, "left")
+    salt = F.pmod(F.xxhash64(*rows.columns), F.lit(SALTS)).cast("int")
+    total = rows.count()
+    if total > ONE_TASK_ROWS:
+        heavy, _ = pinned(rows.filter(F.col(key).isNotNull()).groupBy(key).count().filter(F.col("count") > total // HEAVY_SHARE).select(key, F.lit(True).alias("__heavy")))
+        left, right = rows.join(heavy, key, "left"), table.join(heavy, key, "left")
+    else:
+        left, right = (df.withColumn("__heavy", F.lit(None).cast("boolean")) for df in (rows, table))
+    left = left.withColumn("__salt", F.when(F.col(key).isNull() | F.col("__heavy"), salt).otherwise(0)).drop("__heavy")
+    copies = F.when(F.col("__heavy"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    return left.join(right.withColumn("__salt", F.explode(copies)).drop("__heavy"), [key, "__salt"], "left").drop("__salt")
+
+
 def pinned(df: DataFrame, max_rows: int = 10_000) -> tuple[DataFrame, bool]:
     """Fix a table that ought to be small; the flag says whether it was.
 
