@@ -235,3 +235,38 @@ def test_vif_refuses_more_columns_than_it_can_invert(spark):
     df = spark.createDataFrame([(1.0, 2.0, 3.0)], "a double, b double, c double")
     with pytest.raises(ValueError):
         vif(df, ["a", "b", "c"], max_vars=2)
+
+
+def test_each_column_is_spread_over_its_own_slices(spark):
+    """A column of years beside prices up to a million, and one of narrow times: no column falls into a few slices."""
+    from waymark.operators import ordered as O
+    df = spark.range(30_000).select((1990 + F.col("id") % 400 / 12).alias("year"), (F.pmod(F.xxhash64("id"), F.lit(10**8)) / 100).alias("price"), (1.7e9 + F.col("id") / 64).alias("time"))
+    counts = column_values(df, df.columns).groupBy("variavel", "value").agg(F.count(F.lit(1)).alias("n"))
+    shares = [i / O.COARSE for i in range(O.COARSE + 1)]
+    limits = counts.groupBy("variavel").agg(F.array_sort(F.array_distinct(F.percentile_approx("value", shares, O.SLICE_ACCURACY))).alias("limits"))
+    sliced = counts.join(limits, "variavel").withColumn("s", O.slice_in(F.col("value"), F.col("limits")))
+    for r in sliced.groupBy("variavel", "s").agg(F.count(F.lit(1)).alias("n"), F.min("value").alias("a"), F.max("value").alias("b")).groupBy("variavel").agg(
+            F.max("n").alias("largest"), F.sum("n").alias("all"), F.count(F.lit(1)).alias("slices"), F.sort_array(F.collect_list(F.struct("s", "a", "b"))).alias("parts")).collect():
+        assert r["largest"] <= max(0.01 * r["all"], 3) and r["slices"] > 190, r["variavel"]
+        assert all(p["b"] < q["a"] for p, q in zip(r["parts"], r["parts"][1:]))
+    totals = {(r["variavel"], r["value"]): (r["n_to"], r["n_sum"]) for r in O.running(counts, ["variavel"], "value", ["n"]).collect()}
+    for name in df.columns:
+        values = sorted(k[1] for k in totals if k[0] == name)
+        assert totals[name, values[-1]] == (30_000, 30_000)
+        held = np.searchsorted(np.sort([r[0] for r in df.select(name).collect()]), values, side="right")
+        assert [totals[name, v][0] for v in values] == held.tolist()
+
+
+def test_quantiles_outside_their_brackets_are_found_again(spark):
+    from waymark.operators import ordered as O
+    rng = random.Random(9)
+    df = spark.createDataFrame([(rng.gauss(0, 1), rng.random(), k) for k in ("a", "b") for _ in range(3000)], "x double, y double, k string")
+    wrong = {("x",): {0.5: (2.0, 3.0), 0.25: (-1.0, 0.0)}, ("y",): {0.9: (-5.0, -4.0)}}
+    got = {(r["variavel"], r["prob"]): r["quantile"] for r in O.ranked(O.ColumnRows(df), wrong).collect()}
+    rows = df.collect()
+    want = {(c, p): float(np.quantile([r[c] for r in rows], p)) for (c,), probs in wrong.items() for p in probs}
+    assert got == pytest.approx(want)
+    keyed = {r["k"]: r["quantile"] for r in O.quantiles(df, ["k"], "x", [0.3]).collect()}
+    assert keyed == pytest.approx({k: float(np.quantile([r["x"] for r in rows if r["k"] == k], 0.3)) for k in "ab"})
+    assert O.quantiles(df.limit(0), ["k"], "x", [0.3]).count() == 0
+    assert O.column_quantiles(df.select(F.lit(None).cast("double").alias("n")), ["n"], [0.5]) == {"n": [None]}

@@ -10,7 +10,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from waymark.operators.ordered import bin_of, column_values, distinct_edges, prob_list, quantiles, running, slice_counts, value_limits
+from waymark.operators.ordered import WHOLE, ColumnRows, bin_of, column_quantile_table, column_sketches, column_values, distinct_edges, ranked, running, sketch_shares
 from waymark.operators.stability import binned_counts, edge_table, reference_edges
 from waymark.operators.tables import columns_of, level_counts, modal_share, null_share, value_counts
 from waymark.session import pinned, written
@@ -217,21 +217,22 @@ def _quantile_edges(df: DataFrame, columns: list[str], n_bins: int) -> dict[str,
     """Quantile edges for min(n_bins, distinct values) bins per column, equal edges merged; one pass for all columns."""
     if not columns:
         return {}
-    rows = column_values(df, columns)
-    limits = value_limits(rows, "value")
-    slices, _ = pinned(slice_counts(rows, ["variavel"], "value", limits), 200_000)
-    # As many slices as bins prove as many distinct values; only columns with fewer slices are counted exactly.
-    distinct = {r["variavel"]: r["d"] for r in slices.groupBy("variavel").agg(F.count(F.lit(1)).alias("d")).collect()}
-    few = [c for c, d in distinct.items() if d < n_bins]
+    all_probs = {b: [i / b for i in range(b + 1)] for b in range(1, n_bins + 1)}
+    shares = sorted({*sketch_shares(all_probs[n_bins]), *(i / (4 * n_bins) for i in range(4 * n_bins + 1))})
+    sketches = column_sketches(df, columns, shares)
+    columns = [c for c in columns if sketches[c]["n"]]
+    # A sketch of as many values as bins proves as many distinct values; only the other columns are counted exactly.
+    distinct = {c: len(set(sketches[c]["points"])) for c in columns}
+    few = [c for c in columns if distinct[c] < n_bins]
     if few:
-        exact = rows.filter(F.col("variavel").isin(few)).groupBy("variavel").agg(F.count_distinct("value").alias("d"))
+        exact = column_values(df, few).groupBy("variavel").agg(F.count_distinct("value").alias("d"))
         distinct.update({r["variavel"]: r["d"] for r in exact.collect()})
-    bins = {c: min(n_bins, d) for c, d in distinct.items()}
-    options = reduce(
-        lambda otherwise, c: F.when(F.col("variavel") == c[0], prob_list([i / c[1] for i in range(c[1] + 1)])).otherwise(otherwise),
-        bins.items(), F.array().cast("array<double>"),
-    )
-    table = quantiles(rows, ["variavel"], "value", options, slices=slices, limits=limits)
+    probs = {c: all_probs[min(n_bins, distinct[c])] for c in columns}
+    # The brackets of fewer bins were not asked of the sketch; such columns are looked at whole, and have few values.
+    whole = [c for c in columns if distinct[c] < n_bins]
+    table = column_quantile_table(df, [c for c in columns if c not in whole], probs, shares, sketches)
+    if whole:
+        table = table.unionByName(ranked(ColumnRows(df), {(c,): {p: WHOLE for p in probs[c]} for c in whole}))
     found: dict[str, list[float]] = {}
     for r in table.collect():
         found.setdefault(r["variavel"], []).append(r["quantile"])

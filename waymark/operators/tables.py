@@ -75,15 +75,15 @@ def value_counts(df: DataFrame, column: str) -> DataFrame:
 
 
 def describe(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Count, mean, deviation, extremes and exact quartiles: one row per column."""
-    from waymark.operators.ordered import column_values, prob_list, quantiles
-
-    long = column_values(df, columns)
-    basics = long.groupBy("variavel").agg(
-        F.count("value").alias("count"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"),
-        F.min("value").alias("min"), F.max("value").alias("max"),
-    )
-    quart = quantiles(long, ["variavel"], "value", prob_list([0.25, 0.5, 0.75])).groupBy("variavel").agg(*[
+    """Count, mean, deviation, extremes and exact quartiles: one row per column with any value. Two passes."""
+    from waymark.operators.ordered import column_quantile_table, column_sketches, sketch_shares
+
+    probs = [0.25, 0.5, 0.75]
+    shares, measures = sketch_shares(probs), {"mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
+    found = column_sketches(df, columns, shares, measures)
+    rows = [(c, found[c]["n"], *[found[c][m] for m in measures]) for c in columns if found[c]["n"]]
+    basics = df.sparkSession.createDataFrame(rows, "variavel string, count long, mean double, std double, min double, max double")
+    quart = column_quantile_table(df, columns, {c: probs for c in columns}, shares, found).groupBy("variavel").agg(*[
         F.max(F.when(F.col("prob") == p, F.col("quantile"))).alias(n) for p, n in [(0.25, "p25"), (0.5, "p50"), (0.75, "p75")]
     ])
     return basics.join(quart, "variavel").select("variavel", "count", "mean", "std", "min", "p25", "p50", "p75", "max")
