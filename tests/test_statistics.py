@@ -270,3 +270,24 @@ def test_quantiles_outside_their_brackets_are_found_again(spark):
     assert keyed == pytest.approx({k: float(np.quantile([r["x"] for r in rows if r["k"] == k], 0.3)) for k in "ab"})
     assert O.quantiles(df.limit(0), ["k"], "x", [0.3]).count() == 0
     assert O.column_quantiles(df.select(F.lit(None).cast("double").alias("n")), ["n"], [0.5]) == {"n": [None]}
+
+
+def test_correlations_of_many_columns_in_two_passes(spark):
+    import pandas as pd
+    from waymark.operators.explore import MOMENTS, pearson
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(400, 300)) + 1e6
+    x[:, 1] = 3.5
+    x[:, 2] = x[:, 0] * -2 + 1
+    x[rng.random(x.shape) < 0.1] = np.nan
+    x[:, 5] = np.nan
+    frame = pd.DataFrame(x, columns=[f"v{i}" for i in range(300)])
+    df = spark.createDataFrame(frame).repartition(3)
+    got, want = pearson(df, df.columns), frame.corr().to_numpy().copy()
+    want[1, :] = want[:, 1] = np.nan
+    np.testing.assert_allclose(got, want, atol=1e-8, equal_nan=True)
+    assert len(MOMENTS) == 5 and np.isnan(got[1, 1]) and got[0, 2] == pytest.approx(-1)
+    odd = spark.createDataFrame([(1.0, 2.0, float("inf")), (2.0, 1.0, 3.0), (4.0, 5.0, None)], "a double, b double, c double")
+    found = {(r["var1"], r["var2"]): r["corr"] for r in E.correlation_pairs(odd, ["a", "b", "c"]).collect()}
+    assert found["a", "b"] == pytest.approx(np.corrcoef([1, 2, 4], [2, 1, 5])[0, 1]) and found["a", "c"] is None
+    assert E.correlation_pairs(odd.limit(0), ["a", "b"]).first()["corr"] is None

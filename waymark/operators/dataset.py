@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import math
 from collections import Counter
+from collections.abc import Callable
 from functools import cached_property, reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from waymark.operators.attribution import attributed_conversions, audience_with_target, label_pairs
 from waymark.operators.books import (
@@ -183,50 +186,73 @@ def split_volume(df: DataFrame, cut: int, period: str = "safra", names: tuple[st
 HASH_STEP, HASH_LENGTH = 5, 30
 
 
-def stratified_split(df: DataFrame, id_column: str, target: str, test_share: float = 0.3, seed: int = 42) -> tuple[DataFrame, DataFrame]:
-    """Split at random with the same class shares, decided by a hash of the id.
+def _mark(id_column: str, seed: int) -> Column:
+    return F.md5(F.concat_ws("#", F.col(id_column).cast("string"), F.lit(str(seed))))
 
-    Each class sends its smallest ceil(share x n) hashes to the test side. The
-    limiting hash of a class is found by counting hash prefixes, five more
-    digits at a time; at most 1,048,576 counts per class exist in each step and
-    one per class reaches the driver. The split itself is a filter: no row moves.
+
+def hash_cuts(df: DataFrame, mark: Column, target: str, ranks: Callable[[int], list[int]]) -> dict[object, list[str]]:
+    """For each class hash prefixes that cut its rows after the wanted ranks (``ranks`` of its number of rows), all found together.
+
+    A cut is found by counting hash prefixes, five more digits at a time under
+    those that hold a wanted rank. At most 1,048,576 counts exist for each of
+    these in a step, and one row for each cut reaches the driver. An empty
+    prefix cuts before the first row. Rows of one hash are never parted.
     """
-    mark = F.md5(F.concat_ws("#", F.col(id_column).cast("string"), F.lit(str(seed))))
     slim = df.filter(F.col(target).isNotNull()).select(F.col(target).alias("c"), mark.alias("h"))
-    order = Window.partitionBy("c").orderBy("p").rowsBetween(Window.unboundedPreceding, 0)
-    limits: dict = {}
-    inside: dict = {}
+    sizes = {r["c"]: r["count"] for r in slim.groupBy("c").count().collect()}
+    cuts: dict[object, list[str]] = {c: [""] * len(ranks(n)) for c, n in sizes.items()}
+    wanted = [(c, i, "", rank) for c, n in sizes.items() for i, rank in enumerate(ranks(n)) if rank > 0]
+    schema = T.StructType([slim.schema["c"], *T._parse_datatype_string("i int, under string, rank long").fields])
+    order = Window.partitionBy("c", "under").orderBy("p").rowsBetween(Window.unboundedPreceding, 0)
     for length in range(HASH_STEP, HASH_LENGTH + 1, HASH_STEP):
-        rows = slim if length == HASH_STEP else slim.filter(reduce(lambda a, b: a | b, [
-            (F.col("c") == F.lit(c)) & F.col("h").startswith(prefix) for c, (prefix, _) in inside.items()
-        ]))
-        counts = rows.groupBy("c", F.substring("h", 1, length).alias("p")).agg(F.count(F.lit(1)).alias("n"))
-        if length == HASH_STEP:
-            wanted = F.ceil(F.sum("n").over(Window.partitionBy("c")) * F.lit(test_share))
-        else:
-            wanted = reduce(lambda a, b: F.when(F.col("c") == F.lit(b[0]), F.lit(b[1][1])).otherwise(a), inside.items(), F.lit(0))
-        at = counts.withColumns({"to": F.sum("n").over(order), "k": wanted}).filter("to >= k AND to - n < k")
-        inside = {}
+        if not wanted:
+            break
+        asked = F.broadcast(df.sparkSession.createDataFrame(wanted, schema))
+        under = F.substring("h", 1, length - HASH_STEP)
+        rows = slim.withColumn("under", under).join(F.broadcast(asked.select("c", "under").distinct()), ["c", "under"], "left_semi")
+        counts = rows.groupBy("c", "under", F.substring("h", 1, length).alias("p")).agg(F.count(F.lit(1)).alias("n"))
+        at = counts.withColumn("to", F.sum("n").over(order)).join(asked, ["c", "under"]).filter("to >= rank AND to - n < rank")
+        wanted = []
         for r in at.collect():
-            rest = r["k"] - (r["to"] - r["n"])
-            if rest == r["n"] or length == HASH_LENGTH:
-                limits[r["c"]] = r["p"]
+            if r["rank"] == r["to"] or length == HASH_LENGTH:
+                cuts[r["c"]][r["i"]] = r["p"]
             else:
-                inside[r["c"]] = (r["p"], rest)
-        if not inside:
-            break
-    if not limits:
+                wanted.append((r["c"], r["i"], r["p"], r["rank"] - (r["to"] - r["n"])))
+    return cuts
+
+
+def _up_to(mark: Column, prefix: str) -> Column:
+    return F.substring(mark, 1, len(prefix)) <= F.lit(prefix) if prefix else F.lit(False)
+
+
+def stratified_split(df: DataFrame, id_column: str, target: str, test_share: float = 0.3, seed: int = 42) -> tuple[DataFrame, DataFrame]:
+    """Split at random with the same class shares, decided by a hash of the id.
+
+    Each class sends its smallest ceil(share x n) hashes to the test side. The
+    split itself is a filter: no row moves.
+    """
+    mark = _mark(id_column, seed)
+    cuts = hash_cuts(df, mark, target, lambda n: [math.ceil(n * test_share)])
+    if not cuts:
         return df, df.limit(0)
-    chosen = reduce(lambda a, b: a | b, [
-        (F.col(target) == F.lit(c)) & (F.substring(mark, 1, len(p)) <= F.lit(p)) for c, p in limits.items()
-    ])
+    chosen = reduce(lambda a, b: a | b, [(F.col(target) == F.lit(c)) & _up_to(mark, at[0]) for c, at in cuts.items()])
     is_test = F.coalesce(chosen, F.lit(False))
     return df.filter(~is_test), df.filter(is_test)
 
 
-def stratified_folds(df: DataFrame, id_column: str, folds: int = 5, seed: int = 42, name: str = "fold") -> DataFrame:
-    """Add a fold number from a hash of the id; class shares agree up to chance and no row moves."""
-    return df.withColumn(name, F.pmod(F.xxhash64(F.col(id_column).cast("string"), F.lit(seed)), F.lit(folds)).cast("int"))
+def stratified_folds(df: DataFrame, id_column: str, target: str, folds: int = 5, seed: int = 42, name: str = "fold") -> DataFrame:
+    """Add a fold number, decided by a hash of the id; a class's numbers of rows in any two folds differ by at most one.
+
+    No row moves. Rows of one id share a fold, so repeated ids may unbalance
+    them. Rows without a class are dealt by the hash alone.
+    """
+    mark = _mark(id_column, seed)
+    cuts = hash_cuts(df, mark, target, lambda n: [n * i // folds for i in range(1, folds)])
+    number = F.pmod(F.xxhash64(F.col(id_column).cast("string"), F.lit(seed)), F.lit(folds)).cast("int")
+    for c, prefixes in cuts.items():
+        beyond = reduce(lambda a, b: a + b, [(~_up_to(mark, p)).cast("int") for p in prefixes], F.lit(0))
+        number = F.when(F.col(target) == F.lit(c), beyond).otherwise(number)
+    return df.withColumn(name, number)
 
 
 def column_types(df: DataFrame) -> DataFrame:

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 from functools import reduce
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,7 +17,8 @@ from waymark.operators.stability import binned_counts, edge_table, reference_edg
 from waymark.operators.tables import columns_of, level_counts, modal_share, null_share, value_counts
 from waymark.session import pinned, written
 
-PAIRS_PER_PASS = 200
+#: Sums that a pair of columns needs, and the edge of the tiles they are merged in.
+MOMENTS, TILE = ("rows", "x", "squares", "products", "infinite"), 256
 
 
 def target_balance(df: DataFrame, target: str) -> DataFrame:
@@ -103,19 +106,75 @@ def chi2_categorical(df: DataFrame, columns: list[str], target: str, min_freq: i
 def correlation_pairs(df: DataFrame, columns: list[str], method: str = "pearson") -> DataFrame:
     """Correlation of every pair of columns over the rows where both are present.
 
-    Pearson: fixed-size aggregates, at most 200 pairs per pass over the data.
+    Pearson: one co-moment matrix for all pairs. Spearman ranks the rows that
+    each pair has in common, so it is a pass over the data for each pair.
     """
-    pairs = list(combinations(columns, 2))
     if method == "spearman":
-        found = [(a, b, rank_correlation(df, a, b).first()[0]) for a, b in pairs]
+        found = pa.table({"var1": [a for a, _ in combinations(columns, 2)], "var2": [b for _, b in combinations(columns, 2)],
+                          "corr": pa.array([rank_correlation(df, a, b).first()[0] for a, b in combinations(columns, 2)], pa.float64())})
     else:
-        clean = df.select(*[F.nanvl(F.col(c).cast("double"), F.lit(None)).alias(c) for c in columns])
-        found = []
-        for i in range(0, len(pairs), PAIRS_PER_PASS):
-            part = pairs[i:i + PAIRS_PER_PASS]
-            row = clean.agg(*[F.corr(a, b).alias(f"c{j}") for j, (a, b) in enumerate(part)]).first()
-            found += [(a, b, row[j]) for j, (a, b) in enumerate(part)]
-    return df.sparkSession.createDataFrame(found, "var1 string, var2 string, corr double")
+        first, second = np.triu_indices(len(columns), 1)
+        values, names = pearson(df, columns)[first, second], np.array(columns, dtype=object)
+        found = pa.table({"var1": pa.array(names[first], pa.string()), "var2": pa.array(names[second], pa.string()), "corr": pa.array(values, mask=np.isnan(values))})
+    return df.sparkSession.createDataFrame(found)
+
+
+def _co_moments(shift: np.ndarray):
+    """Sums over pairs of columns where both are present: rows, values, squares, products and rows with an infinite value, in tiles."""
+    n = len(shift)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = {name: np.zeros((n, n)) for name in MOMENTS}
+        for batch in batches:
+            x = np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns]).astype(float) - shift if batch.num_rows else np.zeros((0, n))
+            here, infinite = (~np.isnan(x)).astype(float), np.isinf(x)
+            x[~np.isfinite(x)] = 0
+            for name, part in zip(MOMENTS, (here.T @ here, x.T @ here, (x * x).T @ here, x.T @ x, infinite.astype(float).T @ here)):
+                sums[name] += part
+        for i in range(0, n, TILE):
+            for j in range(0, n, TILE):
+                tile = {name: [sums[name][i: i + TILE, j: j + TILE].tobytes()] for name in MOMENTS}
+                yield pa.RecordBatch.from_pydict({"i": pa.array([i], pa.int32()), "j": pa.array([j], pa.int32()), **tile})
+    return run
+
+
+def _summed(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    sums = None
+    for batch in batches:
+        for parts in zip(*(batch.column(name).to_pylist() for name in MOMENTS)):
+            found = [np.frombuffer(p) for p in parts]
+            sums = found if sums is None else [a + b for a, b in zip(sums, found)]
+    yield pa.RecordBatch.from_pydict({"i": pa.array([key[0].as_py()], pa.int32()), "j": pa.array([key[1].as_py()], pa.int32()), **{n: [s.tobytes()] for n, s in zip(MOMENTS, sums)}})
+
+
+def pearson(df: DataFrame, columns: list[str]) -> np.ndarray:
+    """The matrix of correlations, NaN where a pair has no rows in common or no variance.
+
+    Two passes, however many columns: the means, by which values are shifted so
+    that sums of squares lose no digits, and the co-moments. A task holds
+    five numbers a pair of columns; tiles of 256 x 256 are summed by as many tasks.
+    """
+    clean = df.select(*[F.nanvl(F.col(c).cast("double"), F.lit(None)).alias(f"c{k}") for k, c in enumerate(columns)])
+    infinite = [float("inf"), float("-inf")]
+    means = clean.agg(*[F.avg(F.when(~F.col(c).isin(infinite), F.col(c))).alias(c) for c in clean.columns]).first()
+    shift = np.array([m or 0.0 for m in means])
+    schema = "i int, j int, " + ", ".join(f"{name} binary" for name in MOMENTS)
+    tiles = clean.mapInArrow(_co_moments(shift), schema).groupBy("i", "j").applyInArrow(_summed, schema)
+    n = len(columns)
+    held = {name: np.zeros((n, n)) for name in MOMENTS}
+    for r in tiles.toLocalIterator():
+        i, j = r["i"], r["j"]
+        shape = (min(TILE, n - i), min(TILE, n - j))
+        for name in MOMENTS:
+            held[name][i: i + TILE, j: j + TILE] = np.frombuffer(r[name]).reshape(shape)
+    rows, x, squares, products, infinite_rows = (held[name] for name in MOMENTS)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        variance = squares - x * x / rows
+        found = (products - x * x.T / rows) / np.sqrt(variance * variance.T)
+    # Sums of a column without variance leave the rounding errors of their terms.
+    flat = variance <= 1e-13 * squares
+    found[(rows == 0) | flat | flat.T | (infinite_rows + infinite_rows.T > 0)] = np.nan
+    return np.clip(found, -1, 1)
 
 
 def rank_correlation(df: DataFrame, a: str, b: str) -> DataFrame:
@@ -168,11 +227,8 @@ def vif(df: DataFrame, columns: list[str], max_vars: int = 5000) -> DataFrame:
         F.coalesce(F.when(~F.isnan(F.col(c).cast("double")) & ~F.col(c).cast("double").isin(infinite), F.col(c).cast("double")), F.lit(0.0)).alias(c)
         for c in columns
     ])
-    place = {c: i for i, c in enumerate(columns)}
-    matrix = np.eye(len(columns))
-    for r in correlation_pairs(clean, columns).collect():
-        i, j = place[r["var1"]], place[r["var2"]]
-        matrix[i, j] = matrix[j, i] = 0.0 if r["corr"] is None else r["corr"]
+    matrix = np.nan_to_num(pearson(clean, columns), nan=0.0)
+    np.fill_diagonal(matrix, 1.0)
     try:
         factors = np.diag(np.linalg.inv(matrix))
     except np.linalg.LinAlgError:

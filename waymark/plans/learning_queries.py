@@ -1,7 +1,10 @@
 """Training, scoring and selection on the mixed table.
 
-Fitted numbers follow no SQL. Each query returns what SQL can follow, names,
-ids, settings and counts, and whether the fitted numbers keep their bounds.
+A boosted model of one tree with one split is an aggregate: of all splits the
+one of greatest variance reduction, and the mean labels of its two sides. Queries
+of training, scoring, selection and elimination fit that model, and their SQL
+computes its split, scores, KS and Gini from the tables. The other queries
+return what SQL can follow of larger models: names, settings and bounds.
 """
 
 from __future__ import annotations
@@ -15,7 +18,6 @@ from waymark.plans.registry import query
 from waymark.session import scratch_path
 
 FEATURES = ["qty", "price", "tax", "line", "flag", "status"]
-SMALL = {"n_estimators": 5, "max_depth": 3, "learning_rate": 0.3}
 
 
 def data(spark: SparkSession, sf: str) -> DataFrame:
@@ -36,29 +38,77 @@ def shares(found: DataFrame, name: str = "nome_variavel") -> DataFrame:
     return found.select(name, value.between(0, 1).alias("bounded"), F.bround(F.sum(value).over(Window.partitionBy(F.lit(1))), 6).alias("total"))
 
 
-@query("l7_train_and_save", names_sql(FEATURES))
+STUMP, SPLIT_FEATURES = {"n_estimators": 1, "max_depth": 1}, ["even", "half", "line", "tax"]
+
+
+def split_data(spark: SparkSession, sf: str) -> DataFrame:
+    """Features of few values, so that every cut between two of them is tried."""
+    return fx.mixed(spark, sf).withColumn("half", F.floor(F.col("qty") / 2)).select("id", "safra", "y", *SPLIT_FEATURES)
+
+
+def stump_sql(fitted: str, scored: str, source: str = "m") -> str:
+    """CTEs: the rows to fit and to score, each feature's best split, the best of all, and the rows' scores (table ``s``)."""
+    values = " UNION ALL ".join(f"SELECT '{f}' AS f, coalesce({f}, -1)::DOUBLE AS v, y, w FROM fit, weight" for f in SPLIT_FEATURES)
+    of = "CASE f " + " ".join(f"WHEN '{f}' THEN coalesce({f}, -1)" for f in SPLIT_FEATURES) + " END"
+    return f""", d AS (SELECT *, floor(qty / 2) AS half FROM {source}), fit AS (SELECT * FROM d WHERE {fitted}),
+    ratio AS (SELECT count(*) FILTER (y = 0) / greatest(count(*) FILTER (y = 1), 1) AS r FROM fit), weight AS (SELECT CASE WHEN r >= 3 THEN r ELSE 1.0 END AS w FROM ratio),
+    g AS (SELECT f, v, sum(CASE WHEN y = 1 THEN w ELSE 1 END) AS n, sum(CASE WHEN y = 1 THEN w ELSE -1 END) AS t FROM ({values}) GROUP BY f, v),
+    c AS (SELECT f, v, sum(n) OVER o AS nl, sum(t) OVER o AS tl, sum(n) OVER (PARTITION BY f) AS n, sum(t) OVER (PARTITION BY f) AS t FROM g WINDOW o AS (PARTITION BY f ORDER BY v)),
+    best AS (SELECT f, v, tl / nl AS low, (t - tl) / (n - nl) AS high FROM c WHERE nl < n ORDER BY tl * tl / nl + (t - tl) * (t - tl) / (n - nl) DESC LIMIT 1),
+    s AS (SELECT d.*, 1 / (1 + exp(-2 * CASE WHEN {of} <= v THEN low ELSE high END)) AS score FROM d, best WHERE {scored})"""
+
+
+#: The test side of the stratified split, and KS and Gini of the scores on it.
+SPLIT_SQL = """, h AS (SELECT *, md5(id || '#42') AS h FROM m), p AS (SELECT *, row_number() OVER (PARTITION BY y ORDER BY h) <= ceil(count(*) OVER (PARTITION BY y) * 0.3) AS test FROM h)"""
+METRICS_SQL = """, k AS (SELECT score, count(*) FILTER (y = 1) AS p, count(*) FILTER (y = 0) AS n FROM s GROUP BY score),
+    a AS (SELECT *, sum(p) OVER (ORDER BY score) AS pt, sum(n) OVER (ORDER BY score) AS nt, sum(p) OVER () AS ps, sum(n) OVER () AS ns FROM k),
+    e AS (SELECT round(2 * sum(p * (nt - n * 0.5)) / max(ps * ns) - 1, 6) AS gini, round(max(abs(pt / ps - nt / ns)), 6) AS ks FROM a)"""
+
+
+@query("l7_train_and_save", MIXED + stump_sql("true", "false") + " SELECT n AS nome_variavel, CASE WHEN n = f THEN 1.0 ELSE 0.0 END::DOUBLE AS importancia FROM best, (VALUES "
+       + ", ".join(f"('{f}')" for f in SPLIT_FEATURES) + ") x(n)")
 def l7(spark, sf):
-    found, _, _ = L.train_and_save(data(spark, sf), "y", scratch_path(spark, "model"), ["id", "safra"], SMALL)
-    return shares(found)
+    found, _, _ = L.train_and_save(split_data(spark, sf), "y", scratch_path(spark, "model"), ["id", "safra"], STUMP)
+    return found
 
 
-@query("l8_load_and_score", MIXED + "SELECT id, safra, y, qty, TRUE AS bounded FROM m")
+@query("l8_load_and_score", MIXED + stump_sql("true", "true") + " SELECT id, safra, y, round(score, 6) AS score FROM s")
 def l8(spark, sf):
     path = scratch_path(spark, "model")
-    L.train_and_save(data(spark, sf), "y", path, ["id", "safra"], SMALL)
-    return L.load_and_score(data(spark, sf).drop("tax"), path).select("id", "safra", "y", "qty", F.col("score_modelo").between(0, 1).alias("bounded"))
+    L.train_and_save(split_data(spark, sf), "y", path, ["id", "safra"], STUMP)
+    # A column that the new table lacks counts as missing.
+    scored = L.load_and_score(split_data(spark, sf).drop("even"), path)
+    return scored.select("id", "safra", "y", F.round("score_modelo", 6).alias("score"))
 
 
-@query("l9_backward_elimination", "SELECT CAST(i AS INTEGER) AS etapa, CAST(5 - i AS INTEGER) AS qtd_variavel, CAST(5 - i AS INTEGER) AS listed, TRUE AS bounded FROM range(1, 5) t(i)")
+@query("l9_backward_elimination", MIXED + SPLIT_SQL + stump_sql("NOT test", "test", "p") + METRICS_SQL + """, o AS (
+    SELECT x, row_number() OVER (ORDER BY x = (SELECT f FROM best) DESC, x) AS place FROM (VALUES """ + ", ".join(f"('{f}')" for f in SPLIT_FEATURES) + """) v(x))
+    SELECT CAST(5 - i AS INTEGER) AS etapa, CAST(i AS INTEGER) AS qtd_variavel, (SELECT string_agg(x, ',' ORDER BY x) FROM o WHERE place <= i) AS variaveis, gini, ks FROM e, range(1, 5) r(i)""")
 def l9(spark, sf):
-    rounds = L.backward_elimination(data(spark, sf).drop("safra", "status", "line"), ["id"], "y", params=SMALL)
-    return rounds.select("etapa", "qtd_variavel", F.size("variaveis_explicativas").alias("listed"), (F.col("gini").between(-1, 1) & F.col("ks").between(0, 1)).alias("bounded"))
+    rounds = L.backward_elimination(split_data(spark, sf).drop("safra"), ["id"], "y", params=STUMP)
+    return rounds.select("etapa", "qtd_variavel", F.array_join(F.array_sort("variaveis_explicativas"), ",").alias("variaveis"), F.round("gini", 6).alias("gini"), F.round("ks", 6).alias("ks"))
 
 
-@query("l10_selection_round", f"SELECT {len(FEATURES) - 1}::BIGINT AS kept, TRUE AS known, TRUE AS bounded")
+@query("l10_selection_round", MIXED + SPLIT_SQL + stump_sql("NOT test", "test", "p") + METRICS_SQL + """, o AS (
+    SELECT x, row_number() OVER (ORDER BY x = (SELECT f FROM best) DESC, x) AS place FROM (VALUES """ + ", ".join(f"('{f}')" for f in SPLIT_FEATURES) + """) v(x))
+    SELECT (SELECT string_agg(x, ',' ORDER BY x) FROM o WHERE place < 4) AS kept, ks, gini FROM e""")
 def l10(spark, sf):
-    kept, ks, gini = L.selection_round(data(spark, sf), ["id", "safra"], "y", SMALL)
-    return spark.createDataFrame([(len(kept), set(kept) <= set(FEATURES), 0 <= ks <= 1 and -1 <= gini <= 1)], "kept long, known boolean, bounded boolean")
+    kept, ks, gini = L.selection_round(split_data(spark, sf), ["id", "safra"], "y", STUMP)
+    return spark.createDataFrame([(",".join(sorted(kept)), round(ks, 6), round(gini, 6))], "kept string, ks double, gini double")
+
+
+# Margins as a model of four trees would store them.
+MARGINS = ["(qty - 25) / 64", "(line - 4) / 16.0", "even / 8.0 - 0.0625", "-2 * coalesce(disc, 0)"]
+
+
+@query("l11_best_iteration", MIXED + f""", t AS (SELECT y, [{', '.join(MARGINS)}] AS parts FROM m),
+    x AS (SELECT y, unnest(range(1, 5)) AS trees, parts FROM t), z AS (SELECT trees, y, list_reduce(parts[:trees], lambda a, b: a + b) AS score FROM x),
+    k AS (SELECT trees, score, count(*) FILTER (y = 1) AS p, count(*) FILTER (y = 0) AS n FROM z GROUP BY trees, score),
+    a AS (SELECT *, sum(p) OVER o AS pt, sum(n) OVER o AS nt, sum(p) OVER (PARTITION BY trees) AS ps, sum(n) OVER (PARTITION BY trees) AS ns FROM k WINDOW o AS (PARTITION BY trees ORDER BY score))
+    SELECT CAST(trees AS INTEGER) AS trees, round(2 * sum(p * (nt - n * 0.5)) / max(ps * ns) - 1, 6) AS gini, round(max(abs(pt / ps - nt / ns)), 6) AS ks FROM a GROUP BY trees""")
+def l11_best(spark, sf):
+    margins = fx.mixed(spark, sf).select("y", F.array(*[F.expr(m).cast("double") for m in MARGINS]).alias("margins"))
+    return L.prefix_metrics(margins, "y").select("trees", F.round("gini", 6).alias("gini"), F.round("ks", 6).alias("ks"))
 
 
 @query("l11_grid_search", "SELECT d AS max_depth, 4.0::DOUBLE AS num_leaves, 0.3::DOUBLE AS learning_rate, TRUE AS bounded FROM (VALUES (2.0::DOUBLE), (3.0::DOUBLE)) v(d)")
@@ -92,13 +142,13 @@ def l15(spark, sf):
     return found.agg(F.count("*").alias("chosen"), F.every(F.col("feature").isin("qty", "price", "flag")).alias("known"), F.every(F.col("votes").between(1, 3)).alias("bounded"))
 
 
-@query("l16_score_new_base", MIXED + "SELECT id, safra, y, TRUE AS bounded, 1.0::DOUBLE AS total FROM m WHERE safra >= 1999")
+@query("l16_score_new_base", MIXED + stump_sql("safra < 1999", "safra >= 1999") + " SELECT id, safra, y, round(1 - score, 6) AS score_0, round(score, 6) AS score_1 FROM s")
 def l16(spark, sf):
     path = scratch_path(spark, "model")
-    train, new = data(spark, sf).filter("safra < 1999"), data(spark, sf).filter("safra >= 1999")
-    L.train_and_save(train, "y", path, ["id", "safra"], SMALL)
+    train, new = split_data(spark, sf).filter("safra < 1999"), split_data(spark, sf).filter("safra >= 1999")
+    L.train_and_save(train, "y", path, ["id", "safra"], STUMP)
     scored = L.score_new_base(train, new, path, ["id", "safra", "y"])
-    return scored.select("id", "safra", "y", (F.col("score_0").between(0, 1) & F.col("score_1").between(0, 1)).alias("bounded"), F.bround(F.col("score_0") + F.col("score_1"), 6).alias("total"))
+    return scored.select("id", "safra", "y", F.round("score_0", 6).alias("score_0"), F.round("score_1", 6).alias("score_1"))
 
 
 @query("l17_train_and_tune", names_sql(["qty", "price", "line"]))

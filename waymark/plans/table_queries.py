@@ -784,6 +784,13 @@ def d6(spark, sf):
     return B.union_named({"train": train.select("id", "y"), "test": test.select("id", "y")}, "side")
 
 
+# With n rows of a class, fold i begins after n * i / k of its hashes, rounded down.
+@query("d6_stratified_folds", SQL + """, r AS (SELECT id, y, row_number() OVER (PARTITION BY y ORDER BY md5(id || '#42')) AS rn, count(*) OVER (PARTITION BY y) AS n FROM m)
+SELECT id, y, CAST((rn > n // 4)::INT + (rn > n * 2 // 4)::INT + (rn > n * 3 // 4)::INT AS INTEGER) AS fold FROM r""")
+def d6_folds(spark, sf):
+    return D.stratified_folds(fx.mixed(spark, sf), "id", "y", 4).select("id", "y", "fold")
+
+
 @query("d7_count_by_period_and_offer", LOG + "SELECT CAST(floor(t) AS BIGINT) AS dia, offer_id, count(*) AS count FROM ev WHERE event = 'offer received' GROUP BY 1, 2")
 def d7(spark, sf):
     return B.count_by(E.received(log(spark, sf)).withColumn("dia", F.floor(TIME)), "dia", ITEM)
