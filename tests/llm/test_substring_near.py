@@ -206,3 +206,35 @@ def test_near_duplicates_of_an_empty_table(spark):
 
 def test_digest_of_kept_text():
     assert hashlib.sha256(b"").hexdigest().startswith("e3b0c442")
+
+
+@pytest.mark.parametrize("kind", ["path", "star", "random", "two stars"])
+def test_components_equal_union_find(spark, kind):
+    rng = random.Random(4)
+    order = list(range(400))
+    rng.shuffle(order)
+    if kind == "path":
+        links = list(zip(order, order[1:]))
+    elif kind == "star":
+        links = [(order[0], n) for n in order[1:]] + [(7, 7)]
+    elif kind == "random":
+        links = [(rng.randrange(400), rng.randrange(400)) for _ in range(230)]
+    else:
+        links = [(order[0], n) for n in order[:200]] + [(order[200], n) for n in order[200:]] + [(order[5], order[300])]
+    parent = list(range(400))
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in links:
+        x, y = sorted((root(a), root(b)))
+        parent[y] = x
+    want = {n: root(n) for a, b in links if a != b for n in (a, b)}
+    table = spark.createDataFrame(links, "a long, b long")
+    assert {r.node: r.label for r in near_dedup.components(table).collect()} == want
+    half = len(links) // 2
+    grown = near_dedup.widened(near_dedup.components(table.limit(half)), spark.createDataFrame(links[half:], "a long, b long"))
+    assert {r.node: r.label for r in grown.collect()} == want
+    assert near_dedup.components(table.limit(0)).count() == 0
