@@ -114,10 +114,58 @@ def test_distance_correlation_by_all_pairs(spark):
     assert E.distance_correlation(same, "x", "y").first()[0] == 0.0
 
 
-def test_chi_square_tail():
-    assert E._upper_gamma_share(0.5, 3.841458820694124 / 2) == pytest.approx(0.05)
-    assert E._upper_gamma_share(5, 18.307038053275146 / 2) == pytest.approx(0.05)
-    assert E._upper_gamma_share(1, 0) == 1.0
+def test_chi_square_tail(spark):
+    cases = [(0.5, 3.841458820694124 / 2, 0.05), (5.0, 18.307038053275146 / 2, 0.05), (1.0, 0.0, 1.0), (1.0, 7.0, math.exp(-7)), (2.0, 0.3, math.exp(-0.3) * 1.3),
+             (50.0, 124.34211340400407 / 2, 0.05), (500.0, 1074.67944980338 / 2, 0.05), (3.0, 1e-9, 1.0), (0.5, 400.0, math.erfc(20.0))]
+    df = spark.createDataFrame(cases, "a double, x double, p double")
+    for r in df.withColumn("got", E.upper_gamma_share(F.col("a"), F.col("x"))).collect():
+        assert r["got"] == pytest.approx(r["p"], rel=1e-6), (r["a"], r["x"])
+
+
+def test_best_cut_equals_enumeration(spark):
+    from itertools import combinations
+    rng = random.Random(5)
+
+    def plain(counts, eps=1e-6):
+        n, best = len(counts), None
+        negatives, positives = (sum(c[i] for c in counts) for i in (0, 1))
+        for k in range(n):
+            for cut in combinations(range(1, n), k):
+                ranges = list(zip([0, *cut], [*cut, n]))
+                sums = [tuple(sum(c[i] for c in counts[a:b]) for i in (0, 1)) for a, b in ranges]
+                steps = [q[1] * (p[0] + p[1]) - p[1] * (q[0] + q[1]) for p, q in zip(sums, sums[1:])]
+                if all(s > 0 for s in steps) or all(s < 0 for s in steps):
+                    value = sum(((p + eps) / (positives + eps) - (m + eps) / (negatives + eps)) * math.log((p + eps) / (positives + eps) / ((m + eps) / (negatives + eps))) for m, p in sums)
+                    best = max(best or (value, ranges), (value, ranges), key=lambda b: b[0])
+        return best[0]
+
+    def own(counts, ranges, eps=1e-6):
+        negatives, positives = (sum(c[i] for c in counts) for i in (0, 1))
+        sums = [tuple(sum(c[i] for c in counts[a:b]) for i in (0, 1)) for a, b in ranges]
+        return sum(((p + eps) / (positives + eps) - (m + eps) / (negatives + eps)) * math.log((p + eps) / (positives + eps) / ((m + eps) / (negatives + eps))) for m, p in sums)
+
+    for _ in range(60):
+        counts = [(rng.randrange(0, 40), rng.randrange(0, 40)) for _ in range(rng.randrange(1, 9))]
+        counts = [(a + 1, b) for a, b in counts]
+        assert own(counts, E.best_cut(counts)) == pytest.approx(plain(counts))
+    df = spark.createDataFrame([(float(i % 50), float(rng.random() < i % 50 / 60), 1.0) for i in range(3000)], "x double, y double, one double").withColumn("y", F.col("y").cast("int"))
+    found = E.optimal_bins(df, ["x", "one"], "y").orderBy("grupo").collect()
+    rates = [r["pos"] / (r["pos"] + r["neg"]) for r in found if r["variavel"] == "x"]
+    assert rates == sorted(rates) and len(rates) > 4 and sum(r["neg"] + r["pos"] for r in found if r["variavel"] == "x") == 3000
+
+
+def test_best_item_without_the_product(spark):
+    rng = random.Random(2)
+    base = spark.createDataFrame([(f"k{i}", f"u{i % 9}", "x", float(i // 9), 0, 0) for i in range(60)], "ID string, cliente_id string, offer_id string, time_since_test_start double, duration int, discount int")
+    kinds = [(d, v) for d in (3, 5, 7) for v in (1, None)]
+    items = spark.createDataFrame([(f"i{rng.randrange(10**6):06d}", *kinds[i % 6]) for i in range(300)], "offer_id string, duration int, discount int")
+    score = F.col("duration") % 5 * 0.25 + F.coalesce(F.col("discount"), F.lit(0)) * 0.0
+    columns = ["offer_id", "duration", "discount"]
+    full = R.best_offer(R.with_score(R.expand_scenarios(base, items, columns), score))
+    assert R.item_classes(items).count() == 6
+    assert sorted(R.best_item(base, items, score, columns).collect()) == sorted(full.collect())
+    by_id = F.length("offer_id") + F.substring("offer_id", 5, 3).cast("int") / 1000.0
+    assert sorted(R.best_item(base, items, by_id, columns, reads_id=True).collect()) == sorted(R.best_offer(R.with_score(R.expand_scenarios(base, items, columns), by_id)).collect())
 
 
 def test_missing_plan_covers_the_modelling_table(spark):

@@ -38,32 +38,33 @@ def missing_table(df: DataFrame) -> DataFrame:
     ).orderBy(F.desc("perc_nulos"), "variavel")
 
 
-def _upper_gamma_share(a: float, x: float) -> float:
-    """Regularised upper incomplete gamma by its series (small x) or continued fraction."""
-    if x <= 0:
-        return 1.0
-    scale = math.exp(-x + a * math.log(x) - math.lgamma(a))
-    if x < a + 1:
-        term = total = 1.0 / a
-        k = a
-        while abs(term) > abs(total) * 1e-16:
-            k += 1
-            term *= x / k
-            total += term
-        return max(0.0, 1.0 - total * scale)
-    b = x + 1 - a
-    c = 1e300
-    d = 1 / b
-    h = d
-    for i in range(1, 10_000):
-        an = -i * (i - a)
-        b += 2
-        d = 1 / (an * d + b)
-        c = b + an / c
-        h *= d * c
-        if abs(d * c - 1) < 1e-15:
-            break
-    return h * scale
+def _log_gamma(a: Column) -> Column:
+    """Stirling's series for a + 8, carried back to a > 0."""
+    z = a + 8
+    series = (z - 0.5) * F.ln(z) - z + 0.5 * math.log(2 * math.pi) + 1 / (12 * z) - 1 / (360 * F.pow(z, F.lit(3))) + 1 / (1260 * F.pow(z, F.lit(5))) - 1 / (1680 * F.pow(z, F.lit(7)))
+    return series - F.aggregate(F.sequence(F.lit(0), F.lit(7)), F.lit(0.0), lambda held, i: held + F.ln(a + i))
+
+
+def upper_gamma_share(a: Column, x: Column) -> Column:
+    """Regularised upper incomplete gamma function as a column expression, for a > 0.
+
+    Its series for small x, its continued fraction (by Lentz's method) for
+    large x, each by as many terms as a needs to reach full precision.
+    """
+    steps = F.sequence(F.lit(1), (F.lit(200) + 20 * F.ceil(F.sqrt(a))).cast("int"))
+    scale = F.exp(-x + a * F.ln(x) - _log_gamma(a))
+    first = F.struct((1 / a).alias("term"), (1 / a).alias("total"))
+    series = F.aggregate(steps, first, lambda s, i: F.struct((s["term"] * x / (a + i)).alias("term"), (s["total"] + s["term"] * x / (a + i)).alias("total")), lambda s: s["total"])
+
+    def next_fraction(s: Column, i: Column) -> Column:
+        top, low = -i * (i - a), x + 1 - a + 2 * i
+        d = 1 / (top * s["d"] + low)
+        c = low + top / s["c"]
+        return F.struct(c.alias("c"), d.alias("d"), (s["h"] * c * d).alias("h"))
+
+    start = 1 / (x + 1 - a)
+    fraction = F.aggregate(steps, F.struct(F.lit(1e300).alias("c"), start.alias("d"), start.alias("h")), next_fraction, lambda s: s["h"])
+    return F.when(x <= 0, F.lit(1.0)).when(x < a + 1, F.greatest(1 - series * scale, F.lit(0.0))).otherwise(fraction * scale)
 
 
 def chi2_table(df: DataFrame, columns: list[str], target: str, min_freq: int = 10, correction: bool = True) -> DataFrame:
@@ -93,14 +94,10 @@ def chi2_table(df: DataFrame, columns: list[str], target: str, min_freq: int = 1
 
 
 def chi2_categorical(df: DataFrame, columns: list[str], target: str, min_freq: int = 10, correction: bool = True) -> DataFrame:
-    """Chi-square test with p-values, strongest association first.
-
-    The statistics, one row per column, are finished on the driver, since Spark has no gamma function.
-    """
+    """Chi-square test with p-values, strongest association first."""
     table = chi2_table(df, columns, target, min_freq, correction)
-    rows = [(*r, _upper_gamma_share(r["dof"] / 2, r["chi2"] / 2)) for r in table.collect()]
-    schema = table.schema.add("p_value", "double")
-    return df.sparkSession.createDataFrame(rows, schema).orderBy("p_value", "variavel")
+    p_value = upper_gamma_share(F.col("dof") / F.lit(2.0), F.col("chi2") / F.lit(2.0))
+    return table.withColumn("p_value", p_value).orderBy("p_value", "variavel")
 
 
 def correlation_pairs(df: DataFrame, columns: list[str], method: str = "pearson") -> DataFrame:
@@ -296,6 +293,66 @@ def _quantile_edges(df: DataFrame, columns: list[str], n_bins: int) -> dict[str,
     return {c: e for c, e in edges.items() if len(e) > 1}
 
 
+def optimal_bins(df: DataFrame, columns: list[str], target: str, fine: int = 10, eps: float = 1e-6) -> DataFrame:
+    """Neighbouring quantile bins of numeric columns merged so that the event rate only rises or only falls, with the greatest information value.
+
+    Spark counts the ``fine`` bins; a dynamic program over these counts, a few
+    numbers a column on the driver, finds the cut. Returns variavel, grupo,
+    primeiro and ultimo (the fine bins merged), neg, pos, woe and iv_bin. A
+    column of one value is one bin.
+    """
+    counted: dict[str, list] = {}
+    for r in woe_bins(df, columns, target, fine, eps=eps).select("variavel", F.col("bin").cast("int").alias("bin"), "neg", "pos").collect():
+        counted.setdefault(r["variavel"], []).append((r["bin"], r["neg"], r["pos"]))
+    rows = []
+    for name, bins in counted.items():
+        bins.sort()
+        negatives, positives = (sum(b[i] for b in bins) for i in (1, 2))
+        for k, (start, end) in enumerate(best_cut([b[1:] for b in bins], eps), 1):
+            neg, pos = (sum(b[i] for b in bins[start:end]) for i in (1, 2))
+            dist_neg, dist_pos = (neg + eps) / (negatives + eps), (pos + eps) / (positives + eps)
+            woe = math.log(dist_pos / dist_neg)
+            rows.append((name, k, bins[start][0], bins[end - 1][0], neg, pos, woe, (dist_pos - dist_neg) * woe))
+    return df.sparkSession.createDataFrame(rows, "variavel string, grupo int, primeiro int, ultimo int, neg long, pos long, woe double, iv_bin double")
+
+
+def best_cut(counts: list[tuple[int, int]], eps: float = 1e-6) -> list[tuple[int, int]]:
+    """Ranges (start, end) of counted bins (negatives, positives) with strictly rising or strictly falling event rates and the greatest information value."""
+    n = len(counts)
+    to_here = [(0, 0)]
+    for neg, pos in counts:
+        to_here.append((to_here[-1][0] + neg, to_here[-1][1] + pos))
+    negatives, positives = to_here[-1]
+
+    def part(i: int, j: int) -> tuple[int, int]:
+        return to_here[j][0] - to_here[i][0], to_here[j][1] - to_here[i][1]
+
+    def value(i: int, j: int) -> float:
+        neg, pos = part(i, j)
+        dist_neg, dist_pos = (neg + eps) / (negatives + eps), (pos + eps) / (positives + eps)
+        return (dist_pos - dist_neg) * math.log(dist_pos / dist_neg)
+
+    found = []
+    for sign in (1, -1):
+        # best[i, j]: value and way of the bins before j whose last range begins at i.
+        best: dict[tuple[int, int], tuple[float, list]] = {}
+        for j in range(1, n + 1):
+            for i in range(j):
+                (neg, pos), own, ways = part(i, j), value(i, j), []
+                for h in range(i):
+                    if (h, i) in best:
+                        left_neg, left_pos = part(h, i)
+                        # Rates by cross multiplication of whole numbers.
+                        if sign * (pos * (left_neg + left_pos) - left_pos * (neg + pos)) > 0:
+                            ways.append((best[h, i][0] + own, [*best[h, i][1], (i, j)]))
+                if i == 0:
+                    ways.append((own, [(0, j)]))
+                if ways:
+                    best[i, j] = max(ways, key=lambda w: w[0])
+        found += [best[i, n] for i in range(n) if (i, n) in best]
+    return max(found, key=lambda w: w[0])[1]
+
+
 def information_values(df: DataFrame, columns: list[str], target: str, **options) -> DataFrame:
     """Total IV per column, strongest first."""
     return woe_bins(df, columns, target, **options).groupBy("variavel").agg(F.sum("iv_bin").alias("IV")).orderBy(F.desc("IV"))

@@ -61,6 +61,26 @@ def best_offer(scored: DataFrame, score: str = SCORE, time: str = ANCHOR_TIME) -
     return most_recent(scored.select(ENTITY, ITEM, score, time), [ENTITY, time], [F.desc(score), F.asc(ITEM)])
 
 
+def item_classes(items: DataFrame) -> DataFrame:
+    """One row for each set of equal attributes in the catalogue, under the smallest item id that has them."""
+    attributes = [c for c in items.columns if c != ITEM]
+    return items.groupBy(*attributes).agg(F.min(ITEM).alias(ITEM)).select(*items.columns)
+
+
+def best_item(
+    base: DataFrame, items: DataFrame, score: Column, item_columns: list[str] | None = None, reads_id: bool = False, name: str = SCORE,
+) -> DataFrame:
+    """The best item of each row's entity and time, without the product of rows and items.
+
+    A score that sees an item's attributes but not its id is the same for all
+    items of equal attributes, and equal scores go to the smallest id; so the
+    classes of the catalogue stand for it, and rows grow with the number of
+    different attributes only. A score that ``reads_id`` gets the full product.
+    """
+    catalogue = items if reads_id else item_classes(items)
+    return best_offer(with_score(expand_scenarios(base, catalogue, item_columns, add_id=False), score, name), name)
+
+
 def offer_ranking(best: DataFrame, items: DataFrame, k: int = 10) -> DataFrame:
     """How often each item is the best one, with its catalogue columns; counted before the join."""
     counts = best.groupBy(ITEM).agg(F.count(F.lit(1)).alias("qtd"))

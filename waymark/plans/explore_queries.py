@@ -281,6 +281,21 @@ def e12(spark, sf):
     return rounded(E.information_values(fx.mixed(spark, sf), WOE_COLUMNS, "y"))
 
 
+# All 512 cuts between ten fine bins; a bin's group is the number of cuts below it.
+@query("l6_optimal_bins", SQL + woe_sql() + """, f AS (
+  SELECT variavel, CAST(bin AS INTEGER) AS b, neg, pos, row_number() OVER (PARTITION BY variavel ORDER BY CAST(bin AS INTEGER)) - 1 AS i FROM c WHERE variavel IN ('qty', 'price', 'line')
+), z AS (SELECT variavel, count(*) AS k, sum(neg) AS tn, sum(pos) AS tp FROM f GROUP BY variavel
+), g AS (SELECT variavel, mask, bit_count(mask & ((1 << i) - 1)) AS grupo, min(b) AS primeiro, max(b) AS ultimo, sum(neg) AS neg, sum(pos) AS pos, any_value(tn) AS tn, any_value(tp) AS tp
+  FROM f JOIN z USING (variavel), range(512) r(mask) WHERE mask < (1 << (k - 1)) GROUP BY ALL
+), w2 AS (SELECT *, ln((pos + 1e-6) / (tp + 1e-6) / ((neg + 1e-6) / (tn + 1e-6))) AS woe, pos * lag(neg + pos) OVER o - lag(pos) OVER o * (neg + pos) AS step FROM g WINDOW o AS (PARTITION BY variavel, mask ORDER BY grupo)
+), w3 AS (SELECT *, ((pos + 1e-6) / (tp + 1e-6) - (neg + 1e-6) / (tn + 1e-6)) * woe AS iv_bin FROM w2
+), t2 AS (SELECT variavel, mask, sum(iv_bin) AS iv FROM w3 GROUP BY variavel, mask HAVING coalesce(min(step), 1) > 0 OR coalesce(max(step), -1) < 0
+), b2 AS (SELECT variavel, mask FROM t2 QUALIFY row_number() OVER (PARTITION BY variavel ORDER BY iv DESC) = 1)
+SELECT variavel, CAST(grupo + 1 AS INTEGER) AS grupo, primeiro, ultimo, neg::BIGINT AS neg, pos::BIGINT AS pos, round(woe, 6) AS woe, round(iv_bin, 6) AS iv_bin FROM w3 JOIN b2 USING (variavel, mask)""")
+def l6_optimal(spark, sf):
+    return rounded(E.optimal_bins(fx.mixed(spark, sf), ["qty", "price", "line"], "y"))
+
+
 @query("e13_crossed_rate", SQL + """, g AS (SELECT flag, status, avg(y) AS r, count(*) AS n FROM m WHERE flag IS NOT NULL GROUP BY ALL)
 SELECT flag, round(max(r) FILTER (status = 'F' AND n >= 50), 6) AS "F", round(max(r) FILTER (status = 'O' AND n >= 50), 6) AS "O" FROM g GROUP BY flag""")
 def e13(spark, sf):

@@ -75,6 +75,17 @@ def r3(spark, sf):
     return rounded(best(spark, sf))
 
 
+# Offers of equal type, discount, minimum and duration stand for each other; the SQL takes the full product.
+@query("r3_best_item_by_classes", SQL + """, todos AS (
+  SELECT b.cliente_id, b.time_since_test_start, o.offer_id, (length(b.ID) * 7 + o.discount_value * 3 + o.duration * 11 + b.time_since_test_start * 5) % 97 / 97.0::DOUBLE AS s FROM b CROSS JOIN fx_offers o)
+SELECT cliente_id, offer_id, round(s, 6) AS score_modelo, time_since_test_start FROM todos QUALIFY row_number() OVER (PARTITION BY cliente_id, time_since_test_start ORDER BY s DESC, offer_id) = 1""")
+def r3_classes(spark, sf):
+    rows, items = base(spark, sf)
+    columns = [ITEM, "offer_type", "discount_value", "min_value", "duration"]
+    score = (F.length(KEY) * 7 + F.col("discount_value") * 3 + F.col("duration") * 11 + F.col(ANCHOR_TIME) * 5) % 97 / 97.0
+    return rounded(R.best_item(rows, items.select(*columns), score, columns))
+
+
 @query("r4_offer_ranking", SQL + "SELECT offer_id, qtd, o.* EXCLUDE (offer_id) FROM (SELECT offer_id, count(*) AS qtd FROM melhor GROUP BY 1) LEFT JOIN fx_offers o USING (offer_id) ORDER BY qtd DESC, offer_id LIMIT 10")
 def r4(spark, sf):
     wide, _, items = scenarios(spark, sf)
