@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import VectorAssembler
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from waymark.operators.ordered import bin_of, column_quantiles, distinct_edges, equal_bin_of, equal_edges, running
-from waymark.session import pinned
-
 # Fixed value: share given to an empty bin.
 EMPTY_SHARE = 0.0001
 
@@ -151,24 +149,31 @@ def bin_shares(df: DataFrame, columns: list[str], period: str, n_bins: int = 10)
 def bin_groups(shares: DataFrame, period: str, n_clusters: int = 4, seed: int = 42) -> DataFrame:
     """Bins of each variable that move alike over the periods, named Bin_1, Bin_2, ...
 
-    The share table has variables x bins x periods rows; each variable's
-    bins are clustered by ``pyspark.ml`` on their shares.
+    All variables are clustered in one job: a group is one variable's bins,
+    a few rows with a share for each period.
     """
-    fixed, _ = pinned(shares)
-    periods = [r[0] for r in fixed.select(period).distinct().orderBy(period).collect()]
-    wide = fixed.groupBy("variavel", "bin").pivot(period, periods).agg(F.first("share")).na.fill(0.0)
-    names = [f"__p{i}" for i in range(len(periods))]
-    vectors = VectorAssembler(inputCols=names, outputCol="features").transform(wide.toDF("variavel", "bin", *names))
-    groups = []
-    for row in vectors.groupBy("variavel").count().orderBy("variavel").collect():
-        mine = vectors.filter(F.col("variavel") == row["variavel"])
-        k = min(n_clusters, row["count"])
-        if k < 2:
-            groups.append(mine.select("variavel", "bin", F.lit("Bin_1").alias("grupo")))
-            continue
-        model = KMeans(k=k, seed=seed, featuresCol="features").fit(mine)
-        groups.append(model.transform(mine).select("variavel", "bin", F.concat(F.lit("Bin_"), (F.col("prediction") + 1).cast("string")).alias("grupo")))
-    out = groups[0]
-    for g in groups[1:]:
-        out = out.unionByName(g)
-    return out
+    def clustered(rows: pd.DataFrame) -> pd.DataFrame:
+        wide = rows.pivot_table(index="bin", columns=period, values="share", fill_value=0.0).sort_index()
+        return pd.DataFrame({"variavel": rows["variavel"].iloc[0], "bin": wide.index, "grupo": [f"Bin_{g + 1}" for g in nearest_groups(wide.to_numpy(), n_clusters, seed)]})
+
+    return shares.groupBy("variavel").applyInPandas(clustered, "variavel string, bin int, grupo string")
+
+
+def nearest_groups(points: np.ndarray, k: int, seed: int, rounds: int = 100) -> list[int]:
+    """K-means of a few points: the group of each, numbered by their first points. Starts are far apart; ``seed`` picks the first."""
+    start = np.random.default_rng(seed).integers(len(points))
+    centres = [points[start]]
+    while len(centres) < k:
+        far = np.min([((points - c) ** 2).sum(axis=1) for c in centres], axis=0)
+        if far.max() == 0:
+            break  # fewer different points than groups
+        centres.append(points[far.argmax()])
+    centre, group = np.array(centres), None
+    for _ in range(rounds):
+        found = ((points[:, None] - centre[None]) ** 2).sum(axis=2).argmin(axis=1)
+        if group is not None and (found == group).all():
+            break
+        group = found
+        centre = np.array([points[group == g].mean(axis=0) if (group == g).any() else c for g, c in enumerate(centre)])
+    order = list(dict.fromkeys(group.tolist()))
+    return [order.index(g) for g in group.tolist()]

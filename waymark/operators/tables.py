@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from waymark.functions.columns import nan_to_null
-from waymark.session import pinned
+from waymark.session import pinned, written
 
+#: Levels that may become columns.
+MAX_LEVELS = 10_000
 INTEGERS = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 
 
@@ -131,12 +133,18 @@ def contingency(df: DataFrame, row: str, column: str, levels: list) -> DataFrame
 def crossed_rate(df: DataFrame, row: str, column: str, target: str, min_freq: int = 50) -> DataFrame:
     """Mean of the target per pair of levels, null where the pair is too rare.
 
-    The pairs are aggregated before the pivot, which then only rearranges them.
+    The pairs are aggregated and written before the pivot, which then only
+    rearranges them. Each level of ``column`` becomes a column; more than 10,000
+    are an error.
     """
     pairs = df.filter(F.col(row).isNotNull() & F.col(column).isNotNull()).groupBy(row, column).agg(
         F.avg(target).alias("mean"), F.count(target).alias("count")
     )
-    return pairs.groupBy(row).pivot(column).agg(F.max(F.when(F.col("count") >= min_freq, F.col("mean"))))
+    pairs = written(pairs, "pairs")
+    levels = [r[0] for r in pairs.select(column).distinct().orderBy(column).limit(MAX_LEVELS + 1).collect()]
+    if len(levels) > MAX_LEVELS:
+        raise ValueError(f"{column} has more than {MAX_LEVELS} levels")
+    return pairs.groupBy(row).pivot(column, levels).agg(F.max(F.when(F.col("count") >= min_freq, F.col("mean"))))
 
 
 def period_rates(df: DataFrame, period: str, target: str, names: tuple[str, str, str, str]) -> DataFrame:
