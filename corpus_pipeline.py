@@ -3,6 +3,12 @@
 Each stage reads all that the stage before it kept and is written as Parquet
 before the next. Null texts and texts of few words fall to the quality rules;
 rows with a null doc_id pass all stages. An empty table gives no rows.
+
+Repeated rows are judged alike by the quality rules; of all rows of one doc_id,
+as of all members of a class, near duplicates keep one, the least text of the
+least id. Ties of the mixture go by hash and id. Very long texts pass whole
+through all stages, and further columns, whatever their names, stay until the
+last stage, whose columns are its own.
 """
 
 from __future__ import annotations
