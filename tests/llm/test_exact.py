@@ -58,7 +58,7 @@ def test_subset_sums_equal_brute_force():
 @pytest.mark.parametrize("remembered", [40, 10**6])
 def test_word_ids_equal_the_tokenizer(remembered):
     tokenizer, ids = Tokenizer.from_file(PATH), packing.WordIds(PATH, 1, remembered)
-    texts = [t or "" for t in WEIRD] + ["x <|endoftext|>y <|startoftext|>", "don't I'll we", "e ́ x", "İSTANBUL ﬁ ẞ ǅ i̇", "a\x1cb a\xa0b", "12 3a4", "a‍b ﻿a", "The the THE"]
+    texts = [t or "" for t in WEIRD] + ["x <|endoftext|>y <|startoftext|>", "don't I'll we", "e ́ x", "İSTANBUL ﬁ ẞ ǅ i̇", "a\x1cb a\xa0b", "12 3a4", "a‍b ﻿a", "The the THE", "x''s'll 'S DON'T y'dz 'tis", "ÀÉÿßøØ×÷ª naïve's,ça3½ ŸÿŸ", "e\u0301te\u0301 été", "§¶­x \xadé", "~!@#$%^&*()_+{}|:\"<>?`-=[]\\;',./ a1b22c"]
     for text, raw in zip(texts, ids(texts)):
         assert list(struct.unpack(f"<{len(raw) // 4}I", raw)) == [*tokenizer.encode(text, add_special_tokens=False).ids, 1]
 
@@ -222,6 +222,32 @@ def test_pipeline_stages_follow_each_other(spark, sf):
     assert whole.count() == 0
 
 
+def test_pipeline_of_odd_and_empty_tables(spark, sf):
+    """Null, empty and very long texts, repeated rows, null ids and clashing columns go through all stages."""
+    import corpus_pipeline
+    real = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").limit(40).collect()]
+    long = " ".join(f"word{i % 977} of line {i}" + ("\n" if i % 9 == 0 else "") for i in range(90_000))
+    rows = real + list(enumerate(WEIRD, 10_000)) + [(20_000, long), (20_001, "x" * 1_500_000), (None, real[0][1]), real[1], (real[2][0], real[3][1])]
+    docs = documents(spark, rows)
+    seen = docs
+    for name, stage in corpus_pipeline.STAGES:
+        out = corpus_pipeline.written(stage(spark, seen, sf), "odd")
+        if name != "packing":
+            assert out.columns == docs.columns, name
+        ids = [r.doc_id for r in out.select("doc_id").collect()]
+        if name == "quality rules":
+            assert 10_000 not in ids and 10_001 not in ids and 20_001 not in ids
+        if name == "near duplicates":
+            named = [d for d in ids if d is not None]
+            assert len(named) == len(set(named))
+        seen = out
+    assert seen.count() > 0
+    empty = docs.limit(0)
+    for name, stage in corpus_pipeline.STAGES:
+        empty = corpus_pipeline.written(stage(spark, empty, sf), "none")
+        assert empty.count() == 0, name
+
+
 def test_secrets_of_other_forms_are_found_and_never_taught_as_clean(spark):
     key = "24be64439e3e49cf46b2d7c90f3602a3d0b907ff"
     forms = [  # text, value, whether its label must be positive

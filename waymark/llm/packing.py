@@ -5,15 +5,19 @@ remains. From the pool it fills one window at a time: the longest remaining
 length is set, and a subset-sum program over the multiset of the others, kept as
 the bits of one integer, finds the fullest window; backtracking gives how many
 of each length it takes, and the same choice is repeated while the pool can
-meet it. Windows the pool can't fill to the last token wait for more
-documents; at the end of a partition the rest is laid out in order and cut
-freely, the last cut at powers of two, so no sequence needs padding.
+meet it. Lengths with which no window fills to the last token wait for more
+documents. If too many wait, and at the end of a partition, the fullest windows
+are taken all the same and their slack is filled by cutting another piece; what
+is left in the end is less than a window and cut at powers of two, so no
+sequence needs padding.
 
 Nothing is shuffled. A task holds at most ``pool`` remainders.
 """
 
 from __future__ import annotations
 
+import re
+import struct
 import zlib
 from bisect import bisect_left
 from collections.abc import Callable, Iterator
@@ -27,36 +31,67 @@ from waymark.llm.text import chunks, strings, bounded_batches
 
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 _WIDTH = 4  # bytes of an id
+#: Byte-level vocabularies name printable bytes by themselves and the others by the characters from 256 on.
+_UNPRINTED = [b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or b >= 174)]
+_BYTE_NAMES = {b: 256 + i for i, b in enumerate(_UNPRINTED)}
 
 
 class WordIds:
     """Token ids of texts, each distinct word tokenized once while it is remembered.
 
     White space ends a word for tokenizers that drop it, so a text's ids are
-    its words' ids in a row. At most ``remembered`` words are kept.
+    its words' ids in a row. Words of printable ASCII and Latin letters need
+    no normalizing but lower case; they are cut where the tokenizer cuts them,
+    and their parts, with and without a comma or capital the same, go to its
+    model directly. At most ``remembered`` words, and as many parts, are kept.
     """
 
+    SIMPLE = re.compile(r"[!-~À-ÖØ-öø-ÿ]+")
+    #: Where the tokenizer cuts lower-cased simple words (fixed by its file): endings after an apostrophe, letters, single digits, other signs.
+    PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
+
     def __init__(self, path: str, end_id: int, remembered: int = 1_000_000) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model, self.simple, self.cut = self.tokenizer.model, self.SIMPLE.fullmatch, self.PARTS.findall
         self.end = end_id.to_bytes(_WIDTH, "little")
         self.remembered = remembered
         self.known: dict[bytes, bytes] = {}
+        self.parts: dict[str, bytes] = {}
 
     def learn(self, words: list[bytes]) -> None:
+        if len(self.parts) > self.remembered:
+            self.parts.clear()
+        other = []
+        for word in words:
+            text = word.decode()
+            # Words that may hold a special token are left to the tokenizer as they are.
+            if self.simple(text) and "<|" not in text:
+                self.known[word] = b"".join([self.parts.get(p) or self.part(p) for p in self.cut(text.lower())])
+            else:
+                other.append(word)
+        self.known.update(zip(other, self.encoded([w.decode() for w in other])))
+
+    def part(self, text: str) -> bytes:
+        """The ids of a part, which the model sees as the characters that stand for its bytes."""
+        ids = [t.id for t in self.model.tokenize(text.encode().decode("latin-1").translate(_BYTE_NAMES))]
+        self.parts[text] = found = struct.pack(f"<{len(ids)}I", *ids)
+        return found
+
+    def encoded(self, words: list[str]) -> Iterator[bytes]:
+        """The ids of words without white space, by the whole tokenizer."""
         import numpy as np
 
         for at in range(0, len(words), 256):
-            part = [w.decode() for w in words[at: at + 256]]
+            part = words[at: at + 256]
             encoded = self.tokenizer.encode(" ".join(part), add_special_tokens=False)
             ids = np.array(encoded.ids, dtype="<u4")
             places = np.fromiter((a for a, _ in encoded.offsets), dtype=np.int64, count=len(ids))
             starts = np.cumsum([0] + [len(w) + 1 for w in part])
             cuts = np.searchsorted(places, starts).tolist()
             raw = ids.tobytes()
-            for word, a, b in zip(words[at: at + 256], cuts, cuts[1:]):
-                self.known[word] = raw[_WIDTH * a: _WIDTH * b]
+            yield from (raw[_WIDTH * a: _WIDTH * b] for a, b in zip(cuts, cuts[1:]))
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         """The ids of each text and the end id, as little-endian bytes."""
@@ -148,9 +183,42 @@ class Packer:
                     lengths.remove(n)
                     del self.waiting[n], counts[n]
 
+    def cut(self, keep: int) -> None:
+        """Take the fullest windows until at most ``keep`` pieces or less than a window wait; a cut piece fills each one's slack."""
+        left = sum(n * len(p) for n, p in self.waiting.items())
+        while self.held > keep and left >= self.window:
+            counts = {n: len(p) for n, p in self.waiting.items()}
+            lengths = sorted(counts)
+            longest = lengths[-1]
+            counts[longest] -= 1
+            chosen = fullest(counts, lengths, self.window - longest)
+            pieces = [self.take(longest), *[self.take(n) for n, k in sorted(chosen.items(), reverse=True) for _ in range(k)]]
+            slack = self.window - sum(len(p[2]) // _WIDTH for p in pieces)
+            while slack:
+                lengths = sorted(self.waiting)
+                doc, start, ids, tokens = self.take(lengths[min(bisect_left(lengths, slack), len(lengths) - 1)])
+                n = min(slack, len(ids) // _WIDTH)
+                pieces.append((doc, start, ids[: _WIDTH * n], tokens))
+                slack -= n
+                if len(ids) > _WIDTH * n:
+                    self.waiting.setdefault(len(ids) // _WIDTH - n, []).append((doc, start + n, ids[_WIDTH * n:], tokens))
+                    self.held += 1
+            self.sequence(pieces)
+            left -= self.window
+
+    def take(self, length: int) -> tuple:
+        """One waiting piece of a length."""
+        held = self.waiting[length]
+        piece = held.pop()
+        if not held:
+            del self.waiting[length]
+        self.held -= 1
+        return piece
+
     def finish(self) -> None:
-        """Fill what can be filled; lay out the rest in order and cut it into windows, the last at powers of two."""
+        """Fill what can be filled, then cut; the last tokens, less than a window, go into sequences of powers of two."""
         self.fill(0)
+        self.cut(0)
         rest = [p for n in sorted(self.waiting, reverse=True) for p in self.waiting[n]]
         left = sum(len(p[2]) // _WIDTH for p in rest)
         self.waiting, self.held = {}, 0
@@ -186,8 +254,7 @@ def _packed(path: str, window: int, end_id: int, pool: int):
                     packer.add(doc, ids)
                 if packer.held > pool:
                     packer.fill(pool // 2)
-                    if packer.held > pool:  # no window fills exactly: lay out what waits
-                        packer.finish()
+                    packer.cut(pool)
                 yield flushed()
         packer.finish()
         yield flushed()
