@@ -96,30 +96,52 @@ def test_grades_of_odd_rows(spark):
 
 
 def test_neighbours_equal_brute_force_cosine():
-    rng = random.Random(2)
-    vocabulary = np.sort(np.random.default_rng(0).integers(0, 1 << 62, 12).astype(np.uint64))
-    idf = np.random.default_rng(1).uniform(1, 5, 12)
-    examples = []
-    for d in range(900):
-        places = tuple(sorted(rng.sample(range(12), rng.randrange(0, 4))))
-        examples.append((d, int(rng.random() < 0.3), places, tuple(rng.randrange(1, 4) for _ in places)))
-    index = toxicity.build(vocabulary, idf, 4.0, examples)
-    assert int(index.rows.sum()) == 900 and len(index.ids) > 2 * toxicity.BLOCK
-    keys = sorted({e[2:] for e in examples})
-
-    def dense(key):
-        v = np.zeros(13)
-        terms, weights = index.vector(*key)
-        v[terms] = weights
+    rng, size = random.Random(2), 400
+    vocabulary = np.sort(np.random.default_rng(0).integers(0, 1 << 62, size).astype(np.uint64))
+    weights = np.random.default_rng(1).uniform(0.2, 5, size)
+
+    def vector():
+        # Few terms are in most texts, most terms in few.
+        places = sorted({min(size - 1, int(size * rng.random() ** 4)) for _ in range(rng.randrange(0, 12))})
+        return np.array(places, np.int64), np.array([rng.randrange(1, 4) for _ in places], np.int32)
+
+    examples = [(d, int(rng.random() < 0.3), *vector()) for d in range(900)]
+    examples += [(900 + d, 1, *examples[5][2:]) for d in range(40)]  # copies
+    index = toxicity.build(vocabulary, weights, examples)
+    assert int(index.rows.sum()) == 940 and len(index.ids) > 2 * toxicity.BLOCK
+    assert 0 < (index.columns >= 0).sum() < size
+
+    def dense(places, counts):
+        v = np.zeros(size)
+        v[places] = index.vector(places, counts)
         return v
 
-    table = np.stack([dense(k) for k in keys])
-    for key in keys[::9] + [((), ()), ((0, 5, 9, 11), (9, 1, 1, 2))]:
-        cosine = table @ dense(key)
-        order = sorted(range(len(keys)), key=lambda i: (-round(cosine[i], 12), index.ids[i]))
+    entry = {}
+    for d, _, places, counts in examples:
+        entry.setdefault((places.tobytes(), counts.tobytes()), (d, places, counts))
+    by_id = {d: dense(places, counts) for d, places, counts in entry.values()}
+    table = np.stack([by_id[d] for d in index.ids.tolist()])
+    queries = [e[2:] for e in examples[::9]] + [vector() for _ in range(300)] + [(np.zeros(0, np.int64), np.zeros(0, np.int32))]
+    edges = np.append(0, np.cumsum([len(q[0]) for q in queries])).tolist()
+    got = list(index.neighbours(edges, np.concatenate([q[0] for q in queries]), np.concatenate([q[1] for q in queries]), 15, index.matrix()))
+    assert len(got) == len(queries)
+    for query, (near, cosines) in zip(queries, got):
+        # Stored weights are single precision, so nearly equal cosines may change places; the cosines themselves may not.
+        want = table @ dense(*query)
+        order = sorted(np.flatnonzero(want > 0).tolist(), key=lambda i: (-round(want[i], 6), index.ids[i]))
         held = np.cumsum(index.rows[order])
-        want = order[: int(np.searchsorted(held, 15)) + 1]
-        assert [e for e, _ in index.neighbours(*key, 15)] == want
+        order = order[: int(np.searchsorted(held, 15)) + 1]
+        assert len(near) <= 15 and index.rows[near].sum() >= min(15, index.rows[want > 0].sum())
+        m = min(len(near), len(order))
+        assert abs(len(near) - len(order)) <= 1 and np.allclose(want[near], cosines, atol=1e-6) and np.allclose(want[order][:m], cosines[:m], atol=1e-6)
+
+
+def test_weights_of_terms_leave_none_out_and_settle():
+    share = np.array([0, 0.3, 0.02, 0.5])  # of toxic texts; the second term tells, the last is in half of all
+    clean = np.array([0.001, 0.0, 0.02, 0.5])
+    small, large = (toxicity.telling(share * n, clean * 9 * n, n, 9 * n) for n in (100, 1_000_000))
+    for weights in (small, large):
+        assert (weights >= 0.05).all() and weights.argmax() == 1 and math.isclose(weights[2], 0.05) and math.isclose(weights[3], 0.05)
 
 
 def test_isotonic_rises_and_keeps_the_mean():
@@ -132,11 +154,12 @@ def test_isotonic_rises_and_keeps_the_mean():
 
 def test_toxicity_on_held_out_rows(spark):
     import __spark_entry__ as entry
-    sf = "/root/testdata/sf0.1"  # smaller tables label too few toxic texts to learn from
-    rows = entry.queries()["op4_toxicity"](spark, sf).join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id").filter("held_out").collect()
-    toxic, called = [r for r in rows if r.toxic], [r for r in rows if r.predicted]
-    assert sum(r.predicted for r in toxic) >= 0.9 * len(toxic) and sum(r.toxic for r in called) >= 0.9 * len(called)
-    assert all(0 <= r.score <= 1 and r.evidence_ids for r in rows)
+    for sf, recall, precision in (("0.01", 0.7, 0.7), ("0.1", 0.9, 0.9)):
+        path = f"/root/testdata/sf{sf}"
+        rows = entry.queries()["op4_toxicity"](spark, path).join(spark.read.parquet(f"{path}/labels.parquet"), "doc_id").filter("held_out").collect()
+        toxic, called = [r for r in rows if r.toxic], [r for r in rows if r.predicted]
+        assert sum(r.predicted for r in toxic) >= recall * len(toxic) and sum(r.toxic for r in called) >= precision * len(called)
+        assert all(0 <= r.score <= 1 for r in rows) and sum(bool(r.evidence_ids) for r in rows) > 0.99 * len(rows)
 
 
 def test_toxicity_of_odd_rows(spark):

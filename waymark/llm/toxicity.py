@@ -1,32 +1,38 @@
 """Toxicity by nearest labelled examples under TF-IDF cosine, found in a block-max inverted index.
 
 Terms are words in lower case and, of words longer than six bytes, their first
-six. The index keeps the terms that labelled examples tell toxic and clean
-apart by; one background term that every text has lets the cosine tell one such
-word from many. Inverse document frequencies count all documents.
+six. Every term of the labelled examples is indexed. A term weighs by its
+inverse document frequency, counted over all documents, and by how surely it
+tells toxic from clean examples; terms that say nothing about the label keep a
+small weight, so none is left out.
 
 Examples of equal vectors are one entry. Entries stand in blocks; each term
-keeps its greatest weight in each block. A query sums these to a bound for each
-block and visits blocks from the highest bound down, until no bound reaches the
-last neighbour it needs, so the neighbours are exact. Votes weigh by distance
-and are calibrated on examples that are not in the index.
+keeps its greatest weight in each block where it occurs. Terms of at least
+one in ``DENSE`` entries stand in most blocks; their part of the cosine is one
+matrix product for a batch of texts. Its greatest value in a block and the
+weights of the other terms there give the block's bound. A query visits blocks
+from the highest bound down, until no bound reaches the last neighbour it
+needs, so the neighbours are exact. Votes weigh by distance and are calibrated
+on examples that are not in the index.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from waymark.llm.text import bytes_of, grams, hashed_words, labelled_texts, mapped, mixed, run_hashes, strings
+from waymark.llm.text import bounded_batches, bytes_of, chunks, grams, hashed_words, labelled_texts, mapped, mixed, run_hashes, strings
 from waymark.session import written
 
 STEM_BYTES = 6
 BLOCK = 64
+#: Terms of at least one in so many entries are kept as whole columns.
+DENSE = 32
 
 _LETTER = np.zeros(256, dtype=bool)
 _LETTER[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
@@ -66,73 +72,129 @@ def _counts(column: pa.Array, vocabulary: np.ndarray) -> tuple[np.ndarray, np.nd
     return pairs // max(1, len(vocabulary)), pairs % max(1, len(vocabulary)), counts
 
 
+def _ranges(first: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """The numbers of all ranges, one after the other."""
+    sizes = end - first
+    return np.repeat(first - (np.cumsum(sizes) - sizes), sizes) + np.arange(int(sizes.sum()))
+
+
 @dataclass(frozen=True)
 class Index:
     vocabulary: np.ndarray  # sorted term hashes
-    idf: np.ndarray
-    background: float
+    weights: np.ndarray  # of each term
     ids: np.ndarray  # the least doc_id of each entry
     rows: np.ndarray  # examples behind each entry
     toxic: np.ndarray  # toxic ones among them
-    postings: list  # for each term, and last for the background: entries and weights
-    tops: np.ndarray  # blocks x terms: greatest weight
+    cells: np.ndarray  # for each term, its first cell: a block where it occurs (one entry more than terms)
+    blocks: np.ndarray  # of each cell
+    tops: np.ndarray  # greatest weight in each cell
+    starts: np.ndarray  # for each cell, its first posting (one entry more than cells)
+    entries: np.ndarray  # of each posting
+    values: np.ndarray
+    columns: np.ndarray  # the column of each term of at least one in DENSE entries, else -1
     knots: tuple = ((), ())  # raw votes and calibrated scores
 
-    def vector(self, places: tuple, counts: tuple) -> tuple[np.ndarray, np.ndarray]:
-        terms = np.append(np.array(places, np.int64), len(self.vocabulary))
-        weights = np.append((1 + np.log(np.array(counts, float))) * self.idf[list(places)] if places else [], self.background)
-        return terms, weights / np.sqrt((weights**2).sum())
-
-    def neighbours(self, places: tuple, counts: tuple, k: int) -> list[tuple[int, float]]:
-        """Entries in order of cosine, ties to smaller ids, until they stand for k examples."""
-        terms, weights = self.vector(places, counts)
-        bounds = self.tops[:, terms] @ weights
-        found: list[tuple[float, int, int]] = []
-        for block in np.argsort(-bounds, kind="stable").tolist():
-            if found and sum(self.rows[e] for _, _, e in found) >= k and bounds[block] < -found[-1][0] - 1e-9:
-                break
-            base = block * BLOCK
-            sums = np.zeros(min(BLOCK, len(self.ids) - base))
-            for term, weight in zip(terms.tolist(), weights.tolist()):
-                entries, values = self.postings[term]
-                a, b = np.searchsorted(entries, (base, base + BLOCK))
-                sums[entries[a:b] - base] += weight * values[a:b]
-            found = sorted(found + [(-round(s, 12), int(self.ids[base + i]), base + i) for i, s in enumerate(sums.tolist())])
-            held = np.cumsum([self.rows[e] for _, _, e in found])
-            found = found[: int(np.searchsorted(held, k)) + 1]
-        return [(e, min(1.0, -s)) for s, _, e in found]
-
-    def vote(self, near: list[tuple[int, float]]) -> float:
-        """The weighted share of toxic examples; a hundredth of a right angle off counts half as much as no distance."""
-        weight = np.array([1 / (0.01 + max(0.0, 1 - s)) for _, s in near])
-        entries = [e for e, _ in near]
+    def vector(self, places: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        weights = (1 + np.log(counts)) * self.weights[places]
+        return weights / np.sqrt((weights**2).sum()) if len(weights) else weights
+
+    def matrix(self) -> np.ndarray:
+        """Weights of the terms that have a column: columns x entries, in whole blocks."""
+        out = np.zeros((int(self.columns.max(initial=-1)) + 1, -(-len(self.ids) // BLOCK) * BLOCK))
+        for term in np.flatnonzero(self.columns >= 0).tolist():
+            a, b = self.starts[self.cells[term: term + 2]]
+            out[self.columns[term], self.entries[a:b]] = self.values[a:b]
+        return out
+
+    def neighbours(self, edges: list[int], places: np.ndarray, counts: np.ndarray, k: int, matrix: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """For each text its nearest entries that share a term and their cosines.
+
+        Text i holds the terms from ``edges[i]`` to ``edges[i + 1]``. Entries come highest cosine first,
+        ties to smaller ids, until they stand for ``k`` examples.
+        """
+        weights = np.concatenate([self.vector(places[a:b], counts[a:b]) for a, b in zip(edges, edges[1:])] or [np.zeros(0)])
+        column = self.columns[places]
+        for low in range(0, len(edges) - 1, 256):
+            some = edges[low: low + 257]
+            inner = np.flatnonzero(column[some[0]: some[-1]] >= 0) + some[0]
+            dense = np.zeros((len(some) - 1, len(matrix)))
+            dense[np.searchsorted(some, inner, side="right") - 1, column[inner]] = weights[inner]
+            shares = (dense @ matrix).reshape(len(some) - 1, -1, BLOCK)
+            tops = shares.max(axis=2, initial=0.0)
+            for i, (a, b) in enumerate(zip(some, some[1:])):
+                rest = column[a:b] < 0
+                yield self._nearest(places[a:b][rest], weights[a:b][rest], shares[i], tops[i], k)
+
+    def _nearest(self, places: np.ndarray, weights: np.ndarray, shares: np.ndarray, tops: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        first, end = self.cells[places], self.cells[places + 1]
+        cells, weights = _ranges(first, end), np.repeat(weights, end - first)
+        block = self.blocks[cells]
+        bounds = tops + np.bincount(block, weights * self.tops[cells], minlength=len(tops))
+        order = np.argsort(-bounds, kind="stable")
+        order = order[bounds[order] > 0]
+        near, cosines = np.zeros(0, np.int64), np.zeros(0)
+        done, step, enough = 0, 4, False
+        while done < len(order) and not (enough and bounds[order[done]] < cosines[-1] - 1e-9):
+            chosen = order[done: done + step]
+            place = np.full(len(tops), -1)
+            place[chosen] = np.arange(len(chosen)) * BLOCK
+            take = place[block] >= 0
+            first, end = self.starts[cells[take]], self.starts[cells[take] + 1]
+            posting = _ranges(first, end)
+            at = self.entries[posting] % BLOCK + np.repeat(place[block[take]], end - first)
+            sums = np.bincount(at, np.repeat(weights[take], end - first) * self.values[posting], minlength=len(chosen) * BLOCK)
+            sums = np.round(sums + shares[chosen].ravel(), 12)
+            hit = np.flatnonzero(sums >= cosines[-1] if enough else sums > 0)
+            near, cosines = np.append(near, chosen[hit // BLOCK] * BLOCK + hit % BLOCK), np.append(cosines, sums[hit])
+            best = np.lexsort((self.ids[near], -cosines))
+            held = np.cumsum(self.rows[near[best]])
+            best = best[: int(np.searchsorted(held, k)) + 1]
+            near, cosines, enough = near[best], cosines[best], len(held) > 0 and held[-1] >= k
+            done, step = done + step, 2 * step
+        return near, np.minimum(1.0, cosines)
+
+    def vote(self, near: np.ndarray, cosines: np.ndarray) -> float:
+        """The weighted share of toxic examples; a hundredth of a right angle off counts half as much as no distance.
+
+        Without a neighbour it is the share of toxic examples in all.
+        """
+        if not len(near):
+            return float(self.toxic.sum() / max(1, self.rows.sum()))
         # An entry of very many examples says no more than its share of them.
-        rows = np.minimum(self.rows[entries], 50)
-        return float((weight * rows * self.toxic[entries] / self.rows[entries]).sum() / (weight * rows).sum()) if near else 0.0
+        weight = np.minimum(self.rows[near], 50) / (0.01 + np.maximum(0.0, 1 - cosines))
+        return float((weight * self.toxic[near] / self.rows[near]).sum() / weight.sum())
 
     def calibrated(self, raw: float) -> float:
         x, y = self.knots
         return 0.98 * float(np.interp(raw, x, y)) + 0.02 * raw if len(x) else raw
 
 
-def build(vocabulary: np.ndarray, idf: np.ndarray, background: float, examples: list[tuple[int, int, tuple, tuple]]) -> Index:
+def build(vocabulary: np.ndarray, weights: np.ndarray, examples: list[tuple[int, int, np.ndarray, np.ndarray]]) -> Index:
     """An index of examples (doc_id, toxic, places, counts)."""
-    entries: dict = {}
-    for doc_id, toxic, places, counts in sorted(examples):
-        held = entries.setdefault((places, counts), [doc_id, 0, 0])
-        held[1] += 1
-        held[2] += toxic
-    keys = sorted(entries)  # neighbours in this order share terms, which keeps block bounds tight
-    n, width = len(keys), len(vocabulary) + 1
-    index = Index(vocabulary, idf, background, np.array([entries[k][0] for k in keys], np.int64), np.array([entries[k][1] for k in keys], np.int64), np.array([entries[k][2] for k in keys], np.int64), [], np.zeros((-(-n // BLOCK), width)))
-    lists: list[tuple[list, list]] = [([], []) for _ in range(width)]
-    for i, key in enumerate(keys):
-        for term, weight in zip(*(v.tolist() for v in index.vector(*key))):
-            lists[term][0].append(i)
-            lists[term][1].append(weight)
-            index.tops[i // BLOCK, term] = max(index.tops[i // BLOCK, term], weight)
-    index.postings.extend((np.array(e, np.int64), np.array(w)) for e, w in lists)
-    return index
+    held: dict = {}
+    for doc_id, toxic, places, counts in sorted(examples, key=lambda e: e[0]):
+        entry = held.setdefault((places.tobytes(), counts.tobytes()), [doc_id, 0, 0, places, counts])
+        entry[1] += 1
+        entry[2] += toxic
+    # Entries whose weightiest terms agree stand together, which keeps block bounds tight.
+    leading = lambda e: e[3][np.argsort(-(1 + np.log(e[4])) * weights[e[3]], kind="stable")[:8]].tolist()
+    rows = sorted(held.values(), key=lambda e: (leading(e), e[0]))
+    column = lambda i: np.array([e[i] for e in rows], np.int64)
+    none = np.zeros(0, np.int64)
+    shell = Index(vocabulary, weights, column(0), column(1), column(2), *[none] * 7)
+    term = np.concatenate([e[3] for e in rows] or [none])
+    entry = np.repeat(np.arange(len(rows)), [len(e[3]) for e in rows])
+    value = np.concatenate([shell.vector(e[3], e[4]) for e in rows] or [np.zeros(0)])
+    order = np.lexsort((entry, term))
+    term, entry, value = term[order], entry[order], value[order].astype(np.float32)
+    new = np.ones(len(term), dtype=bool)
+    new[1:] = (term[1:] != term[:-1]) | (entry[1:] // BLOCK != entry[:-1] // BLOCK)
+    starts = np.flatnonzero(new)
+    tops = np.maximum.reduceat(value, starts) if len(starts) else value
+    cells = np.searchsorted(term[starts], np.arange(len(vocabulary) + 1))
+    common = np.bincount(term, minlength=len(vocabulary)) * DENSE >= max(1, len(rows))
+    return replace(
+        shell, columns=np.where(common, np.cumsum(common) - 1, -1), cells=cells, blocks=(entry[starts] // BLOCK).astype(np.int32), tops=tops, starts=np.append(starts, len(term)).astype(np.int32), entries=entry.astype(np.int32), values=value)
 
 
 def isotonic(x: np.ndarray, y: np.ndarray) -> tuple[tuple, tuple]:
@@ -160,88 +222,97 @@ def _family(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(least, pa.int64())], names=["doc_id", "family"])
 
 
-def _term_rows(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+def _term_lists(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
     terms, text = terms_of(strings(batch.column("text")))
-    order = np.lexsort((text, terms))
+    order = np.lexsort((terms, text))
     terms, text = terms[order], text[order]
-    once = np.append(True, (terms[1:] != terms[:-1]) | (text[1:] != text[:-1])) if len(terms) else np.zeros(0, bool)
-    toxic = batch.column("toxic").to_numpy()[text[once]]
-    terms, first, n = np.unique(terms[once], return_index=True, return_counts=True)
-    yield pa.RecordBatch.from_pydict({"term": pa.array(terms.view(np.int64)), "n": pa.array(n), "bad": pa.array(np.add.reduceat(toxic, first).astype(np.int64) if len(first) else np.zeros(0, np.int64))})
+    new = np.ones(len(terms), dtype=bool)
+    new[1:] = (terms[1:] != terms[:-1]) | (text[1:] != text[:-1])
+    first = np.flatnonzero(new)
+    edges = np.searchsorted(text[first], np.arange(batch.num_rows + 1)).astype(np.int32)
+    lists = lambda v: pa.ListArray.from_arrays(pa.array(edges), pa.array(v))
+    counts = np.diff(np.append(first, len(terms)))
+    yield pa.RecordBatch.from_arrays(
+        [batch.column("doc_id"), batch.column("toxic").cast(pa.int32()), lists(terms[first].view(np.int64)), lists(counts.astype(np.int32))], names=["doc_id", "toxic", "terms", "counts"])
 
 
-def _vectors(vocabulary: np.ndarray):
-    def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        text, place, count = _counts(strings(batch.column("text")), vocabulary)
-        edges = np.searchsorted(text, np.arange(batch.num_rows + 1)).astype(np.int32)
-        lists = lambda v: pa.ListArray.from_arrays(pa.array(edges), pa.array(v.astype(np.int32)))
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("toxic").cast(pa.int32()), lists(place), lists(count)], names=["doc_id", "toxic", "places", "counts"])
+def _frequencies(vocabulary: np.ndarray):
+    """Documents that hold each term of the vocabulary: one row a term and task, and one of place -1 for all documents."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen, total = np.zeros(len(vocabulary), np.int64), 0
+        for batch in batches:
+            texts = strings(batch.column("text"))
+            for start, end in chunks(texts):
+                _, place, _ = _counts(texts.slice(start, end - start), vocabulary)
+                seen += np.bincount(place, minlength=len(vocabulary))
+            total += batch.num_rows
+        place = np.flatnonzero(seen)
+        for a in range(0, len(place), 100_000):
+            yield pa.RecordBatch.from_pydict({"place": pa.array(place[a: a + 100_000].astype(np.int32)), "n": pa.array(seen[place[a: a + 100_000]])})
+        yield pa.RecordBatch.from_pydict({"place": pa.array([-1], pa.int32()), "n": pa.array([total], pa.int64())})
     return run
 
 
-def _frequencies(vocabulary: np.ndarray):
-    def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        _, place, _ = _counts(strings(batch.column("text")), vocabulary)
-        df = np.bincount(place, minlength=len(vocabulary) + 1)
-        df[-1] = batch.num_rows
-        yield pa.RecordBatch.from_pydict({"place": pa.array(np.flatnonzero(df).astype(np.int32)), "n": pa.array(df[df > 0].astype(np.int64))})
-    return run
+def telling(toxic_with: np.ndarray, clean_with: np.ndarray, toxic: int, clean: int, errors: float = 3.0, floor: float = 0.05) -> np.ndarray:
+    """A weight for how surely terms go with the label: the log odds ratio's size less ``errors`` standard errors, at least 0, plus ``floor``.
 
+    It tends to the ratio itself as examples grow in number, so it doesn't depend on how many there are.
+    """
+    a, b, c, d = toxic_with + 0.5, toxic - toxic_with + 0.5, clean_with + 0.5, clean - clean_with + 0.5
+    return floor + np.maximum(0.0, np.abs(np.log(a * d / (b * c))) - errors * np.sqrt(1 / a + 1 / b + 1 / c + 1 / d))
 
-def fit(docs: DataFrame, labels: DataFrame, train_documents: int = 20_000, vocabulary_size: int = 128, association: float = 20.0, k: int = 15, background: float = 4.0) -> Index:
-    """The index of at most ``train_documents`` labelled texts, those of least id hash.
+
+def fit(docs: DataFrame, labels: DataFrame, train_documents: int = 4_000, k: int = 15) -> Index:
+    """The index of at most ``train_documents`` labelled texts, those of least id hash, with all their terms.
 
     Three quarters of them are indexed and the rest calibrate. Of near copies
-    one text counts when terms are chosen: the at most ``vocabulary_size`` ones
-    whose log-likelihood ratio with the label is highest, and above ``association``.
+    one text counts in the weights of terms. The texts of a sample this size
+    come to the driver as counts of terms, never as texts.
     """
     labelled = labels.filter("toxic in (0, 1) and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     sample = written(labelled_texts(docs, labelled, "toxic", train_documents), "labelled")
-    families = mapped(sample.select("doc_id", "text"), _family, "doc_id long, family long")
-    ones = F.broadcast(families.groupBy("family").agg(F.min("doc_id").alias("doc_id")).select("doc_id").distinct())  # at most train_documents rows
-    rows = mapped(sample.join(ones, "doc_id").select("text", "toxic"), _term_rows, "term long, n long, bad long").groupBy("term").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
-    total, bad = sample.join(ones, "doc_id").agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
-    if 0 < bad < total:
-        part = lambda seen, all_: F.when(seen > 0, seen * F.log(seen / all_)).otherwise(0.0)
-        n, b, rate = F.col("n").cast("double"), F.col("bad").cast("double"), bad / total
-        ratio = 2 * (part(b, n * rate) + part(n - b, n * (1 - rate)) + part(bad - b, (total - n) * rate) + part((total - bad) - (n - b), (total - n) * (1 - rate)))
-        best = rows.filter("n >= 3").withColumn("ratio", ratio).filter(F.col("ratio") >= association).orderBy(F.desc("ratio"), "term").limit(vocabulary_size)
-        vocabulary = np.sort(np.array([r["term"] for r in best.select("term").collect()], np.int64).view(np.uint64))
-    else:
-        vocabulary = np.zeros(0, np.uint64)
-    df = np.zeros(len(vocabulary) + 1)
-    for r in mapped(docs.select("text"), _frequencies(vocabulary), "place int, n long").groupBy("place").agg(F.sum("n").alias("n")).collect():
-        df[r["place"]] = r["n"]
-    idf = 1 + np.log((df[-1] + 1) / (df[:-1] + 1))
-    held = mapped(sample, _vectors(vocabulary), "doc_id long, toxic int, places array<int>, counts array<int>").toArrow().to_pylist()
-    examples = sorted((r["doc_id"], r["toxic"], tuple(r["places"]), tuple(r["counts"])) for r in held)
-    tuning = [e for i, e in enumerate(examples) if i % 4 == 3]
-    index = build(vocabulary, idf, background, [e for i, e in enumerate(examples) if i % 4 != 3])
-    if 0 < sum(e[1] for e in tuning) < len(tuning) and len(index.ids):
-        votes: dict = {}
-        raw = [votes.setdefault(e[2:], index.vote(index.neighbours(*e[2:], k))) if e[2:] not in votes else votes[e[2:]] for e in tuning]
-        index = Index(**(index.__dict__ | {"knots": isotonic(np.array(raw), np.array([e[1] for e in tuning]))}))
+    families = dict(mapped(sample.select("doc_id", "text"), _family, "doc_id long, family long").toPandas().sort_values("doc_id", ascending=False)[["family", "doc_id"]].itertuples(index=False))
+    table = mapped(sample, _term_lists, "doc_id long, toxic int, terms array<long>, counts array<int>").toArrow().sort_by("doc_id")
+    ids, toxic = table["doc_id"].to_numpy(), table["toxic"].to_numpy().astype(np.int64)
+    terms, counts = (table[c].combine_chunks() for c in ("terms", "counts"))
+    sizes = np.array(terms.value_lengths(), np.int64)
+    vocabulary, place = np.unique(terms.flatten().to_numpy().view(np.uint64), return_inverse=True)
+    one = np.isin(ids, list(families.values()))
+    owner = np.repeat(np.arange(len(ids)), sizes)
+    with_ = [np.bincount(place[(one & (toxic == v))[owner]], minlength=len(vocabulary)) for v in (1, 0)]
+    weights = telling(*with_, int((one & (toxic == 1)).sum()), int((one & (toxic == 0)).sum()))
+    bounded_batches(docs.sparkSession)
+    counted = docs.select("text").mapInArrow(_frequencies(vocabulary), "place int, n long").groupBy("place").agg(F.sum("n").alias("n")).toArrow()
+    at, n = counted["place"].to_numpy(), counted["n"].to_numpy()
+    df = np.zeros(len(vocabulary))
+    df[at[at >= 0]] = n[at >= 0]
+    weights *= 1 + np.log((n[at < 0].sum() + 1) / (df + 1))
+    edges, flat = np.append(0, np.cumsum(sizes)).tolist(), counts.flatten().to_numpy()
+    examples = [(d, t, place[a:b], flat[a:b]) for d, t, a, b in zip(ids.tolist(), toxic.tolist(), edges, edges[1:])]
+    tuning = examples[3::4]
+    index = build(vocabulary, weights, [e for i, e in enumerate(examples) if i % 4 != 3])
+    if 0 < sum(e[1] for e in tuning) < len(tuning):
+        held = np.append(0, np.cumsum([len(e[2]) for e in tuning])).tolist()
+        raw = [index.vote(*n) for n in index.neighbours(held, np.concatenate([e[2] for e in tuning]), np.concatenate([e[3] for e in tuning]), k, index.matrix())]
+        index = replace(index, knots=isotonic(np.array(raw), np.array([e[1] for e in tuning])))
     return index
 
 
 def _scored(index: Index, k: int, evidence: int):
-    known: dict = {}
-
-    def score(key: tuple) -> tuple:
-        if key not in known:
-            if len(known) > 100_000:
-                known.clear()
-            near = index.neighbours(*key, k) if len(index.ids) else []
-            known[key] = (index.calibrated(index.vote(near)), [int(index.ids[e]) for e, _ in near[:evidence]], [s for _, s in near[:evidence]])
-        return known[key]
+    made: list[np.ndarray] = []  # the matrix is cheaper to make in each task than to send
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         text, place, count = _counts(strings(batch.column("text")), index.vocabulary)
         edges = np.searchsorted(text, np.arange(batch.num_rows + 1)).tolist()
-        place, count = place.tolist(), count.tolist()
-        scores, ids, near = zip(*(score((tuple(place[a:b]), tuple(count[a:b]))) for a, b in zip(edges, edges[1:])))
+        scores, ids, cosines = [], [], []
+        if not made:
+            made.append(index.matrix())
+        for near, cosine in index.neighbours(edges, place, count, k, made[0]):
+            scores.append(index.calibrated(index.vote(near, cosine)))
+            ids.append(index.ids[near[:evidence]].tolist())
+            cosines.append(cosine[:evidence].tolist())
         yield pa.RecordBatch.from_arrays([
-            batch.column("doc_id"), pa.array(scores, pa.float64()), pa.array(ids, pa.list_(pa.int64())), pa.array(near, pa.list_(pa.float64())),
+            batch.column("doc_id"), pa.array(scores, pa.float64()), pa.array(ids, pa.list_(pa.int64())), pa.array(cosines, pa.list_(pa.float64())),
         ], names=["doc_id", "score", "evidence_ids", "evidence_cosines"])
     return run
 
@@ -249,9 +320,11 @@ def _scored(index: Index, k: int, evidence: int):
 def score(docs: DataFrame, index: Index, k: int = 15, evidence: int = 5) -> DataFrame:
     """A score from 0 to 1 for each row: doc_id, score, evidence_ids, evidence_cosines (the nearest examples).
 
-    Null, empty and unknown texts have the background term alone and score as
-    such examples do. Without labelled examples every score is 0 and there is
-    no evidence. A null doc_id passes through. Other columns are ignored.
+    Null and empty texts, and texts without any term of an example, have no
+    evidence and score by the share of toxic examples. Without labelled
+    examples every score is 0. Repeated rows are scored alike, each for itself;
+    very long texts are scored whole. A null doc_id passes through. Other
+    columns are ignored.
     """
     schema = "doc_id long, score double, evidence_ids array<long>, evidence_cosines array<double>"
     return mapped(docs.select("doc_id", "text"), _scored(index, k, evidence), schema)
