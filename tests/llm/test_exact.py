@@ -282,3 +282,25 @@ def test_the_dictionary_counts_whole_texts_of_all_documents(spark):
     total = sum(n * (len(w) - 1) for w, n in counts.items())
     assert abs(dictionary.pairs["la"] - math.log(counts["plain"] / total)) < 1e-12 and "öß" in dictionary.pairs
     assert secret_scan.learn_dictionary(documents(spark, [])) == secret_scan.Dictionary()
+
+
+def test_the_forest_corrects_the_rule_that_labels(spark):
+    rng = random.Random(4)
+    code = lambda: "".join(rng.choice("0123456789abcdef") for _ in range(40))
+    word = lambda: "".join(rng.choice(["ber", "ing", "tion", "ent", "heit", "ou", "an"]) for _ in range(6))
+    train = [f'say {word()[:5]} token = "{code()}" {word()[:6]}' for _ in range(150)] + [f"in {word()[:4]} {word()} of {word()[:5]}" for _ in range(150)]
+    train += [f"no {rng.randrange(10**15, 10**16)} at {word()[:4]}" for _ in range(60)] + [f'password = "your-{word()}-here" {word()[:5]}' for _ in range(40)]
+    train += [f"see commit {code()} by {word()[:5]}" for _ in range(40)]
+    found = secret_scan.candidates(documents(spark, list(enumerate(train))))
+    dictionary = secret_scan.learn_dictionary(documents(spark, list(enumerate(train))))
+    model = secret_scan.fit(secret_scan.labelled_by_name(found), dictionary)
+    weight = {n: float(model.forest.featureImportances[i]) for i, n in enumerate(secret_scan.FEATURES)}
+    assert sum(weight[n] for n in ("assigned", "quoted", "name_bucket")) < 0.5, weight  # what repeats the rule doesn't decide by itself
+    # Rule and truth differ here: keys in prose without a name, placeholders the rule doesn't know, and digests.
+    # Quoted phrases after a name aren't among them: they may be passphrases.
+    planted = [(f"we {word()[:5]} the {code()} and {word()[:5]}", True) for _ in range(40)] + [(f'token = "our-{word()}-goes" {word()[:5]}', False) for _ in range(40)]
+    planted += [(f"at commit {code()} of {word()[:5]}", False) for _ in range(40)]
+    docs = documents(spark, [(i, t) for i, (t, _) in enumerate(planted)])
+    called = {r.doc_id for r in secret_scan.scan(secret_scan.candidates(docs), model).filter("is_secret").collect()}
+    truth = {i for i, (_, secret) in enumerate(planted) if secret}
+    assert len(called & truth) >= 0.9 * len(truth) and len(called & truth) >= 0.8 * len(called), [len([c for c in called if a <= c < a + 40]) for a in (0, 40, 80)]

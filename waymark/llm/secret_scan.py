@@ -5,7 +5,10 @@ written in, or a shorter value of any signs that is quoted, assigned to a name
 or sent in an authorization header. The forest sees its length, how often
 neighbouring characters change class, how usual its letter pairs are, how much
 of it a word list covers, the path it comes from and the words and signs around
-it. It is trained on labelled findings.
+it. It is trained on labelled findings, each once as it stands and once without
+the name it is assigned to and its quotes. Where a name labels the findings, the
+forest so has to learn what keys look like, finds keys without a name, and lets
+go of named values that look like none.
 
 Everything here is DataFrame and SQL functions and ``pyspark.ml``.
 """
@@ -47,10 +50,18 @@ CANDIDATE = (
 #: Characters of text on either side that the forest looks at.
 CONTEXT = 48
 MASK = "<SECRET>"
+#: A word is one of so many buckets to the forest; the first is for none.
+BUCKETS = 64
 FEATURES = (
     "length", "class_changes", "distinct_share", "digit_share", "capital_share", "small_share", "hexadecimal", "pair_usualness", "coverage",
-    "path_bucket", "assigned", "quoted", "name_bucket", "before_bucket", "after_bucket", "before_digits", "named",
+    "path_bucket", "assigned", "quoted", "name_bucket", "before_bucket", "after_bucket", "before_digits",
 )
+_ASSIGNMENT = r"([\p{L}0-9_.-]*)[\"'`]?\s*[=:]+>?\s*[\"'`]?$"
+#: Values that stand where a secret should be put in, and words that announce a digest or a version.
+PLACEHOLDERS = (
+    r"(?i)^[<\[{(]?(your|my|insert|enter|change|replace|put)([_ .-].*|me|this)$|^(.)\3{3,}$"
+    r"|^(placeholder|dummy|todo|none|null|redacted|undefined|example|sample)([_ .-](token|key|secret|password|value|here))*[>\]})]?$")
+DIGESTS = r"(?i)\b(commit|revision|sha-?(1|256|512)|md5|checksum|etag|uuid|guid)[^\p{L}0-9]{0,4}$"
 
 
 def candidates(docs: DataFrame) -> DataFrame:
@@ -102,7 +113,7 @@ def learn_dictionary(docs: DataFrame, share: float = 1e-4) -> Dictionary:
 
 
 def _bucket(word: Column) -> Column:
-    return F.when(word == "", 0).otherwise(1 + F.pmod(F.xxhash64(F.lower(word)), F.lit(63)))
+    return F.when(word == "", 0).otherwise(1 + F.pmod(F.xxhash64(F.lower(word)), F.lit(BUCKETS - 1)))
 
 
 def described(found: DataFrame, dictionary: Dictionary) -> DataFrame:
@@ -121,15 +132,14 @@ def described(found: DataFrame, dictionary: Dictionary) -> DataFrame:
     # Longer words first, as the first alternative that fits is taken.
     listed = "|".join(sorted(dictionary.words, key=lambda w: (-len(w), w)))
     coverage = 1 - F.char_length(F.regexp_replace(low, listed, "")) / size if listed else F.lit(0.0)
-    assignment = r"([\p{L}0-9_.-]*)[\"']?\s*[=:]+>?\s*[\"']?$"
-    word_before, word_after = F.regexp_extract("before", r"([\p{L}0-9]+)[^\p{L}0-9]*$", 1), F.regexp_extract("after", r"^[^\p{L}0-9]*([\p{L}0-9]+)", 1)
+    word_before, word_after = F.regexp_extract(F.regexp_replace("before", _ASSIGNMENT, ""), r"([\p{L}0-9]+)[^\p{L}0-9]*$", 1), F.regexp_extract("after", r"^[^\p{L}0-9]*([\p{L}0-9]+)", 1)
     columns = {
         "length": size, "class_changes": (F.char_length(F.regexp_replace(shape, r"(.)\1+", "$1")) - 1) / (size - 1),
         "distinct_share": F.size(F.array_distinct(F.split(value, ""))) / size, "digit_share": share("[0-9]"), "capital_share": share("[A-Z]"), "small_share": share("[a-z]"),
         "hexadecimal": value.rlike("^[0-9a-fA-F]+$"), "pair_usualness": usualness, "coverage": coverage,
-        "path_bucket": _bucket(F.coalesce("path", F.lit(""))), "assigned": F.col("before").rlike(assignment), "quoted": F.col("before").rlike("[\"'`]$") & F.col("after").rlike("^[\"'`]"),
-        "name_bucket": _bucket(F.regexp_extract("before", assignment, 1)), "before_bucket": _bucket(word_before), "after_bucket": _bucket(word_after),
-        "before_digits": F.regexp_count(word_before, F.lit("[0-9]")) / F.greatest(F.char_length(word_before), F.lit(1)), "named": _named(),
+        "path_bucket": _bucket(F.coalesce("path", F.lit(""))), "assigned": F.col("before").rlike(_ASSIGNMENT), "quoted": F.col("before").rlike("[\"'`]$") & F.col("after").rlike("^[\"'`]"),
+        "name_bucket": _bucket(F.regexp_extract("before", _ASSIGNMENT, 1)), "before_bucket": _bucket(word_before), "after_bucket": _bucket(word_after),
+        "before_digits": F.regexp_count(word_before, F.lit("[0-9]")) / F.greatest(F.char_length(word_before), F.lit(1)),
     }
     return found.withColumns({name: columns[name].cast("double") for name in FEATURES})
 
@@ -157,13 +167,25 @@ def labelled_by_name(found: DataFrame) -> DataFrame:
 
     A secret is a value assigned to one of ``NAMES`` that is quoted or looks
     like a key, one in an authorization header, and one that begins like a known
-    key. None is a run that is neither assigned nor quoted, and a lone word or
-    number assigned to a name without a hint of keys. The rest get null.
+    key. None is a placeholder, a run that is neither assigned nor quoted, and a
+    lone word or number assigned to a name without a hint of keys. The rest get
+    null, and so do long hexadecimal runs by themselves, unless announced as a
+    digest, for they may be either.
     """
     before = F.col("before")
     alone = ~before.rlike(r"[=:]>?\s*[\"'`]?$") & ~before.rlike("[\"'`]$") & ~before.rlike(r"(?i)\bbearer\s+$")
     usual = before.rlike(r"[=:]>?\s*$") & ~_assigned_to(rf"{NAMES}|key|pass|pin|cred|sig") & F.col("value").rlike(r"^(\p{L}\p{Ll}{0,14}|\p{Lu}{1,15}|[0-9.,:/-]{1,15})\p{P}*$")
-    return found.withColumn("is_secret", F.when(_named(), True).when(alone | usual, False))
+    placeholder, digest = F.col("value").rlike(PLACEHOLDERS), before.rlike(DIGESTS)
+    open_ = F.col("value").rlike(r"^(?=.*[0-9])(?=.*[a-fA-F])([0-9a-f]{32,}|[0-9A-F]{32,})$") & ~digest
+    return found.withColumn("is_secret", F.when(placeholder, False).when(_named(), True).when((alone & ~open_) | usual | digest, False))
+
+
+def _nameless(found: DataFrame) -> DataFrame:
+    """Candidates as if nothing named or quoted them."""
+    header = rf"(?i)(authorization[\"'`]?\s*[=:]+\s*[\"'`]?)?({SCHEMES})\s+$"
+    return found.withColumns({
+        "before": F.regexp_replace(F.regexp_replace(F.regexp_replace("before", header, ""), _ASSIGNMENT, ""), "[\"'`]$", ""),
+        "after": F.regexp_replace("after", "^[\"'`]", "")})
 
 
 @dataclass(frozen=True)
@@ -174,7 +196,9 @@ class SecretModel:
 
 
 def fit(labelled: DataFrame, dictionary: Dictionary, train_findings: int = 5000, trees: int = 20, depth: int = 6, seed: int = 11) -> SecretModel:
-    """A forest on at most ``train_findings`` labelled candidates of each label, those of least hash; each different finding counts once.
+    """A forest on at most ``train_findings`` labelled candidates of each label, those of least hash.
+
+    Each different finding counts twice, once as it stands and once without its name and quotes.
 
     ``labelled`` has what ``candidates`` gives and is_secret; nulls are left
     out. With one label alone, or none, every finding gets that label's chance.
@@ -183,14 +207,22 @@ def fit(labelled: DataFrame, dictionary: Dictionary, train_findings: int = 5000,
     known = written(known, "known")
     picked = [least_hashed(known.filter(F.col("is_secret") == v), train_findings, "value", "before", "after", "doc_id", "place") for v in (True, False)]
     sample = picked[0].unionByName(picked[1])
+    sample = sample.unionByName(_nameless(sample))
     rows = written(described(sample, dictionary).select(*FEATURES, F.col("is_secret").cast("double").alias("label")), "findings")
     seen = {r["label"] for r in rows.select("label").distinct().collect()}
     if len(seen) < 2:
         return SecretModel(dictionary, None, 1.0 if 1.0 in seen else 0.0)
-    inputs = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(rows.orderBy(*FEATURES, "label")).select("features", "label")
+    # Hashed words have no order: trees split them into sets of buckets.
+    nominal = {"ml_attr": {"type": "nominal", "vals": [str(i) for i in range(BUCKETS)]}}
+    # A split into sets takes at least as many rows as buckets; fewer findings are repeated alike.
+    n = rows.count()
+    if n < BUCKETS:
+        rows = rows.withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(-(-BUCKETS // n))))).drop("copy")
+    rows = rows.orderBy(*FEATURES, "label").select("label", *(F.col(n).alias(n, metadata=nominal) if n.endswith("_bucket") else n for n in FEATURES))
+    inputs = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(rows).select("features", "label")
     # Each task returns the counts of all open nodes of all trees; a bounded sample needs few tasks.
     inputs = inputs.coalesce(4)
-    return SecretModel(dictionary, RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=seed, featureSubsetStrategy="onethird").fit(inputs))
+    return SecretModel(dictionary, RandomForestClassifier(numTrees=trees, maxDepth=depth, maxBins=BUCKETS, seed=seed, featureSubsetStrategy="onethird").fit(inputs))
 
 
 def scan(found: DataFrame, model: SecretModel, chance: float = 0.5) -> DataFrame:
