@@ -133,24 +133,31 @@ class Index:
         order = np.argsort(-bounds, kind="stable")
         order = order[bounds[order] > 0]
         near, cosines = np.zeros(0, np.int64), np.zeros(0)
+        # The best blocks first; once they hold enough, all that can still matter at once.
         done, step, enough = 0, 4, False
-        while done < len(order) and not (enough and bounds[order[done]] < cosines[-1] - 1e-9):
+        while done < len(order):
+            if enough:
+                step = int((bounds[order[done:]] >= cosines[-1] - 1e-9).sum())
+                if not step:
+                    break
             chosen = order[done: done + step]
             place = np.full(len(tops), -1)
-            place[chosen] = np.arange(len(chosen)) * BLOCK
-            take = place[block] >= 0
-            first, end = self.starts[cells[take]], self.starts[cells[take] + 1]
-            posting = _ranges(first, end)
-            at = self.entries[posting] % BLOCK + np.repeat(place[block[take]], end - first)
-            sums = np.bincount(at, np.repeat(weights[take], end - first) * self.values[posting], minlength=len(chosen) * BLOCK)
-            sums = np.round(sums + shares[chosen].ravel(), 12)
-            hit = np.flatnonzero(sums >= cosines[-1] if enough else sums > 0)
-            near, cosines = np.append(near, chosen[hit // BLOCK] * BLOCK + hit % BLOCK), np.append(cosines, sums[hit])
+            place[chosen] = np.arange(0, len(chosen) * BLOCK, BLOCK)
+            base = place[block]
+            take = np.flatnonzero(base >= 0)
+            part = cells[take]
+            first = self.starts[part]
+            sizes = self.starts[part + 1] - first
+            posting = _ranges(first, first + sizes)
+            at = self.entries[posting] % BLOCK + np.repeat(base[take], sizes)
+            sums = np.bincount(at, np.repeat(weights[take], sizes) * self.values[posting], minlength=len(chosen) * BLOCK) + shares[chosen].ravel()
+            hit = np.flatnonzero(sums > (max(0.0, cosines[-1] - 1e-12) if enough else 0.0))
+            near, cosines = np.append(near, chosen[hit // BLOCK] * BLOCK + hit % BLOCK), np.append(cosines, np.round(sums[hit], 12))
             best = np.lexsort((self.ids[near], -cosines))
             held = np.cumsum(self.rows[near[best]])
             best = best[: int(np.searchsorted(held, k)) + 1]
-            near, cosines, enough = near[best], cosines[best], len(held) > 0 and held[-1] >= k
-            done, step = done + step, 2 * step
+            near, cosines = near[best], cosines[best]
+            done, step, enough = done + step, 2 * step, len(held) > 0 and held[-1] >= k
         return near, np.minimum(1.0, cosines)
 
     def vote(self, near: np.ndarray, cosines: np.ndarray) -> float:
