@@ -182,6 +182,67 @@ def test_heads_of_a_crowded_bucket_meet_in_blocks(spark):
     assert found == {(d, d + 100) for d in range(10)}
 
 
+def test_members_that_head_nothing_meet(spark):
+    """P begins the bucket, A is like P's class and B like Q's, and only A and B are alike across them."""
+    rng, words = random.Random(21), vocabulary(3000, 8)
+    base = [rng.choice(words) for _ in range(100)]
+
+    def edited(lists):
+        out = list(base)
+        for name, places in lists:
+            for p in places:
+                out[p] = f"{name}{p}"
+        return " ".join(out)
+
+    texts = {
+        0: " ".join(base[:3] + [f"z{i}" for i in range(97)]),  # the bucket's first, like nothing
+        1: edited([("p", range(0, 16)), ("a", range(20, 26))]), 2: edited([("a", range(20, 26))]),
+        3: edited([("q", range(40, 56)), ("b", range(60, 66))]), 4: edited([("b", range(60, 66))]),
+    }
+    table = documents(spark, list(texts.items()))
+    sizes = spark.createDataFrame([(d, len(t.split()), [1, 2]) for d, t in texts.items()], "doc_id long, n_words long, bands array<long>")
+    classes = {1: 1, 2: 1, 3: 3, 4: 3}
+    members = spark.createDataFrame([(1, d, 100, c) for d, c in classes.items()], "value long, doc_id long, n_words long, class long")
+    for rows in (256, 1):
+        found = near_dedup.met_in_buckets(members, sizes, table.select("doc_id", "text"), 0.8, block_rows=rows).collect()
+        assert {(min(r.a, r.b), max(r.a, r.b)) for r in found} == {(2, 4)}
+
+
+def test_classes_are_those_of_all_pairs_that_share_a_bucket(spark, monkeypatch):
+    """One bucket for all texts: classes are those of all-pairs alignment, whoever comes first."""
+    monkeypatch.setattr(near_dedup, "_sketched", _one_bucket)
+    rng, words = random.Random(22), vocabulary(3000, 8)
+    rows = []
+    for size in (50, 70):  # chains: the first is like the second, the second like the third
+        near = [rng.choice(words) for _ in range(size)]
+        for d in range(6):
+            rows.append((100 * size + d, " ".join(near)))
+            near = list(near)
+            for place in range(d * 8, d * 8 + 8):
+                near[place] = f"w{d}x{place}"
+    got = {r.doc_id: r.class_id for r in near_dedup.near_duplicates(documents(spark, rows)).collect()}
+    want = brute_classes(rows)
+    assert got == want and set(want.values()) == {5000, 7000}
+
+
+def _one_bucket(least, size, minima, bands, short):
+    def run(batch):
+        words, bounds = hashed_words(strings(batch.column("text")))
+        n = batch.num_rows
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("digest"), pa.array(np.diff(bounds).astype(np.int64)), pa.array([[7]] * n, pa.list_(pa.int64()))],
+                                         names=["doc_id", "digest", "n_words", "bands"])
+    return run
+
+
+def test_shared_words_are_counted():
+    rng = random.Random(3)
+    texts = [[rng.choice("abcdef") for _ in range(rng.randrange(0, 12))] for _ in range(20)]
+    words, bounds = hashed_words(strings(pa.array([" ".join(t) for t in texts])))
+    shared = near_dedup._shared(words, bounds)
+    for i, a in enumerate(texts):
+        assert shared(i).tolist() == [sum(min(a.count(w), b.count(w)) for w in "abcdef") for b in texts]
+
+
 def test_pairs_near_the_limit_meet(spark):
     rng, words = random.Random(12), vocabulary(3000, 5)
     rows, n = [], 0

@@ -9,13 +9,14 @@ Equal texts are joined first, by their digest. In each bucket of equal band
 values the least document meets the others: a bucket of any size costs one pair
 a member. Pairs are aligned word by word inside the band of diagonals that the
 similarity allows, and what is similar enough becomes a link. Classes are the
-connected components. Where a bucket still holds several classes, the least
-members of these are then aligned with each other, block by block, so that
-classes whose bucket began with a stranger meet too.
+connected components. Where a bucket still holds several classes, all its members
+of different classes are then aligned with each other, block by block: two texts
+of one bucket end in different classes only if they are not similar enough.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -225,21 +226,48 @@ def widened(labels: DataFrame, links: DataFrame) -> DataFrame:
     return written(known.unionByName(further.join(labels, "node", "left_anti")), "labels")
 
 
+def _shared(words: np.ndarray, bounds: np.ndarray):
+    """For a text of a batch, how many words it has in common with each text, counted as often as both hold them."""
+    of = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
+    order = np.lexsort((words, of))
+    ranked, text = words[order], of[order]
+    fresh = np.ones(len(ranked), dtype=bool)
+    fresh[1:] = (ranked[1:] != ranked[:-1]) | (text[1:] != text[:-1])
+    first = np.flatnonzero(fresh)
+    before = np.arange(len(ranked)) - np.repeat(first, np.diff(np.append(first, len(ranked))))
+    # The n-th of a text's equal words is a word of its own: at most once in any text.
+    _, number = np.unique(mixed(ranked ^ mixed(before.astype(np.uint64), 22), 23), return_inverse=True)
+    held = text[np.argsort(number, kind="stable")]
+    ends = np.append(0, np.cumsum(np.bincount(number))) if len(number) else np.zeros(1, np.int64)
+
+    def with_each(i: int) -> np.ndarray:
+        mine = number[bounds[i]: bounds[i + 1]]
+        sizes = ends[mine + 1] - ends[mine]
+        at = np.repeat(ends[mine] - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
+        return np.bincount(held[at], minlength=len(bounds) - 1)
+    return with_each
+
+
 def _met(least: float):
     def run(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
-        value, low, high = (k.as_py() for k in key)
-        block, ids = rows.column("block").to_numpy(), rows.column("doc_id").to_pylist()
+        value, _, low, high = (k.as_py() for k in key)
+        block, ids = np.array(rows.column("block").to_pylist()), rows.column("doc_id").to_pylist()
+        classes, own = rows.column("class").to_numpy(), rows.column("own").to_numpy(zero_copy_only=False)
         bands = np.array(rows.column("bands").to_pylist(), dtype=np.int64)
         words, bounds = hashed_words(strings(rows.column("text")))
-        sizes, found = np.diff(bounds), []
+        sizes, found, shared = np.diff(bounds), [], _shared(words, bounds)
         for i in np.flatnonzero(block == low).tolist():
-            fits = (block == high) & (np.abs(sizes - sizes[i]) <= (1 - least) * np.maximum(sizes, sizes[i]) + 1e-9)
+            longer = np.maximum(sizes, sizes[i])
+            most = ((1 - least) * longer + 1e-9).astype(np.int64)
+            fits = (block == high) & (classes != classes[i]) & (own | own[i]) & (np.abs(sizes - sizes[i]) <= most)
             if low == high:
                 fits[: i + 1] = False
             others = np.flatnonzero(fits)
             same = (bands[others] == bands[i]) & (bands[i] != 0)
-            # Of the buckets that both head, the first one's task aligns them.
+            # Of the buckets that both are open in, the first one's task aligns them.
             others = others[bands[i][same.argmax(axis=1)] == value] if len(others) else others
+            # Words in common, counted: each one missing costs an edit.
+            others = others[longer[others] - shared(i)[others] <= most[others]] if len(others) else others
             for j in others.tolist():
                 similarity = edit_similarity(words[bounds[i]: bounds[i + 1]], words[bounds[j]: bounds[j + 1]], least)
                 if similarity is not None:
@@ -249,24 +277,53 @@ def _met(least: float):
     return run
 
 
-def met_by_heads(heads: DataFrame, texts: DataFrame, met: DataFrame, least: float, block_rows: int = 256, block_words: int = 2_000_000) -> DataFrame:
-    """Links between texts that head different classes of one bucket (value, doc_id).
+def met_in_buckets(members: DataFrame, texts: DataFrame, met: DataFrame, least: float, block_rows: int = 256, block_words: int = 2_000_000) -> DataFrame:
+    """All links between texts of one bucket and different classes; ``members`` has value, doc_id, n_words and class.
 
-    A bucket's heads are dealt into blocks of bounded rows and words, and each
-    pair of blocks is one group, so no task gathers a whole bucket and no pair
-    becomes a row before it is a link.
+    Texts that may be similar are of one room of lengths or of two next to each
+    other, and meet in the upper one's hall, if it holds several classes. A
+    hall's texts are dealt into blocks of bounded rows and words, and each pair
+    of blocks is one group, so no task gathers a whole bucket and no pair becomes
+    a row before it is a link. A class that fills more than one block has blocks
+    of its own, which do not meet each other.
     """
-    headed = heads.groupBy("doc_id").agg(F.collect_set("value").alias("headed"))  # at most one for each band
-    open_bands = F.transform("bands", lambda b: F.when(F.array_contains("headed", b), b).otherwise(0))
-    members = heads.join(texts.join(headed, "doc_id").select("doc_id", "n_words", open_bands.alias("bands")), "doc_id")
-    crowds = members.groupBy("value").agg(F.count("*").alias("n"), F.sum("n_words").alias("words")).filter("n > 1")
-    blocks = F.greatest(F.ceil(F.col("n") / block_rows), F.ceil(F.col("words") / block_words)).cast("int")
-    dealt = members.join(crowds.select("value", blocks.alias("blocks")), "value").withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
-    dealt = dealt.join(met, "doc_id").withColumn("facing", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    grouped = dealt.select("value", F.least("block", "facing").alias("low"), F.greatest("block", "facing").alias("high"), "block", "doc_id", "bands", "text").groupBy("value", "low", "high")
+    room = F.floor(F.log("n_words") / (1e-6 - math.log(least))).cast("int")  # a little wide, so that rounding parts no two
+    halls = members.withColumn("room", room).withColumn("hall", F.explode(F.array(F.col("room"), F.col("room") + 1)))
+    halls = halls.groupBy("value", "hall", "doc_id").agg(F.max(F.col("hall") == F.col("room")).alias("own"), F.min("class").alias("class"), F.max("n_words").alias("n_words"))
+    several = halls.groupBy("value", "hall").agg(F.min("class").alias("least"), F.max("class").alias("most"), F.max("own").alias("used")).filter("least <> most AND used")
+    halls = written(halls.join(several.select("value", "hall"), ["value", "hall"], "left_semi"), "halls")
+    opened = halls.groupBy("doc_id").agg(F.collect_set("value").alias("opened"))  # at most one for each band
+    open_bands = F.transform("bands", lambda b: F.when(F.array_contains("opened", b), b).otherwise(0))
+    held = opened.join(texts.select("doc_id", "bands"), "doc_id").select("doc_id", open_bands.alias("bands")).join(met, "doc_id")
+
+    def blocks(n: str, words: str) -> Column:
+        return F.greatest(F.ceil(F.col(n) / block_rows), F.ceil(F.col(words) / block_words)).cast("int")
+
+    sizes = halls.groupBy("value", "hall", "class").agg(F.count("*").alias("n"), F.sum("n_words").alias("words"))
+    # Classes of one block share blocks, whose owner is the empty string.
+    owners = sizes.withColumn("owner", F.when(blocks("n", "words") > 1, F.col("class").cast("string")).otherwise(""))
+    owned = owners.groupBy("value", "hall", "owner").agg(F.sum("n").alias("n"), F.sum("words").alias("words")).select("value", "hall", "owner", blocks("n", "words").alias("blocks"))
+    layout = owned.groupBy("value", "hall").agg(F.map_from_entries(F.collect_list(F.struct("owner", "blocks"))).alias("layout"))  # few: owners fill blocks
+    dealt = halls.join(layout, ["value", "hall"]).withColumn("owner", F.when(F.map_contains_key("layout", F.col("class").cast("string")), F.col("class").cast("string")).otherwise(""))
+
+    def named(owner: Column, number: Column) -> Column:
+        return F.concat(owner, F.lit(":"), number.cast("string"))
+
+    strangers = F.filter(F.map_entries("layout"), lambda e: (e["key"] == "") | (e["key"] != F.col("owner")))
+    facing = F.flatten(F.transform(strangers, lambda e: F.transform(F.sequence(F.lit(0), e["value"] - 1), lambda k: named(e["key"], k))))
+    dealt = dealt.withColumn("block", named(F.col("owner"), F.pmod(F.xxhash64("doc_id"), F.element_at("layout", F.col("owner")))))
+    dealt = dealt.select("value", "hall", "doc_id", "class", "own", "block", facing.alias("facing")).join(held, "doc_id").withColumn("facing", F.explode("facing"))
+    met_blocks = dealt.select("value", "hall", F.least("block", "facing").alias("low"), F.greatest("block", "facing").alias("high"), "block", "doc_id", "class", "own", "bands", "text")
+    grouped = met_blocks.groupBy("value", "hall", "low", "high")
     return grouped.applyInArrow(_met(least), "a long, b long, similarity double").groupBy("a", "b").agg(F.max("similarity").alias("similarity"))
 
 
+def met_by_heads(heads: DataFrame, texts: DataFrame, met: DataFrame, least: float, block_rows: int = 256, block_words: int = 2_000_000) -> DataFrame:
+    """Links between any two texts of one bucket (value, doc_id), each a class of its own."""
+    members = heads.join(texts.select("doc_id", "n_words"), "doc_id").withColumn("class", F.col("doc_id"))
+    return met_in_buckets(members, texts, met, least, block_rows, block_words)
+
+
 def _open(pairs: DataFrame, labels: DataFrame) -> DataFrame:
     """The pairs (a, b) whose ends are of different components."""
     first = labels.select(F.col("node").alias("a"), F.col("label").alias("label_a"))
@@ -310,8 +367,9 @@ def near_duplicates(docs: DataFrame, least: float = 0.8, size: int = 3, minima:
     labels = widened(labels, verified(_open(stars.join(tries, ["a", "b"], "left_anti"), labels), met, least))
 
     placed = buckets.join(labels, F.col("doc_id") == F.col("node"), "left").withColumn("class", F.coalesce("label", "doc_id"))
-    heads = placed.groupBy("value", "class").agg(F.min(F.struct("doc_id", "n_words")).alias("head"))
-    more = written(met_by_heads(heads.select("value", "head.doc_id"), texts, met, least), "heads")
+    # Each bucket's first text has met all others; of these any two that are still of different classes meet.
+    others = placed.filter(F.col("doc_id") != F.col("first_id")).select("value", "doc_id", "n_words", "class")
+    more = written(met_in_buckets(others, texts, met, least), "met-links")
     labels = widened(labels, more)
 
     firsts = texts.select("digest", F.col("doc_id").alias("exact_of"), "n_words")
