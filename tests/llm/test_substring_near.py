@@ -208,6 +208,46 @@ def test_members_that_head_nothing_meet(spark):
         assert {(min(r.a, r.b), max(r.a, r.b)) for r in found} == {(2, 4)}
 
 
+def test_buckets_of_the_same_texts_meet_once(spark, monkeypatch):
+    """Texts of two classes that share many buckets are copied for their blocks, not for each bucket."""
+    def counted(least):
+        def run(key, rows):
+            return pa.table({"a": pa.array([key[0].as_py()]), "b": pa.array([key[1].as_py()], pa.int64()), "similarity": pa.array([float(rows.num_rows)])})
+        return run
+
+    monkeypatch.setattr(near_dedup, "_met", counted)
+    docs = documents(spark, [(d, " ".join(f"w{d}x{i}" for i in range(50))) for d in range(40)])
+    values = list(range(1, 61))
+    members = spark.createDataFrame([(v, d, 50, d % 2) for v in values for d in range(40) if (v + d) % 10], "value long, doc_id long, n_words long, class long")
+    texts = spark.createDataFrame([(d, 50, [v if (v + d) % 10 else 0 for v in values]) for d in range(40)], "doc_id long, n_words long, bands array<long>")
+    found = near_dedup.met_in_buckets(members, texts, docs.select("doc_id", "text"), 0.8).collect()
+    assert 40 <= sum(r.similarity for r in found) <= 40 * 4  # one copy for each of 60 buckets would be 2,160
+
+
+@pytest.mark.parametrize("block_rows", [256, 3])
+def test_links_in_arenas_are_those_of_all_pairs_that_share_a_bucket(spark, block_rows):
+    rng, words = random.Random(31), vocabulary(2000, 9)
+    rows, base = [], None
+    for d in range(60):
+        if d % 6 == 0:
+            base = [rng.choice(words) for _ in range(rng.choice([20, 30, 40]))]
+        near = list(base)
+        for place in rng.sample(range(len(near)), rng.randrange(0, 6)):
+            near[place] = f"n{d}x{place}"
+        rows.append((d, near[: len(near) - rng.randrange(0, 4)]))
+    classes = {d: d if d % 3 else 60 for d, _ in rows}
+    buckets = {d: sorted(rng.sample(range(1, 25), 4)) for d, _ in rows}
+    members = spark.createDataFrame([(v, d, len(t), classes[d]) for d, t in rows for v in buckets[d]], "value long, doc_id long, n_words long, class long")
+    texts = spark.createDataFrame([(d, len(t), [v if v in buckets[d] else 0 for v in range(1, 25)]) for d, t in rows], "doc_id long, n_words long, bands array<long>")
+    docs = documents(spark, [(d, " ".join(t)) for d, t in rows]).select("doc_id", "text")
+    found = [(min(r.a, r.b), max(r.a, r.b)) for r in near_dedup.met_in_buckets(members, texts, docs, 0.8, block_rows=block_rows).collect()]
+    want = {
+        (a, b) for a, x in rows for b, y in rows
+        if a < b and classes[a] != classes[b] and set(buckets[a]) & set(buckets[b]) and 1 - plain_distance(x, y) / max(len(x), len(y)) >= 0.8
+    }
+    assert len(found) == len(set(found)) and set(found) == want and len(want) > 20
+
+
 def test_classes_are_those_of_all_pairs_that_share_a_bucket(spark, monkeypatch):
     """One bucket for all texts: classes are those of all-pairs alignment, whoever comes first."""
     monkeypatch.setattr(near_dedup, "_sketched", _one_bucket)

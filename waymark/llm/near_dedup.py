@@ -12,6 +12,7 @@ similarity allows, and what is similar enough becomes a link. Classes are the
 connected components. Where a bucket still holds several classes, all its members
 of different classes are then aligned with each other, block by block: two texts
 of one bucket end in different classes only if they are not similar enough.
+Buckets of nearly the same texts meet as one arena, so texts are not copied for each.
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -248,12 +250,28 @@ def _shared(words: np.ndarray, bounds: np.ndarray):
     return with_each
 
 
+def _meet_in(values: np.ndarray, homes: np.ndarray, bounds: np.ndarray, arena: int):
+    """For a text of a batch, whether the least bucket it has in common with each text is of this arena. A text's buckets ascend."""
+    _, number = np.unique(values, return_inverse=True)
+    held = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))[np.argsort(number, kind="stable")]
+    ends = np.append(0, np.cumsum(np.bincount(number)))
+
+    def with_each(i: int) -> np.ndarray:
+        here = np.zeros(len(bounds) - 1, dtype=bool)
+        for at in range(bounds[i + 1] - 1, bounds[i] - 1, -1):  # the least bucket comes last and decides
+            here[held[ends[number[at]]: ends[number[at] + 1]]] = homes[at] == arena
+        return here
+    return with_each
+
+
 def _met(least: float):
     def run(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
-        value, _, low, high = (k.as_py() for k in key)
+        arena, _, low, high = (k.as_py() for k in key)
         block, ids = np.array(rows.column("block").to_pylist()), rows.column("doc_id").to_pylist()
         classes, own = rows.column("class").to_numpy(), rows.column("own").to_numpy(zero_copy_only=False)
-        bands = np.array(rows.column("bands").to_pylist(), dtype=np.int64)
+        values, homes = (rows.column(c).combine_chunks() for c in ("values", "homes"))
+        opened = np.append(0, np.cumsum(pc.list_value_length(values).to_numpy()))
+        here = _meet_in(values.flatten().to_numpy(), homes.flatten().to_numpy(), opened, arena)
         words, bounds = hashed_words(strings(rows.column("text")))
         sizes, found, shared = np.diff(bounds), [], _shared(words, bounds)
         for i in np.flatnonzero(block == low).tolist():
@@ -262,10 +280,8 @@ def _met(least: float):
             fits = (block == high) & (classes != classes[i]) & (own | own[i]) & (np.abs(sizes - sizes[i]) <= most)
             if low == high:
                 fits[: i + 1] = False
-            others = np.flatnonzero(fits)
-            same = (bands[others] == bands[i]) & (bands[i] != 0)
-            # Of the buckets that both are open in, the first one's task aligns them.
-            others = others[bands[i][same.argmax(axis=1)] == value] if len(others) else others
+            # Of the arenas that both are in, the one of their least common bucket aligns them.
+            others = np.flatnonzero(fits & here(i)) if fits.any() else np.zeros(0, np.int64)
             # Words in common, counted: each one missing costs an edit.
             others = others[longer[others] - shared(i)[others] <= most[others]] if len(others) else others
             for j in others.tolist():
@@ -277,34 +293,49 @@ def _met(least: float):
     return run
 
 
+def arenas(members: DataFrame, least: float) -> DataFrame:
+    """Where each text meets others: doc_id, hall, class, own, n_words, and the buckets open to it there with the arena of each (values, homes).
+
+    Texts that may be similar are of one room of lengths or of two next to each
+    other, and meet in the upper one's hall, which is open if it holds several
+    classes. Halls of many buckets may hold nearly the same texts; those with the
+    same text of least hash share an arena, so halls that are alike mostly do.
+    """
+    room = F.floor(F.log("n_words") / (1e-6 - math.log(least))).cast("int")  # a little wide, so that rounding parts no two
+    members = members.withColumn("room", room)
+    rooms = members.groupBy("value", "room").agg(F.min("class").alias("least"), F.max("class").alias("most"), F.min(F.xxhash64("doc_id")).alias("first"))
+    halls = rooms.withColumn("hall", F.explode(F.array(F.col("room"), F.col("room") + 1))).groupBy("value", "hall").agg(
+        F.min("least").alias("least"), F.max("most").alias("most"), F.max(F.col("hall") == F.col("room")).alias("used"), F.min("first").alias("arena"))
+    doors = halls.filter("least <> most AND used").select("value", "hall", "arena", F.explode(F.array(F.col("hall") - 1, F.col("hall"))).alias("room"))
+    doors = doors.groupBy("value", "room").agg(F.collect_list(F.struct("hall", "value", "arena")).alias("doors"))  # at most two
+    held = members.join(doors, ["value", "room"]).groupBy("doc_id").agg(
+        F.min("class").alias("class"), F.max("n_words").alias("n_words"), F.collect_set("room").alias("rooms"), F.flatten(F.collect_list("doors")).alias("doors"))  # at most two a band
+    held = held.withColumn("hall", F.explode(F.array_distinct("doors.hall")))
+    here = F.sort_array(F.array_distinct(F.transform(F.filter("doors", lambda d: d["hall"] == F.col("hall")), lambda d: F.struct(d["value"], d["arena"]))))
+    held = held.select("doc_id", "hall", "class", F.array_contains("rooms", F.col("hall")).alias("own"), "n_words", here.alias("open"))
+    return held.select("doc_id", "hall", "class", "own", "n_words", F.col("open.value").alias("values"), F.col("open.arena").alias("homes"))
+
+
 def met_in_buckets(members: DataFrame, texts: DataFrame, met: DataFrame, least: float, block_rows: int = 256, block_words: int = 2_000_000) -> DataFrame:
     """All links between texts of one bucket and different classes; ``members`` has value, doc_id, n_words and class.
 
-    Texts that may be similar are of one room of lengths or of two next to each
-    other, and meet in the upper one's hall, if it holds several classes. A
-    hall's texts are dealt into blocks of bounded rows and words, and each pair
+    An arena's texts are dealt into blocks of bounded rows and words, and each pair
     of blocks is one group, so no task gathers a whole bucket and no pair becomes
-    a row before it is a link. A class that fills more than one block has blocks
-    of its own, which do not meet each other.
+    a row before it is a link. A text is copied for its arenas, not for each of its buckets. A class that
+    fills more than one block has blocks of its own, which do not meet each other. Of ``texts`` nothing is read.
     """
-    room = F.floor(F.log("n_words") / (1e-6 - math.log(least))).cast("int")  # a little wide, so that rounding parts no two
-    halls = members.withColumn("room", room).withColumn("hall", F.explode(F.array(F.col("room"), F.col("room") + 1)))
-    halls = halls.groupBy("value", "hall", "doc_id").agg(F.max(F.col("hall") == F.col("room")).alias("own"), F.min("class").alias("class"), F.max("n_words").alias("n_words"))
-    several = halls.groupBy("value", "hall").agg(F.min("class").alias("least"), F.max("class").alias("most"), F.max("own").alias("used")).filter("least <> most AND used")
-    halls = written(halls.join(several.select("value", "hall"), ["value", "hall"], "left_semi"), "halls")
-    opened = halls.groupBy("doc_id").agg(F.collect_set("value").alias("opened"))  # at most one for each band
-    open_bands = F.transform("bands", lambda b: F.when(F.array_contains("opened", b), b).otherwise(0))
-    held = opened.join(texts.select("doc_id", "bands"), "doc_id").select("doc_id", open_bands.alias("bands")).join(met, "doc_id")
+    held = written(arenas(members, least), "halls")
+    entered = held.withColumn("arena", F.explode(F.array_distinct("homes")))
 
     def blocks(n: str, words: str) -> Column:
         return F.greatest(F.ceil(F.col(n) / block_rows), F.ceil(F.col(words) / block_words)).cast("int")
 
-    sizes = halls.groupBy("value", "hall", "class").agg(F.count("*").alias("n"), F.sum("n_words").alias("words"))
+    sizes = entered.groupBy("arena", "hall", "class").agg(F.count("*").alias("n"), F.sum("n_words").alias("words"))
     # Classes of one block share blocks, whose owner is the empty string.
     owners = sizes.withColumn("owner", F.when(blocks("n", "words") > 1, F.col("class").cast("string")).otherwise(""))
-    owned = owners.groupBy("value", "hall", "owner").agg(F.sum("n").alias("n"), F.sum("words").alias("words")).select("value", "hall", "owner", blocks("n", "words").alias("blocks"))
-    layout = owned.groupBy("value", "hall").agg(F.map_from_entries(F.collect_list(F.struct("owner", "blocks"))).alias("layout"))  # few: owners fill blocks
-    dealt = halls.join(layout, ["value", "hall"]).withColumn("owner", F.when(F.map_contains_key("layout", F.col("class").cast("string")), F.col("class").cast("string")).otherwise(""))
+    owned = owners.groupBy("arena", "hall", "owner").agg(F.sum("n").alias("n"), F.sum("words").alias("words")).select("arena", "hall", "owner", blocks("n", "words").alias("blocks"))
+    layout = owned.groupBy("arena", "hall").agg(F.map_from_entries(F.collect_list(F.struct("owner", "blocks"))).alias("layout"))  # few: owners fill blocks
+    dealt = entered.join(layout, ["arena", "hall"]).withColumn("owner", F.when(F.map_contains_key("layout", F.col("class").cast("string")), F.col("class").cast("string")).otherwise(""))
 
     def named(owner: Column, number: Column) -> Column:
         return F.concat(owner, F.lit(":"), number.cast("string"))
@@ -312,9 +343,9 @@ def met_in_buckets(members: DataFrame, texts: DataFrame, met: DataFrame, least:
     strangers = F.filter(F.map_entries("layout"), lambda e: (e["key"] == "") | (e["key"] != F.col("owner")))
     facing = F.flatten(F.transform(strangers, lambda e: F.transform(F.sequence(F.lit(0), e["value"] - 1), lambda k: named(e["key"], k))))
     dealt = dealt.withColumn("block", named(F.col("owner"), F.pmod(F.xxhash64("doc_id"), F.element_at("layout", F.col("owner")))))
-    dealt = dealt.select("value", "hall", "doc_id", "class", "own", "block", facing.alias("facing")).join(held, "doc_id").withColumn("facing", F.explode("facing"))
-    met_blocks = dealt.select("value", "hall", F.least("block", "facing").alias("low"), F.greatest("block", "facing").alias("high"), "block", "doc_id", "class", "own", "bands", "text")
-    grouped = met_blocks.groupBy("value", "hall", "low", "high")
+    dealt = dealt.select("arena", "hall", "doc_id", "class", "own", "values", "homes", "block", facing.alias("facing")).join(met, "doc_id").withColumn("facing", F.explode("facing"))
+    met_blocks = dealt.select("arena", "hall", F.least("block", "facing").alias("low"), F.greatest("block", "facing").alias("high"), "block", "doc_id", "class", "own", "values", "homes", "text")
+    grouped = met_blocks.groupBy("arena", "hall", "low", "high")
     return grouped.applyInArrow(_met(least), "a long, b long, similarity double").groupBy("a", "b").agg(F.max("similarity").alias("similarity"))
 
 
