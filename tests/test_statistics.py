@@ -99,6 +99,35 @@ def test_exact_quantiles_match_numpy(spark):
     assert grouped["quantile"] == pytest.approx(float(np.median(values)))
 
 
+def test_distance_correlation_moves_each_row_a_fixed_number_of_times(spark, monkeypatch):
+    """The sum over pairs makes no row for each level of a tree."""
+    from waymark.operators import explore
+
+    seen, plain = [], explore.running
+
+    def counted(counts, *others):
+        seen.append(counts.count())
+        return plain(counts, *others)
+
+    monkeypatch.setattr(explore, "running", counted)
+    rng = random.Random(17)
+    pts = [(rng.random(), rng.random()) for _ in range(500)]
+    explore.distance_correlation(spark.createDataFrame(pts, "x double, y double"), "x", "y").first()
+    assert sum(seen) <= 4 * len(pts)
+
+
+@pytest.mark.parametrize("chunk_rows", [7, 40, 1000])
+def test_cross_distances_over_chunks_are_those_of_all_pairs(spark, chunk_rows):
+    from waymark.operators.explore import _cross_distances
+
+    rng = random.Random(18)
+    pts = sorted({(float(rng.randrange(6)), round(rng.gauss(0, 3), 1)) for _ in range(150)})
+    pts = [(x, y, rng.randrange(1, 4)) for x, y in pts]
+    want = sum(v * w * abs(a - c) * abs(b - d) for a, b, v in pts for c, d, w in pts)
+    table = spark.createDataFrame(pts, "x double, y double, w long")
+    assert _cross_distances(table, len(pts), chunk_rows) == pytest.approx(want, rel=1e-12)
+
+
 def test_distance_correlation_by_all_pairs(spark):
     rng = random.Random(5)
     pts = [(rng.choice([1.0, 2.0, rng.random()]), rng.choice([0.0, rng.random()])) for _ in range(150)]

@@ -9,7 +9,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from waymark.operators.ordered import WHOLE, ColumnRows, bin_of, column_quantile_table, column_sketches, column_values, distinct_edges, ranked, running, sketch_shares
@@ -377,17 +377,17 @@ def level_frequencies(df: DataFrame, columns: list[str]) -> DataFrame:
 
 # ---- distance correlation -----------------------------------------------------------------
 
-RANK = "__rank"
+#: Points of a chunk, and the most chunks in the order of a column.
+CHUNK_ROWS, CHUNKS = 16_384, 512
 
 
 def distance_correlation(df: DataFrame, x: str, y: str) -> DataFrame:
     """Distance correlation of two columns over all rows, without forming pairs of rows.
 
     The sums of products of distances over all pairs split into sums over
-    dominated rows. Rows are ranked by x; on each of the log2(n) levels of a
-    binary tree over the ranks, every right-hand row needs totals of the
-    left-hand rows with smaller y, which are running totals in y. That is
-    n log n rows of exact work, spread over (level, block) and y slices.
+    dominated rows: inside chunks of x and of y by a tree over ranks in the
+    chunk's task, between them from totals of the chunks' grid. Each row is
+    moved a fixed number of times; n log n is work inside tasks only.
     """
     points = df.select(F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y")).filter("x IS NOT NULL AND y IS NOT NULL AND NOT isnan(x) AND NOT isnan(y)")
     distinct = points.groupBy("x", "y").agg(F.count(F.lit(1)).alias("w"))
@@ -431,39 +431,67 @@ def _distance_sums(points: DataFrame, column: str) -> DataFrame:
     return ranked.select(column, (below + above).alias(f"a_{column}"))
 
 
-def _cross_distances(points: DataFrame, distinct: int) -> float:
-    """Sum over all ordered pairs of rows of |dx| |dy|."""
-    # One order over distinct (x, y): x first, then y.
-    per_x = points.groupBy("k", "x").agg(F.count(F.lit(1)).alias("c"))
-    start = running(per_x, ["k"], "x", ["c"]).select("x", (F.col("c_to") - F.col("c")).alias("before"))
-    within = running(points.select("x", "y", "w", F.lit(1).alias("c")), ["x"], "y", ["c"])
-    ranked = written(
-        within.join(start, "x").select("x", "y", "w", (F.col("before") + F.col("c_to") - 1).cast("long").alias(RANK)), "ranked"
-    )
-    levels = max(1, int(distinct - 1).bit_length())
-    w, wx, wy, wxy = F.col("w"), F.col("w") * F.col("x"), F.col("w") * F.col("y"), F.col("w") * F.col("x") * F.col("y")
-    tree = ranked.withColumn("level", F.explode(F.sequence(F.lit(0), F.lit(levels - 1)))).select(
-        "level", F.expr(f"shiftright({RANK}, level + 1)").alias("block"),
-        (F.expr(f"shiftright({RANK}, level)") % 2 == 1).alias("right"), "x", "y", "w",
-    )
-    left = ~F.col("right")
-    cells = tree.groupBy("level", "block", "y").agg(
-        *[F.sum(F.when(left, e).otherwise(0.0)).alias(f"l_{n}") for n, e in [("w", w), ("x", wx), ("y", wy), ("xy", wxy)]],
-        *[F.sum(F.when(left, 0.0).otherwise(e)).alias(f"r_{n}") for n, e in [("w", w), ("x", wx), ("y", wy), ("xy", wxy)]],
-    )
-    measures = ["l_w", "l_x", "l_y", "l_xy"]
-    ranked_cells = running(cells, ["level", "block"], "y", measures)
-
-    def meeting(suffix) -> Column:
-        lw, lx, ly, lxy = (suffix(m) for m in measures)
-        return F.col("r_xy") * lw - F.col("r_x") * ly - F.col("r_y") * lx + F.col("r_w") * lxy
-
-    smaller = meeting(lambda m: F.col(f"{m}_to") - F.col(m))
-    everything = meeting(lambda m: F.col(f"{m}_sum"))
-    same = meeting(F.col)
-    # Rows of equal y add nothing, so the rest of the block counts with the opposite sign.
-    one_way = ranked_cells.agg(F.sum(2 * smaller - everything + same)).first()[0]
-    return 2.0 * (one_way or 0.0)
+def _crossed(place: np.ndarray, x: np.ndarray, y: np.ndarray, w: np.ndarray) -> float:
+    """Sum of |dx| |dy| over the pairs of rows of different places; x never falls from one place to the next.
+
+    On each level of a binary tree over the places, a right-hand row needs totals
+    of the left-hand rows of its block with smaller y, which are running totals in y.
+    """
+    up = np.argsort(y, kind="stable")
+    place, x, y, w = place[up], x[up] - x.mean(), y[up] - y.mean(), w[up]
+    sums, total = np.stack([w, w * x, w * y, w * x * y]), 0.0
+    for level in range(int(place.max()).bit_length()):
+        order = np.argsort(place >> (level + 1), kind="stable")  # by y within a block
+        block, right, own = place[order] >> (level + 1), (place[order] >> level) & 1 == 1, sums[:, order]
+        first = np.flatnonzero(np.append(True, block[1:] != block[:-1]))
+        ends = np.append(first[1:], len(block))
+        to = np.cumsum(np.where(right, 0.0, own), axis=1)
+        before = np.where(first > 0, to[:, first - 1], 0.0)
+        # Left rows of smaller y less those of larger y; rows of equal y add nothing to either.
+        lw, lx, ly, lxy = 2 * to - np.repeat(to[:, ends - 1] + before, ends - first, axis=1)
+        rw, rx, ry, rxy = own
+        total += float((rxy * lw - rx * ly - ry * lx + rw * lxy)[right].sum())
+    return total
+
+
+def _chunk_sum(places: str | None):
+    def run(rows: pa.Table) -> pa.Table:
+        x, y, w = (rows.column(c).to_numpy().astype(np.float64) for c in ("x", "y", "w"))
+        if places is None:  # each row has a place of its own, in the order of x
+            place = np.empty(len(x), dtype=np.int64)
+            place[np.lexsort((y, x))] = np.arange(len(x))
+        else:
+            place = rows.column(places).to_numpy().astype(np.int64)
+        return pa.table({"s": pa.array([_crossed(place, x, y, w)], pa.float64())})
+    return run
+
+
+def _cross_distances(points: DataFrame, distinct: int, chunk_rows: int = CHUNK_ROWS) -> float:
+    """Sum over all ordered pairs of rows of |dx| |dy|.
+
+    The points are cut into chunks in the order of x and again in the order of y.
+    Pairs of one x chunk are summed by its task, further pairs of one y chunk by
+    that one's; all others differ in both chunks, and totals of the cells of the
+    grid of chunks are enough for them. Cuts may part equal values: their distance is 0 either way.
+    """
+    chunks = min(CHUNKS, -(-distinct // chunk_rows))
+    for column, other in (("x", "y"), ("y", "x")):
+        points = written(points.repartitionByRange(chunks, column, other).withColumn(f"of_{column}", F.spark_partition_id()), "chunks")
+    in_x = points.select("of_x", "x", "y", "w").groupBy("of_x").applyInArrow(_chunk_sum(None), "s double")
+    in_y = points.select("of_x", "of_y", "x", "y", "w").groupBy("of_y").applyInArrow(_chunk_sum("of_x"), "s double")
+    near = in_x.unionByName(in_y).agg(F.sum("s")).first()[0]
+
+    measures = {"w": F.col("w"), "x": F.col("w") * F.col("x"), "y": F.col("w") * F.col("y"), "xy": F.col("w") * F.col("x") * F.col("y")}
+    cells = written(points.groupBy("of_x", "of_y").agg(*[F.sum(e).alias(f"c_{m}") for m, e in measures.items()]), "cells")
+    grid = cells.select("of_x").distinct().crossJoin(cells.select("of_y").distinct())  # at most CHUNKS squared
+    grid = grid.join(cells, ["of_x", "of_y"], "left").na.fill(0.0)
+    left = Window.partitionBy("of_y").orderBy("of_x").rowsBetween(Window.unboundedPreceding, -1)
+    below = Window.partitionBy("of_x").orderBy("of_y").rowsBetween(Window.unboundedPreceding, -1)
+    above = Window.partitionBy("of_x").orderBy("of_y").rowsBetween(1, Window.unboundedFollowing)
+    grid = grid.withColumns({f"l_{m}": F.coalesce(F.sum(f"c_{m}").over(left), F.lit(0.0)) for m in measures})
+    signed = grid.withColumns({f"s_{m}": F.coalesce(F.sum(f"l_{m}").over(below), F.lit(0.0)) - F.coalesce(F.sum(f"l_{m}").over(above), F.lit(0.0)) for m in measures})
+    far = signed.agg(F.sum(F.expr("c_xy * s_w - c_x * s_y - c_y * s_x + c_w * s_xy"))).first()[0]
+    return 2.0 * (near + far)
 
 
 def distance_correlation_matrix(df: DataFrame, columns: list[str]) -> DataFrame:
